@@ -22,8 +22,8 @@ and compares them with all pairs).
 Finding rests on one fact.  Let ``P`` be words of ``x`` with
 ``sum_{w in P} x_w^2 > t^2``.  A page with none of them is farther than ``t``
 from ``x``.  So ``x`` needs to look only at the pages listed under the words of
-``P``, and ``P`` is chosen to be cheap: words with much weight and few pages
-first.  In a found pair the heavier page always has such a ``P`` (all its words,
+``P``, and ``P`` is chosen to be cheap: the words with the fewest pages first.
+In a found pair the heavier page always has such a ``P`` (all its words,
 if need be: a page without a common word is at ``|x|^2 + |y|^2 > t^2``).
 """
 
@@ -43,6 +43,10 @@ HALF_UNIT = 5e-7
 #: Pages of one word that one join group may hold; longer lists are split.
 PAGES_PER_SPLIT = 20_000
 
+#: Probed squared weight in units of ``t^2``.  More than 1 is not needed to find
+#: every pair, but a few more words tell most far pages apart at once.
+PROBE_MASS = 1.5
+
 METRICS = ("euclid", "symdiff")
 
 
@@ -105,7 +109,7 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     )
     square = F.col("weight") * F.col("weight")
     of_page = Window.partitionBy("rep")
-    probing = of_page.orderBy(F.desc(square / F.col("df")), "word").rowsBetween(
+    probing = of_page.orderBy("df", "word").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     ordered = weighted.withColumn("norm_sq", F.sum(square).over(of_page)).withColumn(
@@ -147,6 +151,7 @@ def candidates(
     reach = _reach(threshold)
     limit = reach * reach
     listed = vectors.terms.where("weight > 0")
+    is_probe = F.col("before") <= limit * PROBE_MASS
     norm = F.sqrt("norm_sq")
     step = F.floor(norm / reach).cast("int") if metric == "euclid" else F.lit(0)
     splits = F.ceil(F.col("df") / pages_per_split).cast("int")
@@ -155,7 +160,7 @@ def candidates(
     own_step = F.floor(F.sqrt("norm_sq") / reach).cast("int")
     steps = F.array(own_step - 1, own_step) if metric == "euclid" else F.array(F.lit(0))
     probes = (
-        listed.where((F.col("norm_sq") + lightest > limit) & (F.col("before") <= limit))
+        listed.where((F.col("norm_sq") + lightest > limit) & is_probe)
         .select(
             F.col("rep").alias("x"),
             "word",
@@ -188,7 +193,7 @@ def candidates(
         F.sum(F.col("wy") * F.col("wy")).alias("other"),
     )
     probed = (
-        listed.where(F.col("before") <= limit)
+        listed.where(is_probe)
         .groupBy(F.col("rep").alias("x"))
         .agg(F.sum(F.col("weight") * F.col("weight")).alias("probed"))
     )

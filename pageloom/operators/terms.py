@@ -1,7 +1,8 @@
 """Token rows and the counts built on them.
 
 A page table has ``page_id`` and ``text`` (``title`` and ``ns`` where a result
-shows them).  Token rows are ``(page_id, pos, word)``, positions from 0.
+shows them), one row per ``page_id``.  Token rows are ``(page_id, pos, word)``,
+positions from 0.
 """
 
 from __future__ import annotations
@@ -31,6 +32,21 @@ def term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame
     return words.groupBy("page_id", "word").agg(F.count("*").alias("n"))
 
 
+def sized_term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
+    """``(page_id, n_words, word, n)``: the counts with the length of their page.
+
+    The length is known where the text is split, so it rides along in the
+    grouping key and needs no join afterwards.
+    """
+    words = pages.select("page_id", tokenizer(F.col("text")).alias("words"))
+    rows = words.select(
+        "page_id",
+        F.size("words").cast("bigint").alias("n_words"),
+        F.explode("words").alias("word"),
+    )
+    return rows.groupBy("page_id", "n_words", "word").agg(F.count("*").alias("n"))
+
+
 def doc_len(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     """``(page_id, n_words)`` for pages with at least one token.
 

@@ -1,7 +1,7 @@
 """Term weights.
 
 All forms start from the same two tables, staged once: the counts
-``(page_id, word, n)`` and the vocabulary ``(word, df)``.  The text is read and
+``(page_id, n_words, word, n)`` and the vocabulary ``(word, df)``.  The text is read and
 tokenised a single time, and the join on the word sees the true size of the
 vocabulary: it is broadcast if it is small, and otherwise shuffled against the
 counts with both sides open to AQE's skew splitting, as the most common words
@@ -41,24 +41,16 @@ def count_corpus(
     those without a token.
     """
     kept = pages if keep is None else pages.where(keep)
-    tf = stage(terms.term_freq(kept, tokenizer), "tf")
+    tf = stage(terms.sized_term_freq(kept, tokenizer), "tf")
     vocabulary = stage(terms.doc_freq(tf), "vocabulary")
     return Counts(tf, vocabulary, pages.agg(F.count("*").alias("n")).scalar())
 
 
-def with_length(tf: DataFrame) -> DataFrame:
-    """Add the page length ``n_words``."""
-    lengths = tf.groupBy("page_id").agg(F.sum("n").alias("n_words"))
-    return tf.join(lengths, "page_id")
-
-
 def ratio(counts: Counts) -> DataFrame:
     """``n / length * ln(N / df)`` as ``(page_id, word, weight)``."""
     weight = F.col("n") / F.col("n_words") * F.ln(counts.n_pages / F.col("df"))
-    return (
-        with_length(counts.tf)
-        .join(counts.vocabulary, "word")
-        .select("page_id", "word", weight.alias("weight"))
+    return counts.tf.join(counts.vocabulary, "word").select(
+        "page_id", "word", weight.alias("weight")
     )
 
 
@@ -78,10 +70,8 @@ def log2_words(text: Column) -> Column:
 def log2_ratio(counts: Counts) -> DataFrame:
     """``n / length * log2(N / df)``; count the corpus with :func:`log2_words`."""
     weight = F.col("n") / F.col("n_words") * F.log2(counts.n_pages / F.col("df"))
-    return (
-        with_length(counts.tf)
-        .join(counts.vocabulary, "word")
-        .select("page_id", "word", weight.alias("weight"))
+    return counts.tf.join(counts.vocabulary, "word").select(
+        "page_id", "word", weight.alias("weight")
     )
 
 
