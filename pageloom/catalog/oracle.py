@@ -372,7 +372,7 @@ def all_sql() -> dict[str, str]:
             JOIN documents ON doc_id = page_id GROUP BY source, word
             HAVING sum(n) >= {FREQUENT}""",
         "cluster_members": """
-            SELECT doc_id AS page_id, source AS cluster FROM documents WHERE source = 'src1'""",
+            SELECT doc_id AS page_id, source AS cluster FROM documents""",
         "doc_topic_overlap": f"{TOPICS} SELECT page_id, cluster, n_tokens FROM ov",
         "doc_topics": f"{TOPICS} SELECT page_id, cluster FROM me",
         "topic_size_band": f"{TOPICS} SELECT cluster, n_pages FROM ke",

@@ -518,7 +518,7 @@ def cluster_freq_terms(spark, sf):
 
 @query
 def cluster_members(spark, sf):
-    return topics.members(fx.assignment(spark, sf), "src1")
+    return topics.members(fx.assignment(spark, sf))
 
 
 @query

@@ -4,6 +4,11 @@ Alternating large-star and small-star rounds (Kiveris et al., "Connected
 Components in MapReduce and Beyond", 2014): every round hooks vertices to the
 lowest neighbour they know, so the number of rounds grows with the logarithm of
 the diameter, not with the diameter itself.
+
+Every component ends up as a star, so its lowest vertex becomes a hub with as
+many edges as the component has vertices.  The per-vertex minimum is combined
+before it is shuffled.  In a large graph it is then staged, so that the join
+back on the vertex has a plain shuffle on both sides, which AQE splits at a hub.
 """
 
 from __future__ import annotations
@@ -11,7 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.plans.staging import cut
+from pageloom.plans.staging import stage
+
+#: Up to this many edges a round is one job; beyond it, its steps are staged.
+EDGES_PER_JOB = 1_000_000
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -22,27 +30,32 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(ends))
 
 
-def _lowest(neighbours: DataFrame) -> DataFrame:
+def _keep(df: DataFrame, name: str, large: bool) -> DataFrame:
+    return stage(df, name) if large else df
+
+
+def _lowest(neighbours: DataFrame, large: bool) -> DataFrame:
     """Per vertex the lowest of itself and its neighbours."""
-    return neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+    lowest = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+    return _keep(lowest, "lowest", large)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, large: bool) -> DataFrame:
     """Hook every higher neighbour to the lowest one."""
     around = _both_ways(edges)
     return (
         around.where("v > u")
-        .join(_lowest(around), "u")
+        .join(_lowest(around, large), "u")
         .select(F.col("v").alias("u"), F.col("low").alias("v"))
         .where("u <> v")
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, large: bool) -> DataFrame:
     """Hook a vertex and its lower neighbours to the lowest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    lowest = _lowest(down)
+    lowest = _lowest(down, large)
     hooked = (
         down.join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
     )
@@ -64,10 +77,12 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     the driver; the edges of each round are checkpointed.
     """
     simple = edges.where("u <> v").select("u", "v").distinct()
-    current = cut(simple)
+    current = stage(simple, "edges")
     seen = _fingerprint(current)
     for _ in range(max_rounds):
-        current = cut(_small_star(_large_star(current)))
+        large = seen[0] > EDGES_PER_JOB
+        hooked = _keep(_large_star(current, large), "large-star", large)
+        current = stage(_small_star(hooked, large), "small-star")
         now = _fingerprint(current)
         if now == seen:
             break

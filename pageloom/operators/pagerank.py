@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.plans.staging import cut, stage
+from pageloom.plans.staging import cut, stage, stage_bucketed
 
 #: Links of one source that one task may hold; a hub's links are split beyond it.
 LINKS_PER_SPLIT = 100_000
@@ -40,7 +40,8 @@ def ranks(
 
     The links of a hub are dealt over ``splits`` parts, and the hub's rank goes
     to each, so no join group exceeds ``links_per_split``.  Contributions are
-    summed before they are shuffled, which takes care of much-linked pages.
+    summed before they are shuffled, which takes care of much-linked pages.  The
+    links are bucketed once, so a round shuffles ranks and sums but not the links.
     """
     distinct = stage(distinct_links(links), "links")
     sources = stage(
@@ -50,8 +51,11 @@ def ranks(
         "sources",
     )
     part = F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int")
-    edges = stage(
-        distinct.join(sources, "src").select("src", part.alias("part"), "dst"), "edges"
+    edges = stage_bucketed(
+        distinct.join(sources, "src").select("src", part.alias("part"), "dst"),
+        "edges",
+        "src",
+        "part",
     )
     current = sources.select(F.col("src").alias("page"), F.lit(1.0).alias("rank"))
     for done in range(1, rounds + 1):

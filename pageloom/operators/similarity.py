@@ -73,56 +73,61 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     """
     n_all = pages.agg(F.count("*").alias("n")).scalar()
     kept = pages if keep is None else pages.where(keep)
-    words = kept.select("page_id", ascii_words(F.col("text")).alias("words"))
-    signature = F.unhex(F.sha2(F.array_join(F.array_sort("words"), " "), 256))
-    signed = stage(
-        words.where(F.size("words") > 0).select(
-            "page_id", signature.alias("signature"), "words"
-        ),
-        "signed",
-    )
-    contents = stage(
-        signed.groupBy("signature").agg(
-            F.min("page_id").alias("rep"), F.count("*").alias("n_pages")
-        ),
-        "contents",
+    words = kept.select("page_id", ascii_words(F.col("text")).alias("words")).where(
+        F.size("words") > 0
     )
-    copies = signed.select("page_id", "signature").join(
-        contents.select("signature", "rep"), "signature"
-    )
-    firsts = contents.select(F.col("rep").alias("page_id"), "n_pages")
-    tf = stage(
-        signed.select("page_id", "words")
-        .join(firsts, "page_id")
-        .select("page_id", "n_pages", F.size("words").alias("len"), F.explode("words").alias("word"))
-        .groupBy("page_id", "n_pages", "len", "word")
-        .agg(F.count("*").alias("n")),
-        "content-tf",
+    signature = F.unhex(F.sha2(F.array_join(F.array_sort("words"), " "), 256))
+    signed = words.select("page_id", "words", signature.alias("signature"))
+
+    vocabulary = stage(
+        words.select(F.explode(F.array_distinct("words")).alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("df")),
+        "vocabulary",
     )
-    vocabulary = stage(tf.groupBy("word").agg(F.sum("n_pages").alias("df")), "vocabulary")
-    weighted = tf.join(vocabulary, "word").select(
-        F.col("page_id").alias("rep"),
-        "n_pages",
-        "word",
-        "df",
-        (F.col("n") / F.col("len") * F.ln(n_all / F.col("df"))).alias("weight"),
+    # copies add up here: ``total`` is the count of one page times the copies
+    tf = (
+        signed.select(
+            "page_id",
+            "signature",
+            F.size("words").alias("len"),
+            F.explode("words").alias("word"),
+        )
+        .groupBy("signature", "len", "word")
+        .agg(F.min("page_id").alias("rep"), F.count("*").alias("total"))
     )
-    square = F.col("weight") * F.col("weight")
     of_page = Window.partitionBy("rep")
     probing = of_page.orderBy("df", "word").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ordered = weighted.withColumn("norm_sq", F.sum(square).over(of_page)).withColumn(
-        "before", F.sum(square).over(probing) - square
+    n_pages = F.sum("total").over(of_page) / F.col("len")
+    idf = F.ln(n_all / F.col("df"))
+    square = F.col("weight") * F.col("weight")
+    ordered = (
+        tf.join(vocabulary, "word")
+        .withColumn("n_pages", n_pages.cast("bigint"))
+        .withColumn("weight", F.col("total") / F.col("n_pages") / F.col("len") * idf)
+        .withColumn("norm_sq", F.sum(square).over(of_page))
+        .withColumn("before", F.sum(square).over(probing) - square)
+    )
+    vectors = stage(
+        ordered.select("rep", "n_pages", "word", "df", "weight", "norm_sq", "before"), "vectors"
     )
-    vectors = stage(ordered, "vectors")
     norms = stage(
         vectors.groupBy("rep").agg(
             F.max("n_pages").alias("n_pages"), F.max("norm_sq").alias("norm_sq")
         ),
         "norms",
     )
-    return Vectors(copies.select("page_id", "rep"), norms, vectors.drop("n_pages"))
+    return Vectors(_copies(signed.select("page_id", "signature")), norms, vectors.drop("n_pages"))
+
+
+def _copies(signed: DataFrame) -> DataFrame:
+    """``(page_id, rep)``; both sides of the join are staged, so AQE can split a
+    content that most pages share."""
+    signatures = stage(signed, "signatures")
+    lowest = stage(signatures.groupBy("signature").agg(F.min("page_id").alias("rep")), "lowest")
+    return signatures.join(lowest, "signature").select("page_id", "rep")
 
 
 def _reach(threshold: float) -> float:

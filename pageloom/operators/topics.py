@@ -56,18 +56,18 @@ def frequent_terms(
     tf: DataFrame, assignment: DataFrame, at_least: int = 50, cluster=None
 ) -> DataFrame:
     """Words with a total count of ``at_least`` in a cluster (or in each one)."""
-    chosen = assignment if cluster is None else members(assignment, cluster)
     return (
-        tf.join(chosen, "page_id")
+        tf.join(members(assignment, cluster), "page_id")
         .groupBy("cluster", "word")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= at_least)
     )
 
 
-def members(assignment: DataFrame, cluster) -> DataFrame:
-    """Pages of one cluster."""
-    return assignment.where(F.col("cluster") == cluster)
+def members(assignment: DataFrame, cluster=None) -> DataFrame:
+    """``(cluster, page_id)`` of one cluster, or of each."""
+    rows = assignment.select("cluster", "page_id")
+    return rows if cluster is None else rows.where(F.col("cluster") == cluster)
 
 
 def overlap(tf: DataFrame, topic_words: DataFrame) -> DataFrame:

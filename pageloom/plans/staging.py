@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _FALLBACK: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,6 +60,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Like :func:`stage`, but laid out for repeated joins on ``keys``.
+
+    The table has one bucket per shuffle partition, so a join on ``keys`` reads
+    it in place and shuffles only its other side.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = "pageloom_" + path.rsplit("-", 1)[-1]
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
+    return spark.table(table)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the returned frame has no lineage behind it."""
     sc = df.sparkSession.sparkContext
@@ -84,6 +107,8 @@ def drop_staged(spark: SparkSession) -> None:
     if jsc is None:
         return
     try:
+        for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         jvm = spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
         path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
