@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import ascii_words, ngrams, ngrams_compat
+from pageloom.operators.terms import explode_words
 
 
 def gram_rows(pages: DataFrame, n: int) -> DataFrame:
@@ -24,9 +25,10 @@ def gram_counts_compat(pages: DataFrame) -> DataFrame:
     There every window of a page appears once per token of that page.
     """
     words = pages.select(ascii_words(F.col("text")).alias("words"))
-    rows = words.select(
-        F.size("words").alias("times"), F.explode(ngrams_compat(F.col("words"))).alias("gram")
+    grams = words.select(
+        F.size("words").alias("times"), ngrams_compat(F.col("words")).alias("words")
     )
+    rows = explode_words(grams, "times").withColumnRenamed("word", "gram")
     return rows.groupBy("gram").agg(F.sum("times").alias("n"))
 
 

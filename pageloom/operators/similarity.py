@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import ascii_words
+from pageloom.operators.terms import explode_words
 from pageloom.plans.staging import stage
 
 #: Distances are compared after rounding to six digits.
@@ -73,11 +74,9 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     """
     n_all = pages.agg(F.count("*").alias("n")).scalar()
     kept = pages if keep is None else pages.where(keep)
-    words = kept.select("page_id", ascii_words(F.col("text")).alias("words")).where(
-        F.size("words") > 0
-    )
+    words = kept.select("page_id", ascii_words(F.col("text")).alias("words"))
     signature = F.unhex(F.sha2(F.array_join(F.array_sort("words"), " "), 256))
-    signed = words.select("page_id", "words", signature.alias("signature"))
+    signed = words.withColumn("signature", signature).withColumn("len", F.size("words"))
 
     vocabulary = stage(
         words.select(F.explode(F.array_distinct("words")).alias("word"))
@@ -87,12 +86,7 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     )
     # copies add up here: ``total`` is the count of one page times the copies
     tf = (
-        signed.select(
-            "page_id",
-            "signature",
-            F.size("words").alias("len"),
-            F.explode("words").alias("word"),
-        )
+        explode_words(signed, "page_id", "signature", "len")
         .groupBy("signature", "len", "word")
         .agg(F.min("page_id").alias("rep"), F.count("*").alias("total"))
     )
@@ -125,7 +119,8 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
 def _copies(signed: DataFrame) -> DataFrame:
     """``(page_id, rep)``; both sides of the join are staged, so AQE can split a
     content that most pages share."""
-    signatures = stage(signed, "signatures")
+    no_words = F.unhex(F.sha2(F.lit(""), 256))
+    signatures = stage(signed, "signatures").where(F.col("signature") != no_words)
     lowest = stage(signatures.groupBy("signature").agg(F.min("page_id").alias("rep")), "lowest")
     return signatures.join(lowest, "signature").select("page_id", "rep")
 

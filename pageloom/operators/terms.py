@@ -32,6 +32,17 @@ def term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame
     return words.groupBy("page_id", "word").agg(F.count("*").alias("n"))
 
 
+def explode_words(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per element of ``words``, with the key columns.
+
+    The outer form is on purpose: for a plain explode of a column Spark adds a
+    filter on the array's size, and moves it down to where the text would be
+    split a second time.
+    """
+    exploded = rows.select(*keys, F.explode_outer("words").alias("word"))
+    return exploded.where(F.col("word").isNotNull())
+
+
 def sized_term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     """``(page_id, n_words, word, n)``: the counts with the length of their page.
 
@@ -39,12 +50,8 @@ def sized_term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> Dat
     grouping key and needs no join afterwards.
     """
     words = pages.select("page_id", tokenizer(F.col("text")).alias("words"))
-    rows = words.select(
-        "page_id",
-        F.size("words").cast("bigint").alias("n_words"),
-        F.explode("words").alias("word"),
-    )
-    return rows.groupBy("page_id", "n_words", "word").agg(F.count("*").alias("n"))
+    sized = words.withColumn("n_words", F.size("words").cast("bigint"))
+    return explode_words(sized, "page_id", "n_words").groupBy("page_id", "n_words", "word").agg(F.count("*").alias("n"))
 
 
 def doc_len(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
