@@ -316,6 +316,8 @@ def all_sql() -> dict[str, str]:
             FROM documents LEFT JOIN ra ON ra.page_id = doc_id GROUP BY ALL""",
         "page_copies": f"WITH {COPIES} SELECT page_id, rep FROM co",
         "pair_euclid": f"{_found('euclid', THRESHOLD)} SELECT page_a, page_b, dist FROM fo",
+        "pair_euclid_wide": f"""
+            {_found('euclid', WIDE_THRESHOLD)} SELECT page_a, page_b, dist FROM fo""",
         "pair_symdiff": f"{_found('symdiff', THRESHOLD)} SELECT page_a, page_b, dist FROM fo",
         "light_pages": f"""
             {ratio}, {NORMS}, {COPIES.replace('pw AS', 'pw2 AS').replace('FROM pw', 'FROM pw2')},

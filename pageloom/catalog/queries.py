@@ -355,6 +355,11 @@ def pair_euclid(spark, sf):
     return similarity.found_pairs(_vectors(spark, sf), THRESHOLD)
 
 
+@query
+def pair_euclid_wide(spark, sf):
+    return similarity.found_pairs(_vectors(spark, sf), WIDE_THRESHOLD)
+
+
 @query
 def pair_symdiff(spark, sf):
     return similarity.found_pairs(_vectors(spark, sf), THRESHOLD, "symdiff")

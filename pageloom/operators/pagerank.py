@@ -85,7 +85,8 @@ def links_between(links: DataFrame, chosen: DataFrame, either: bool = False) ->
     src = chosen.select(F.col("page").alias("src"))
     dst = chosen.select(F.col("page").alias("dst"))
     if not either:
-        return links.join(src, "src", "left_semi").join(dst, "dst", "left_semi")
+        kept = links.join(src, "src", "left_semi").join(dst, "dst", "left_semi")
+        return kept.select("src", "dst")
     marked = links.join(src.withColumn("has_src", F.lit(True)), "src", "left").join(
         dst.withColumn("has_dst", F.lit(True)), "dst", "left"
     )

@@ -134,6 +134,7 @@ def candidates(
     threshold: float,
     metric: str = "euclid",
     pages_per_split: int = PAGES_PER_SPLIT,
+    among_light: bool = True,
 ) -> DataFrame:
     """``(x, y, norm_x, norm_y)``: a superset of the found pairs.
 
@@ -143,6 +144,9 @@ def candidates(
     longer than ``pages_per_split`` is split by page, and the probes go to each
     part, so that a word most pages hold makes no large group.
 
+    Without ``among_light``, pairs of two contents that are both in some light
+    pair are left out; a graph does not need them.
+
     Before a pair leaves, the distance over the probed words, plus the least
     that the remaining words can add, must be within reach.
     """
@@ -155,12 +159,15 @@ def candidates(
     norm = F.sqrt("norm_sq")
     step = F.floor(norm / reach).cast("int") if metric == "euclid" else F.lit(0)
     splits = F.ceil(F.col("df") / pages_per_split).cast("int")
-    lightest = vectors.norms.agg(F.min("norm_sq").alias("m")).scalar()
-
+    # the heavier page of a found pair has more than half of the squared reach
+    probing = F.col("norm_sq") * 2 > limit
+    if not among_light:
+        lightest = vectors.norms.agg(F.min("norm_sq").alias("m")).scalar()
+        probing = F.col("norm_sq") + lightest > limit
     own_step = F.floor(F.sqrt("norm_sq") / reach).cast("int")
     steps = F.array(own_step - 1, own_step) if metric == "euclid" else F.array(F.lit(0))
     probes = (
-        listed.where((F.col("norm_sq") + lightest > limit) & is_probe)
+        listed.where(probing & is_probe)
         .select(
             F.col("rep").alias("x"),
             "word",
@@ -213,10 +220,13 @@ def found_pairs(
     threshold: float,
     metric: str = "euclid",
     pages_per_split: int = PAGES_PER_SPLIT,
+    among_light: bool = True,
 ) -> DataFrame:
     """``(page_a, page_b, dist)`` with ``page_a < page_b``, both lowest of their copies."""
     limit = _reach(threshold) ** 2
-    kept = stage(candidates(vectors, threshold, metric, pages_per_split), "candidates")
+    kept = stage(
+        candidates(vectors, threshold, metric, pages_per_split, among_light), "candidates"
+    )
     weights = vectors.terms.where("weight > 0")
     mine = weights.select(F.col("rep").alias("x"), "word", F.col("weight").alias("wx"))
     theirs = weights.select(F.col("rep").alias("y"), "word", F.col("weight").alias("wy"))

@@ -23,9 +23,6 @@ from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
 from pageloom.streaming import jobs as stream
 
-ARTICLE: Column | None = None
-
-
 def _is_article() -> Column:
     return F.col("ns") == "0"
 
