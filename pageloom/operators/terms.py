@@ -60,10 +60,11 @@ def doc_len(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     The length is the size of the token array, so no token row is made.
     """
     sizes = pages.select("page_id", F.size(tokenizer(F.col("text"))).alias("size"))
+    # the filter comes last: earlier, Spark would move it to where it splits the text again
     return (
-        sizes.where("size > 0")
-        .groupBy("page_id")
+        sizes.groupBy("page_id")
         .agg(F.sum("size").cast("bigint").alias("n_words"))
+        .where("n_words > 0")
     )
 
 

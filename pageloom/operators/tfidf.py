@@ -120,11 +120,16 @@ def weight_lists(weights: DataFrame, scale: int = 1_000_000) -> DataFrame:
 def hashed_vectors(
     pages: DataFrame, tokenizer: terms.Tokenizer = ws_words, num_features: int = 1 << 20
 ) -> DataFrame:
-    """TF-IDF as ML vectors: ``(page_id, tf, features)``."""
+    """TF-IDF as ML vectors: ``(page_id, tf, features)``.
+
+    Term counts are staged, as fitting and transforming both read them.
+    """
+    no_words = F.array().cast("array<string>")
     words = pages.select(
-        "page_id", F.coalesce(tokenizer(F.col("text")), F.array().cast("array<string>")).alias("words")
+        "page_id", F.coalesce(tokenizer(F.col("text")), no_words).alias("words")
     )
-    tf = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features).transform(words)
+    hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
+    tf = stage(hashing.transform(words).select("page_id", "tf"), "hashed-tf")
     model = IDF(inputCol="tf", outputCol="features").fit(tf)
     return model.transform(tf).select("page_id", "tf", "features")
 

@@ -180,11 +180,11 @@ def matrix_job(
 
     Documents are clustered at unit length; the cluster stands beside the words.
     """
-    lines = spread_scan(ln.read_lines(spark, path))
-    pages = stage(
-        lines.select(F.xxhash64("value").alias("page_id"), F.col("value").alias("text")).distinct(),
-        "line-pages",
+    # staged, so that a line keeps its number in every later step
+    numbered = ln.read_lines(spark, path).select(
+        F.monotonically_increasing_id().alias("page_id"), F.col("value").alias("text")
     )
+    pages = stage(numbered, "line-pages")
     weights = tfidf.log2_ratio(tfidf.count_corpus(pages, tfidf.log2_words))
     vectors = tfidf.hashed_vectors(pages, tfidf.log2_words, num_features)
     clusters, _ = clustering.kmeans(vectors, k=k, unit_length=True)
