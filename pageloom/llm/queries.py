@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from pageloom.llm import decontamination, licenses, mixing, secrets, toxicity, winnowing
+from pageloom.llm import (
+    decontamination,
+    html_text,
+    licenses,
+    mixing,
+    secrets,
+    simhash,
+    toxicity,
+    winnowing,
+)
 
 QUERIES = {
     "op2_decontaminate": decontamination.query,
+    "op3_simhash": simhash.query,
     "op5_winnow": winnowing.query,
     "op6_license": licenses.query,
     "op7_toxicity": toxicity.query,
     "op8_secrets": secrets.query,
+    "op9_html": html_text.query,
     "op10_mix": mixing.query,
 }
 
