@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from pageloom.plans.staging import spread_scan
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +24,7 @@ def as_pages(documents: DataFrame) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_pages(spread_scan(table(spark, sf_dir, "documents")))
+    return as_pages(table(spark, sf_dir, "documents"))
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +41,13 @@ def assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between parts: a line of an order links to the next one by number."""
     lines = table(spark, sf_dir, "lineitem")
-    number = F.col("l_linenumber")
-    here = lines.select("l_orderkey", number.alias("line"), F.col("l_partkey").alias("src"))
+    of_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
     following = lines.select(
-        "l_orderkey", (number - 1).alias("line"), F.col("l_partkey").alias("dst")
+        F.col("l_partkey").alias("src"),
+        F.lead("l_partkey").over(of_order).alias("dst"),
+        (F.lead("l_linenumber").over(of_order) - F.col("l_linenumber")).alias("step"),
     )
-    return here.join(following, ["l_orderkey", "line"]).select("src", "dst")
+    return following.where("step = 1").select("src", "dst")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.plans.staging import stage
-
-#: Up to this many edges a round is one job; beyond it, its steps are staged.
-EDGES_PER_JOB = 1_000_000
+from pageloom.plans.staging import stage, unstage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -30,37 +27,40 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(ends))
 
 
-def _keep(df: DataFrame, name: str, large: bool) -> DataFrame:
-    return stage(df, name) if large else df
-
-
-def _lowest(neighbours: DataFrame, large: bool) -> DataFrame:
+def _lowest(neighbours: DataFrame) -> DataFrame:
     """Per vertex the lowest of itself and its neighbours."""
     lowest = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-    return _keep(lowest, "lowest", large)
+    return stage(lowest, "lowest")
 
 
-def _large_star(edges: DataFrame, large: bool) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Hook every higher neighbour to the lowest one."""
     around = _both_ways(edges)
-    return (
+    lowest = _lowest(around)
+    hooked = (
         around.where("v > u")
-        .join(_lowest(around, large), "u")
+        .join(lowest, "u")
         .select(F.col("v").alias("u"), F.col("low").alias("v"))
         .where("u <> v")
         .distinct()
     )
+    return _finish(hooked, "large-star", lowest)
 
 
-def _small_star(edges: DataFrame, large: bool) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Hook a vertex and its lower neighbours to the lowest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    lowest = _lowest(down, large)
-    hooked = (
-        down.join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-    )
+    lowest = _lowest(down)
+    hooked = down.join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
     own = lowest.select("u", F.col("low").alias("v"))
-    return hooked.unionByName(own).where("u <> v").distinct()
+    return _finish(hooked.unionByName(own).where("u <> v").distinct(), "small-star", lowest, edges)
+
+
+def _finish(df: DataFrame, name: str, *used: DataFrame) -> DataFrame:
+    out = stage(df, name)
+    for table in used:
+        unstage(table)
+    return out
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -74,15 +74,15 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``(vertex, component)`` for every vertex of an edge ``(u, v)``.
 
     A component is named by its lowest vertex.  Only two numbers per round reach
-    the driver; the edges of each round are checkpointed.
+    the driver; the edges of each round are staged.
     """
     simple = edges.where("u <> v").select("u", "v").distinct()
     current = stage(simple, "edges")
     seen = _fingerprint(current)
     for _ in range(max_rounds):
-        large = seen[0] > EDGES_PER_JOB
-        hooked = _keep(_large_star(current, large), "large-star", large)
-        current = stage(_small_star(hooked, large), "small-star")
+        hooked = _large_star(current)
+        unstage(current)
+        current = _small_star(hooked)
         now = _fingerprint(current)
         if now == seen:
             break

@@ -13,8 +13,8 @@ from pageloom.plans.staging import cut, stage, stage_bucketed
 #: Links of one source that one task may hold; a hub's links are split beyond it.
 LINKS_PER_SPLIT = 100_000
 
-#: Beyond this many links they are bucketed for the rounds; fewer are just staged.
-BUCKET_LINKS = 1_000_000
+#: Links that one bucket is meant to hold in the rounds.
+LINKS_PER_BUCKET = 500_000
 
 
 def distinct_links(links: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def ranks(
     base: float = 0.20,
     links_per_split: int = LINKS_PER_SPLIT,
     cut_every: int = 5,
+    links_per_bucket: int = LINKS_PER_BUCKET,
 ) -> DataFrame:
     """``(page, rank)`` after ``rounds`` rounds.
 
@@ -43,8 +44,8 @@ def ranks(
 
     The links of a hub are dealt over ``splits`` parts, and the hub's rank goes
     to each, so no join group exceeds ``links_per_split``.  Contributions are
-    summed before they are shuffled, which takes care of much-linked pages.  Many
-    links are bucketed once, so a round shuffles ranks and sums but not the links.
+    summed before they are shuffled, which takes care of much-linked pages.  Links
+    are bucketed once, so a round shuffles ranks and sums but not the links.
     """
     distinct = stage(distinct_links(links), "links")
     sources = stage(
@@ -55,10 +56,8 @@ def ranks(
     )
     part = F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int")
     edges = distinct.join(sources, "src").select("src", part.alias("part"), "dst")
-    if distinct.count() > BUCKET_LINKS:
-        edges = stage_bucketed(edges, "edges", "src", "part")
-    else:
-        edges = stage(edges, "edges")
+    buckets = max(1, -(-distinct.count() // links_per_bucket))
+    edges = stage_bucketed(edges, "edges", buckets, "src", "part")
     current = sources.select(F.col("src").alias("page"), F.lit(1.0).alias("rank"))
     for done in range(1, rounds + 1):
         shares = current.withColumnRenamed("page", "src").join(sources, "src").select(

@@ -18,7 +18,7 @@ from pageloom.operators import (
     tfidf,
     topics,
 )
-from pageloom.plans.staging import spread_scan, stage
+from pageloom.plans.staging import stage
 from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
 from pageloom.streaming import jobs as stream
@@ -29,7 +29,7 @@ def _is_article() -> Column:
 
 def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages from files with one ``<page>`` per line."""
-    return wx.parse_page_lines(spread_scan(ln.read_lines(spark, path)))
+    return wx.parse_page_lines(ln.read_lines(spark, path))
 
 
 def gram_job(spark: SparkSession, path: str, out: str, n: int = 5, k: int = 5) -> DataFrame:
@@ -90,7 +90,7 @@ def pagerank_job(
 
 
 def tab_pages(spark: SparkSession, path: str) -> DataFrame:
-    return ln.parse_tab_corpus(spread_scan(ln.read_lines(spark, path)))
+    return ln.parse_tab_corpus(ln.read_lines(spark, path))
 
 
 def weights_job(spark: SparkSession, path: str, out: str) -> DataFrame:

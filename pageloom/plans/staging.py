@@ -60,14 +60,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a table made by :func:`stage` that nothing reads any more."""
+    jsc = df.sparkSession.sparkContext._jsc
+    root = scratch_root(df.sparkSession).split(":")[-1]
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if root in folder:  # never touch an input
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage_bucketed(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
     """Like :func:`stage`, but laid out for repeated joins on ``keys``.
 
-    The table has one bucket per shuffle partition, so a join on ``keys`` reads
-    it in place and shuffles only its other side.
+    A join on ``keys`` reads the ``buckets`` in place and shuffles only its other
+    side.  A bucket is one task, so their number has to follow the table's size.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
     table = "pageloom_" + path.rsplit("-", 1)[-1]
     (
@@ -85,22 +94,12 @@ def stage_bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the returned frame has no lineage behind it."""
     sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    root = scratch_root(df.sparkSession)
+    if root not in (sc.getCheckpointDir() or ""):
+        sc.setCheckpointDir(f"{root}/checkpoints")  # deleted with all that is staged
     return df.checkpoint(eager=True)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores.
-
-    Only a small input is affected: at scale a scan has far more splits than
-    cores and is returned as it is, without a shuffle.  Call it on a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
-
-
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged (also done when the driver ends)."""
     jsc = spark.sparkContext._jsc

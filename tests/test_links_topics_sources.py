@@ -33,11 +33,10 @@ def plain_ranks(edges, rounds):
     return ranks
 
 
-@pytest.mark.parametrize("per_split,bucket_links", [(2, 0), (2, 1_000_000), (100_000, 0)])
-def test_a_split_or_bucketed_hub_changes_nothing(spark, monkeypatch, per_split, bucket_links):
-    monkeypatch.setattr(pagerank, "BUCKET_LINKS", bucket_links)
+@pytest.mark.parametrize("per_split,per_bucket", [(2, 3), (2, 1_000_000), (100_000, 2)])
+def test_a_split_hub_or_many_buckets_change_nothing(spark, per_split, per_bucket):
     edges = [("h", f"p{i}") for i in range(9)] + [(f"p{i}", "h") for i in range(4)] + [("p1", "p2")]
-    got = pagerank.ranks(links(spark, *edges), 7, links_per_split=per_split, cut_every=3)
+    got = pagerank.ranks(links(spark, *edges), 7, links_per_split=per_split, cut_every=3, links_per_bucket=per_bucket)
     expected = plain_ranks(edges, 7)
     assert {r["page"]: pytest.approx(r["rank"]) for r in got.collect()} == expected
 

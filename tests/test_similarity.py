@@ -141,9 +141,7 @@ def test_page_components_equal_those_of_all_pairs(spark, rows, metric, threshold
     assert rows(labels, "page_id", "component") == closure(brute(texts, threshold, metric))
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_components(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr("pageloom.operators.components.EDGES_PER_JOB", limit)
+def test_components(spark, rows):
     rnd = random.Random(3)
     chain = [(i, i + 1) for i in range(100, 130)]
     loose = [(1, 2), (3, 2), (5, 6), (6, 5), (7, 7)]
