@@ -7,6 +7,8 @@ from pageloom.llm import (
     html_text,
     licenses,
     mixing,
+    pii,
+    quality,
     secrets,
     simhash,
     toxicity,
@@ -14,8 +16,10 @@ from pageloom.llm import (
 )
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_decontaminate": decontamination.query,
     "op3_simhash": simhash.query,
+    "op4_pii": pii.query,
     "op5_winnow": winnowing.query,
     "op6_license": licenses.query,
     "op7_toxicity": toxicity.query,
