@@ -19,7 +19,9 @@ significant segments, or that of its best segment if none is, and a logistic cur
 fitted on the histogram of all training documents turns it into a probability.  There,
 each document is scored with its own counts taken out.
 
-Labels are read for training rows only, and scoring reads nothing but the text.
+Labels are read for training rows only, and scoring reads nothing but the text.  At most
+``MAX_LABELS`` labelled rows train (chosen by a hash of the id); so few ids and labels are
+broadcast, and the texts are not shuffled.
 
 Defined cases: a null or empty text has no token and gets the lowest evidence; a null or
 missing label, a null id, or a label other than 0 or 1 trains nothing; a document with
@@ -55,6 +57,8 @@ SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 #: Scores are counted in steps of 1 / STEPS between -SPAN and SPAN for calibration.
 STEPS, SPAN = 16, 16
+#: Labelled rows that train, at most: a sample by a hash of the id if there are more.
+MAX_LABELS = 100_000
 #: Words whose scores a task remembers before it starts anew.
 REMEMBERED = 400_000
 
@@ -255,13 +259,33 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, text="text", key="doc_id", label="toxic") -> Model:
+def _sample(known: DataFrame, most: int) -> DataFrame:
+    """All rows, or ``most`` of them by a hash of the id."""
+    n = known.count()
+    h = F.xxhash64("_id")
+    if n > most:  # a little more than needed, so that few rows are sorted
+        bound = int(-(2**63) + 2**64 * min(1.0, 1.2 * most / n + 1e-4))
+        known = known.where(h <= F.lit(min(bound, 2**63 - 1)))
+    return known.orderBy(h, "_id", "_y").limit(most)
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    text: str = "text",
+    key: str = "doc_id",
+    label: str = "toxic",
+    max_labels: int = MAX_LABELS,
+) -> Model:
     """Count the labelled training documents, then calibrate on all of them."""
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_y"))
-    known = known.where("_id IS NOT NULL AND _y IN (0, 1)")
-    own = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t")).where(~held_out("_id"))
-    rows = stage(own.join(known, "_id").select("_t", "_y"), "training")
+    known = known.where("_id IS NOT NULL AND _y IN (0, 1)").where(~held_out("_id"))
+    sample = stage(_sample(known, max_labels), "labels")
+    own = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t"))
+    # at most `max_labels` rows of an id and a number
+    rows = stage(own.join(F.broadcast(sample), "_id").select("_t", "_y"), "training")
     counted = (
         rows.mapInArrow(_count_features, "slot int, toxic long, clean long")
         .groupBy("slot")

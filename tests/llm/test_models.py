@@ -170,6 +170,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert again.law == model.law and again.share == model.share
 
 
+def test_bounded_sample_of_labels(spark):
+    known = spark.range(5000).select(F.col("id").alias("_id"), (F.col("id") % 2).cast("int").alias("_y"))
+    got = {r["_id"] for r in toxicity._sample(known, 700).collect()}
+    assert len(got) == 700 and got == {r["_id"] for r in toxicity._sample(known.repartition(3), 700).collect()}
+    assert toxicity._sample(known, 5000).count() == 5000
+
+
 def test_toxicity_edge_cases(spark):
     schema, kinds = "doc_id long, text string", "doc_id long, toxic int"
     docs = spark.createDataFrame([(1, None), (1, ""), (None, "a b"), (2, "x " * 50_000)], schema)
