@@ -13,6 +13,9 @@ import os
 import sys
 import time
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from pageloom.catalog.queries import all_queries
 from pageloom.plans.session import local_session
 from pageloom.plans.staging import drop_staged
@@ -46,8 +49,12 @@ HEADLINES = [
     "topic_catalog",
     "topic_title_pairs",
     "topic_search_sql",
+    "topic_any_catalog",
+    "topic_any_pairs",
+    "topic_any_search",
     "stream_tfidf",
     "stream_topics",
+    "stream_any_topics",
 ]
 
 
@@ -61,11 +68,14 @@ def main() -> None:
     registered["doc_len"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     seconds: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for name in chosen:
-        start = time.perf_counter()
-        registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        start, seen = time.perf_counter(), Observation()
+        result = registered[name](spark, sf_dir).observe(seen, F.count(F.lit(1)).alias("n"))
+        result.write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
-        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
+        rows[name] = seen.get["n"]
+        print(f"{name}: {seconds[name]} ({rows[name]} rows)", file=sys.stderr, flush=True)
         drop_staged(spark)
     print(
         json.dumps(
@@ -74,6 +84,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows": rows,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": cpus,
             }

@@ -19,26 +19,32 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="pageloom")
     sub = parser.add_subparsers(dest="job", required=True)
 
+    needed = object()
+
     def job(name: str, *paths: str, **options) -> None:
         command = sub.add_parser(name)
         for path in paths:
             command.add_argument(path)
         for option, (kind, default) in options.items():
-            command.add_argument("--" + option.replace("_", "-"), type=kind, default=default)
+            name = "--" + option.replace("_", "-")
+            if default is needed:
+                command.add_argument(name, type=kind, required=True)
+            else:
+                command.add_argument(name, type=kind, default=default)
 
     job("ngrams", "input", "output", n=(int, 5), k=(int, 5))
     job("tfidf", "input", "output")
     job("components", "input", "output", threshold=(float, 0.3), metric=(str, "euclid"))
     job("pagerank", "input", "links", "output", rounds=(int, 10), threshold=(float, 0.3))
     job("weights", "input", "output")
-    job("topics", "input", "catalog", "pairs", min_overlap=(int, 30), k=(int, 50))
+    job("topics", "input", "catalog", "pairs", min_overlap=(int, 30), k=(int, 50), features=(int, needed))
     job(
         "topic-stream", "input", "output", "checkpoint",
-        min_overlap=(int, 30), k=(int, 50), interval=(str, "15 seconds"),
+        min_overlap=(int, 30), k=(int, 50), features=(int, needed), interval=(str, "15 seconds"),
     )
-    job("search", "table", topic=(str, None))
+    job("search", "table", "output", topic=(str, None))
     job("lookup-stream", "table", "input", "output", "checkpoint", interval=(str, "3 seconds"))
-    job("matrix", "input", "output", k=(int, 50))
+    job("matrix", "input", "output", k=(int, 50), features=(int, needed))
     return parser
 
 
@@ -61,21 +67,21 @@ def main() -> None:
             jobs.weights_job(spark, args.input, args.output)
         elif args.job == "topics":
             jobs.topic_job(
-                spark, args.input, args.catalog, args.pairs, args.min_overlap, args.k
+                spark, args.input, args.catalog, args.pairs, args.min_overlap, args.features, args.k
             )
         elif args.job == "topic-stream":
             jobs.topic_stream_job(
-                spark, args.input, args.output, args.min_overlap, args.checkpoint, args.k,
-                args.interval,
+                spark, args.input, args.output, args.min_overlap, args.checkpoint,
+                args.features, args.k, args.interval,
             ).awaitTermination()
         elif args.job == "search":
-            jobs.search_job(spark, args.table, args.topic).show(100, truncate=False)
+            jobs.search_job(spark, args.table, args.output, args.topic)
         elif args.job == "lookup-stream":
             jobs.lookup_stream_job(
                 spark, args.table, args.input, args.output, args.checkpoint, args.interval
             ).awaitTermination()
         else:
-            jobs.matrix_job(spark, args.input, args.output, args.k)
+            jobs.matrix_job(spark, args.input, args.output, args.features, args.k)
     finally:
         drop_staged(spark)
         spark.stop()

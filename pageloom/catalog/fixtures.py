@@ -50,6 +50,15 @@ def part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return following.where("step = 1").select("src", "dst")
 
 
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between documents by a rule on their ids: each links to three others."""
+    documents = table(spark, sf_dir, "documents")
+    n = documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
+    src = F.col("doc_id")
+    targets = F.array((src + 1) % n, (src * 3 + 1) % n, (src * 7 + 5) % n)
+    return documents.select(src.alias("src"), F.explode(targets).alias("dst"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("features")

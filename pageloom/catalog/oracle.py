@@ -7,7 +7,10 @@ unrolled rounds.
 from __future__ import annotations
 
 from pageloom.catalog.queries import (
+    ANY_OVERLAP,
+    BATCHES,
     FREQUENT,
+    LONG_ROUNDS,
     MATRIX_WORDS,
     MIN_OVERLAP,
     ROUNDS,
@@ -19,7 +22,7 @@ from pageloom.catalog.queries import (
 
 ASCII = "list_transform(regexp_extract_all(text, '[a-zA-Z]+'), lambda x: lower(x))"
 WS = r"list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')"
-LONG = f"list_filter({ASCII}, lambda x: length(x) >= 3)"
+LONG = "list_filter(string_split(lower(text), ' '), lambda x: length(x) >= 3)"
 ONE_LINE = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 TITLE = "source || '/' || doc_id"
 NS = "CASE WHEN lang = 'en' THEN '0' ELSE '4' END"
@@ -131,8 +134,14 @@ LINKS = """
            ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber)"""
 
 
-def _ranks(links: str = "li") -> str:
-    """CTEs ``r0`` .. ``r<ROUNDS>``."""
+PAGE_LINKS = """
+    li AS (SELECT DISTINCT doc_id AS src, unnest([(doc_id + 1) % m, (doc_id * 3 + 1) % m,
+                  (doc_id * 7 + 5) % m]) AS dst
+           FROM documents, (SELECT max(doc_id) + 1 AS m FROM documents))"""
+
+
+def _ranks(links: str = "li", rounds: int = ROUNDS) -> str:
+    """CTEs ``r0`` .. ``r<rounds>``."""
     parts = [
         f"od AS (SELECT src, count(*) AS n_links FROM {links} GROUP BY ALL)",
         "r0 AS (SELECT src AS page, 1.0::DOUBLE AS rank FROM od)",
@@ -141,7 +150,7 @@ def _ranks(links: str = "li") -> str:
         f"""r{i} AS (SELECT dst AS page, 0.2::DOUBLE + 0.8::DOUBLE * sum(rank / n_links) AS rank
                FROM {links} l JOIN r{i - 1} r ON r.page = l.src JOIN od USING (src)
                GROUP BY dst)"""
-        for i in range(1, ROUNDS + 1)
+        for i in range(1, rounds + 1)
     ]
     return ", ".join(parts)
 
@@ -174,7 +183,8 @@ def _lloyd() -> str:
 
 # -- topics ----------------------------------------------------------------
 
-TOPICS = f"""
+def _topics(min_overlap: int, below: str) -> str:
+    return f"""
     WITH {_counts(WS)}, {SMOOTH},
     asg AS (SELECT doc_id AS page_id, source AS cluster, {TITLE} AS title FROM documents),
     cs AS (SELECT cluster, count(*) AS n_pages FROM asg GROUP BY ALL),
@@ -186,9 +196,9 @@ TOPICS = f"""
             FROM ce) WHERE rank <= 100),
     ov AS (SELECT page_id, cluster, sum(n)::BIGINT AS n_tokens FROM tf JOIN tw USING (word)
            GROUP BY page_id, cluster),
-    me AS (SELECT page_id, cluster FROM ov WHERE n_tokens >= {MIN_OVERLAP}),
+    me AS (SELECT page_id, cluster FROM ov WHERE n_tokens >= {min_overlap}),
     ke AS (SELECT cluster, count(*) AS n_pages FROM me GROUP BY ALL
-           HAVING count(*) > 1 AND count(*) < 50),
+           HAVING count(*) > 1 {below}),
     ti AS (SELECT me.cluster, a.title FROM me JOIN ke USING (cluster)
            JOIN asg a ON a.page_id = me.page_id),
     pa AS (SELECT word AS topic, title FROM tw JOIN ti USING (cluster)),
@@ -198,6 +208,10 @@ TOPICS = f"""
            (SELECT cluster, string_agg(word, ',' ORDER BY rank) AS words FROM tw
             WHERE rank <= 5 GROUP BY cluster) USING (cluster))"""
 
+
+TOPICS = _topics(MIN_OVERLAP, "AND count(*) < 50")
+ANY = _topics(ANY_OVERLAP, "")
+
 _MATRIX = ", ".join(
     f"round(coalesce(sum(CASE WHEN word = '{w}' THEN weight END), 0), 9) AS w_{w}"
     for w in MATRIX_WORDS
@@ -219,7 +233,9 @@ def all_sql() -> dict[str, str]:
             SELECT doc_id AS page_id, 'title' AS kind, {TITLE} AS value FROM documents
             UNION ALL SELECT doc_id, 'id', doc_id::VARCHAR FROM documents
             UNION ALL SELECT doc_id, 'id', (doc_id + 1000000)::VARCHAR FROM documents
-            UNION ALL SELECT doc_id, 'id', n_chars::VARCHAR FROM documents""",
+            UNION ALL SELECT doc_id, 'id', n_chars::VARCHAR FROM documents
+            UNION ALL SELECT doc_id, 'id', (doc_id + 2000000)::VARCHAR FROM documents
+            UNION ALL SELECT doc_id, 'id', (n_chars + 1)::VARCHAR FROM documents""",
         "ns_filter": f"""
             SELECT doc_id AS page_id, {TITLE} AS title, '0' AS ns FROM documents
             WHERE lang = 'en'""",
@@ -272,6 +288,10 @@ def all_sql() -> dict[str, str]:
             WITH {_grams(5)}, gc AS (SELECT gram, count(*) AS n FROM gr GROUP BY ALL) {_TOP5}""",
         "ngram3_top": f"""
             WITH {_grams(3)}, gc AS (SELECT gram, count(*) AS n FROM gr GROUP BY ALL) {_TOP5}""",
+        "ngram5_revisions": f"""
+            WITH documents AS (SELECT text FROM main.documents
+                UNION ALL SELECT substr(text, 1, length(text) // 2) FROM main.documents),
+            {_grams(5)}, gc AS (SELECT gram, count(*) AS n FROM gr GROUP BY ALL) {_TOP5}""",
         "ngram5_compat": f"""
             WITH gr AS (SELECT len(w) AS times, unnest(list_transform(range(2, len(w) - 4),
                      lambda i: array_to_string(w[i:i + 3], ',') || w[i + 4])) AS gram
@@ -312,7 +332,12 @@ def all_sql() -> dict[str, str]:
                       AS rank FROM ra)
             WHERE rank <= 100""",
         "doc_term_matrix": f"""
-            {ratio} SELECT doc_id AS page_id, source AS section, {_MATRIX}
+            WITH {_counts(LONG)}, {LOG2}
+            SELECT page_id, source AS section, word, round(weight, 9) AS weight
+            FROM ra JOIN documents ON doc_id = page_id""",
+        "doc_term_columns": f"""
+            WITH {_counts(LONG)}, {LOG2}
+            SELECT doc_id AS page_id, source AS section, {_MATRIX}
             FROM documents LEFT JOIN ra ON ra.page_id = doc_id GROUP BY ALL""",
         "page_copies": f"WITH {COPIES} SELECT page_id, rep FROM co",
         "pair_euclid": f"{_found('euclid', THRESHOLD)} SELECT page_a, page_b, dist FROM fo",
@@ -323,12 +348,16 @@ def all_sql() -> dict[str, str]:
             {ratio}, {NORMS}, {COPIES.replace('pw AS', 'pw2 AS').replace('FROM pw', 'FROM pw2')},
             li AS (SELECT rep, count(*) AS n_pages, any_value(nn) AS nn FROM co
                    JOIN nr ON nr.page_id = co.rep GROUP BY rep)
-            SELECT rep, n_pages, round(nn, 9) AS norm_sq FROM li
-            WHERE nn + (SELECT min(nn) FROM li) <= pow({WIDE_THRESHOLD} + 5e-7, 2)""",
+            SELECT rep, n_pages, round(nn, 12) AS norm_sq FROM li a
+            WHERE EXISTS (SELECT 1 FROM li b WHERE b.rep <> a.rep
+                          AND a.nn + b.nn <= pow({WIDE_THRESHOLD} + 5e-7, 2))""",
         "similar_pages": f"""
-            {_found('euclid', THRESHOLD)}
-            SELECT page_a AS page_id, page_b AS similar_id, dist FROM fo
-            UNION ALL SELECT page_b, page_a, dist FROM fo""",
+            {_found('euclid', THRESHOLD)},
+            co AS (SELECT page_id, min(page_id) OVER (PARTITION BY list_sort(w)) AS rep
+                   FROM pw WHERE len(w) > 0),
+            bo AS (SELECT page_a AS rep, page_b AS similar_id, dist FROM fo
+                   UNION ALL SELECT page_b, page_a, dist FROM fo)
+            SELECT page_id, similar_id, dist FROM bo JOIN co USING (rep)""",
         "cc_labels": f"{labels} SELECT page_id, component FROM lb",
         "cc_labels_wide": f"{_labels(WIDE_THRESHOLD)} SELECT page_id, component FROM lb",
         "cc_count": f"""
@@ -347,6 +376,15 @@ def all_sql() -> dict[str, str]:
         "out_degree": f"WITH {LINKS} SELECT src, count(*) AS n_links FROM li GROUP BY src",
         "pagerank_ranks": f"""
             WITH {LINKS}, {_ranks()} SELECT page, round(rank, 6) AS rank FROM r{ROUNDS}""",
+        "pagerank_long": f"""
+            WITH {LINKS}, {_ranks(rounds=LONG_ROUNDS)}
+            SELECT page, round(rank, 6) AS rank FROM r{LONG_ROUNDS}""",
+        "pagerank_chain": f"""
+            {labels}, {PAGE_LINKS},
+            ch AS (SELECT page_id AS page FROM lb JOIN dl USING (page_id)
+                   QUALIFY rank() OVER (PARTITION BY component ORDER BY len) = 1),
+            lf AS (SELECT src, dst FROM li WHERE src IN (FROM ch) OR dst IN (FROM ch)),
+            {_ranks('lf')} SELECT page, round(rank, 6) AS rank FROM r{ROUNDS}""",
         "pagerank_top5": f"""
             WITH {LINKS}, {_ranks()}
             SELECT page, round(rank, 6) AS rank, p_name AS title FROM r{ROUNDS}
@@ -384,6 +422,24 @@ def all_sql() -> dict[str, str]:
         "topic_search_sql": f"""
             {TOPICS} SELECT DISTINCT topic, title FROM pa WHERE topic = '{SEARCHED}'""",
         "topic_label": f"{TOPICS} SELECT 'Topic: ' || topic AS label, title FROM pa",
+        "topic_any_band": f"{ANY} SELECT cluster, n_pages FROM ke",
+        "topic_any_titles": f"{ANY} SELECT cluster, title FROM ti",
+        "topic_any_catalog": f"{ANY} SELECT cluster, words, n_titles FROM ca",
+        "topic_any_pairs": f"{ANY} SELECT topic, title FROM pa",
+        "topic_any_search": f"""
+            {ANY} SELECT DISTINCT topic, title FROM pa WHERE topic = '{SEARCHED}'""",
+        "topic_all_titles": f"{ANY} SELECT title FROM pa",
+        "stream_any_topics": f"{ANY} SELECT cluster, words, n_titles FROM ca",
+        "stream_any_lookup": f"""
+            {ANY} SELECT topic, title FROM pa JOIN
+            (SELECT DISTINCT unnest({WS}) AS topic FROM benchmark) USING (topic)""",
+        "stream_tfidf_batches": f"""
+            WITH {_counts(WS)},
+            kt AS (SELECT *, page_id % {BATCHES} AS key FROM tf),
+            kd AS (SELECT key, word, count(*) AS df FROM kt GROUP BY ALL),
+            kn AS (SELECT doc_id % {BATCHES} AS key, count(*) AS n_all FROM documents GROUP BY ALL)
+            SELECT page_id, word, round(n * ln((n_all + 1) / (df + 1)), 9) AS weight
+            FROM kt JOIN kd USING (key, word) JOIN kn USING (key)""",
         "stream_tfidf": f"{smooth} SELECT page_id, word, round(weight, 9) AS weight FROM sm",
         "stream_topics": f"{TOPICS} SELECT cluster, words, n_titles, titles FROM ca",
         "stream_topic_lookup": f"""

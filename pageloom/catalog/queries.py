@@ -36,7 +36,11 @@ ROUNDS = 5
 START_CENTRES = 10
 FREQUENT = 50
 SEARCHED = "the"
-MATRIX_WORDS = ["the", "of", "and", "on", "it", "le", "la", "de", "en", "un"]
+MATRIX_WORDS = ["the", "and", "that", "les", "des", "der", "die", "que", "los", "por"]
+#: Topics of any size from this overlap on: some at every scale of the tables.
+ANY_OVERLAP = 60
+LONG_ROUNDS = 8
+BATCHES = 3
 
 
 def query(fn: Query) -> Query:
@@ -76,6 +80,13 @@ def _xml_lines(spark, sf) -> str:
         "text",
         (F.col("page_id") + 1_000_000).alias("revision_id"),
         F.col("n_chars").alias("contributor_id"),
+        F.array(
+            F.struct(
+                (F.col("page_id") + 2_000_000).alias("id"),
+                (F.col("n_chars") + 1).alias("contributor_id"),
+                F.expr("substring(text, 1, length(text) div 2)").alias("text"),
+            )
+        ).alias("older"),
     )
     wx.render_pages(rendered).write.text(path)
     return path
@@ -235,7 +246,7 @@ def doc_len(spark, sf):
 
 @query
 def doc_freq(spark, sf):
-    return terms.doc_freq(terms.term_freq(fx.pages(spark, sf)))
+    return terms.page_freq(fx.pages(spark, sf))
 
 
 @query
@@ -253,6 +264,13 @@ def ngram3_top(spark, sf):
     return ngrams.top_grams(ngrams.gram_counts(fx.pages(spark, sf), 3))
 
 
+@query
+def ngram5_revisions(spark, sf):
+    """Every revision of a page counts."""
+    pages = wx.revision_texts(wx.read_page_chunks(spark, _xml_lines(spark, sf)))
+    return ngrams.top_grams(ngrams.gram_counts(pages, 5))
+
+
 @query
 def ngram5_compat(spark, sf):
     return ngrams.top_grams(ngrams.gram_counts_compat(fx.pages(spark, sf)))
@@ -295,10 +313,7 @@ def tfidf_hashed(spark, sf):
 
 @query
 def term_weights(spark, sf):
-    pages = fx.pages(spark, sf)
-    counts = tfidf.count_corpus(pages, tx.ws_words)
-    buckets = F.lit(1 << 20)
-    return _rounded(tfidf.token_weights(pages, tfidf.hashed(counts, buckets), buckets))
+    return _rounded(tfidf.token_weights(fx.pages(spark, sf), F.lit(1 << 20)))
 
 
 @query
@@ -329,10 +344,18 @@ def doc_top_terms(spark, sf):
     return _rounded(tfidf.top_terms_per_page(tfidf.log2_ratio(counts)))
 
 
+def _log2_weights(spark, sf) -> DataFrame:
+    return tfidf.log2_ratio(tfidf.count_corpus(fx.pages(spark, sf), tfidf.log2_words))
+
+
 @query
 def doc_term_matrix(spark, sf):
-    pages = fx.pages(spark, sf)
-    matrix = tfidf.term_matrix(pages, _ratio(spark, sf), MATRIX_WORDS)
+    return _rounded(tfidf.term_rows(fx.pages(spark, sf), _log2_weights(spark, sf)))
+
+
+@query
+def doc_term_columns(spark, sf):
+    matrix = tfidf.term_matrix(fx.pages(spark, sf), _log2_weights(spark, sf), MATRIX_WORDS)
     for word in MATRIX_WORDS:
         matrix = _rounded(matrix, f"w_{word}")
     return matrix
@@ -367,12 +390,13 @@ def pair_symdiff(spark, sf):
 
 @query
 def light_pages(spark, sf):
-    return _rounded(similarity.light_pages(_vectors(spark, sf), WIDE_THRESHOLD), "norm_sq")
+    return _rounded(similarity.light_pages(_vectors(spark, sf), WIDE_THRESHOLD), "norm_sq", 12)
 
 
 @query
 def similar_pages(spark, sf):
-    return similarity.neighbours(similarity.found_pairs(_vectors(spark, sf), THRESHOLD))
+    vectors = _vectors(spark, sf)
+    return similarity.neighbours(similarity.found_pairs(vectors, THRESHOLD), vectors.copies)
 
 
 def _labels(spark, sf, threshold: float = THRESHOLD) -> DataFrame:
@@ -411,7 +435,8 @@ def cc_titles(spark, sf):
 
 @query
 def cc_shortest(spark, sf):
-    return page_graph.shortest_pages(_labels(spark, sf), terms.doc_len(fx.pages(spark, sf)))
+    vectors = _vectors(spark, sf)
+    return page_graph.shortest_pages(page_graph.page_components(vectors, THRESHOLD), vectors.lengths)
 
 
 @query
@@ -424,6 +449,23 @@ def pagerank_ranks(spark, sf):
     return _rounded(pagerank.ranks(fx.part_links(spark, sf), ROUNDS), "rank", 6)
 
 
+@query
+def pagerank_long(spark, sf):
+    """Enough rounds for the ranks to be checkpointed on the way."""
+    return _rounded(pagerank.ranks(fx.part_links(spark, sf), LONG_ROUNDS), "rank", 6)
+
+
+@query
+def pagerank_chain(spark, sf):
+    """Pages, components, shortest pages, the links at them, ranks."""
+    vectors = _vectors(spark, sf)
+    labels = page_graph.page_components(vectors, THRESHOLD)
+    chosen = page_graph.shortest_pages(labels, vectors.lengths)
+    page = chosen.select(F.col("page_id").alias("page"))
+    kept = pagerank.links_between(fx.page_links(spark, sf), stage(page, "chosen"), either=True)
+    return _rounded(pagerank.ranks(kept, ROUNDS), "rank", 6)
+
+
 def _part_titles(spark, sf) -> DataFrame:
     return fx.table(spark, sf, "part").select(
         F.col("p_partkey").alias("page"), F.col("p_name").alias("title")
@@ -474,7 +516,9 @@ def l2_normalize(spark, sf):
 
 @query
 def kmeans_ml(spark, sf):
-    vectors = tfidf.hashed_vectors(fx.pages(spark, sf), num_features=1 << 14)
+    pages = fx.pages(spark, sf)
+    n_words = terms.page_freq(pages, tx.ws_words).count()
+    vectors = tfidf.hashed_vectors(pages, num_features=max(n_words, 1))
     assigned, _ = clustering.kmeans(vectors.select("page_id", "features"), k=50)
     return assigned
 
@@ -491,13 +535,20 @@ def _weighted(spark, sf) -> tuple[DataFrame, DataFrame]:
     return counts.tf, tfidf.smoothed(counts)
 
 
-def _topics(spark, sf) -> topics.TopicModel:
+def _topics(
+    spark, sf, min_overlap: int = MIN_OVERLAP, below: int | None = topics.SIZE_BELOW
+) -> topics.TopicModel:
     tf, weights = _weighted(spark, sf)
     return topics.build_topics(
-        tf, weights, fx.assignment(spark, sf), fx.titles(spark, sf), MIN_OVERLAP
+        tf, weights, fx.assignment(spark, sf), fx.titles(spark, sf), min_overlap, below=below
     )
 
 
+def _any_topics(spark, sf) -> topics.TopicModel:
+    """Topics without an upper end of their size."""
+    return _topics(spark, sf, ANY_OVERLAP, None)
+
+
 def _topic_words(spark, sf) -> tuple[DataFrame, DataFrame]:
     tf, weights = _weighted(spark, sf)
     centres = topics.centroids(weights, fx.assignment(spark, sf))
@@ -570,12 +621,44 @@ def topic_label(spark, sf):
     return search.labelled(spark)
 
 
+@query
+def topic_any_band(spark, sf):
+    return _any_topics(spark, sf).kept
+
+
+@query
+def topic_any_titles(spark, sf):
+    return _any_topics(spark, sf).titled
+
+
+@query
+def topic_any_catalog(spark, sf):
+    return _any_topics(spark, sf).counted()
+
+
+@query
+def topic_any_pairs(spark, sf):
+    return _any_topics(spark, sf).pairs()
+
+
+@query
+def topic_any_search(spark, sf):
+    search.register(_any_topics(spark, sf).pairs())
+    return search.titles_for(spark, SEARCHED)
+
+
+@query
+def topic_all_titles(spark, sf):
+    search.register(_any_topics(spark, sf).pairs())
+    return search.all_titles(spark)
+
+
 # -- streaming -----------------------------------------------------------------
 
 
 def _page_stream(spark, sf) -> DataFrame:
     schema = fx.table(spark, sf, "documents").schema
-    return fx.as_pages(stream.parquet_stream(spark, schema, f"{sf}/documents.parque[t]"))
+    return fx.as_pages(stream.parquet_stream(spark, schema, f"{sf}/documents.parque[t]", None))
 
 
 @query
@@ -584,6 +667,32 @@ def stream_tfidf(spark, sf):
     return _rounded(spark.read.parquet(out).select("page_id", "word", "weight"))
 
 
+@query
+def stream_tfidf_batches(spark, sf):
+    """Several batches: what has arrived at each start is one, with counts of its own."""
+    documents = fx.table(spark, sf, "documents")
+    folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "stream-batches")
+    checkpoint = scratch_path(spark, "batches-checkpoint")
+    for key in range(BATCHES):
+        arrived = documents.where(F.col("doc_id") % BATCHES == key)
+        arrived.write.mode("append").parquet(folder)
+        pages = fx.as_pages(stream.parquet_stream(spark, documents.schema, folder, None))
+        stream.start(pages, stream.tfidf_batches(out), checkpoint).awaitTermination()
+    return _rounded(spark.read.parquet(out).select("page_id", "word", "weight"))
+
+
+@query
+def stream_any_topics(spark, sf):
+    def by_source(batch: DataFrame) -> DataFrame:
+        return batch.select("page_id", F.col("section").alias("cluster"))
+
+    def work(out: str):
+        return stream.topic_batches(out, by_source, ANY_OVERLAP, below=None)
+
+    out = stream.run_now(spark, _page_stream(spark, sf), work, "stream-any-topics")
+    return spark.read.parquet(f"{out}/catalog").drop("batch_id")
+
+
 @query
 def stream_topics(spark, sf):
     def by_source(batch: DataFrame) -> DataFrame:
@@ -602,7 +711,20 @@ def stream_topic_lookup(spark, sf):
     arriving = scratch_path(spark, "asked")
     asked = fx.table(spark, sf, "benchmark").select(F.explode(tx.ws_words(F.col("text"))).alias("value"))
     asked.distinct().write.text(arriving)
-    table = stage(_topics(spark, sf).pairs(), "pairs")
+    return _looked_up(spark, _topics(spark, sf), arriving)
+
+
+@query
+def stream_any_lookup(spark, sf):
+    """The lookup in topics of any size."""
+    arriving = scratch_path(spark, "asked")
+    asked = fx.table(spark, sf, "benchmark").select(F.explode(tx.ws_words(F.col("text"))).alias("value"))
+    asked.distinct().write.text(arriving)
+    return _looked_up(spark, _any_topics(spark, sf), arriving)
+
+
+def _looked_up(spark, model: topics.TopicModel, arriving: str) -> DataFrame:
+    table = stage(model.pairs(), "pairs")
     out = scratch_path(spark, "found")
     stream.lookup(
         stream.line_stream(spark, arriving), table, out, scratch_path(spark, "found-checkpoint")

@@ -19,12 +19,11 @@ search and would only be a long list:
 The three together are the whole result (``tests/test_similarity.py`` unfolds
 and compares them with all pairs).
 
-Finding rests on one fact.  Let ``P`` be words of ``x`` with
-``sum_{w in P} x_w^2 > t^2``.  A page with none of them is farther than ``t``
-from ``x``.  So ``x`` needs to look only at the pages listed under the words of
-``P``, and ``P`` is chosen to be cheap: the words with the fewest pages first.
-In a found pair the heavier page always has such a ``P`` (all its words,
-if need be: a page without a common word is at ``|x|^2 + |y|^2 > t^2``).
+Finding rests on one order of all words, rarest first.  At the first word that two
+pages share, the words before it are in one of them only, so their squared weights,
+``before_x + before_y``, are part of the squared distance.  A pair within ``t`` thus
+meets at a word where that sum is at most ``t^2``, and the common words, which come
+last, hardly ever are such a place.
 """
 
 from __future__ import annotations
@@ -44,9 +43,12 @@ HALF_UNIT = 5e-7
 #: Pages of one word that one join group may hold; longer lists are split.
 PAGES_PER_SPLIT = 20_000
 
-#: Probed squared weight in units of ``t^2``.  More than 1 is not needed to find
-#: every pair, but a few more words tell most far pages apart at once.
-PROBE_MASS = 1.5
+#: Words are compared up to this much squared weight before them, in units of ``t^2``.
+#: 1 is enough to find every pair; more makes more rows meet and fewer pairs verified.
+COMPARED_MASS = 1.0
+
+#: Steps of the weight before a word that are part of the join key.
+MASS_STEPS = 4
 
 METRICS = ("euclid", "symdiff")
 
@@ -58,12 +60,14 @@ class Vectors:
     ``copies``: ``(page_id, rep)`` for every page with a token.
     ``norms``: ``(rep, n_pages, norm_sq)`` per content.
     ``terms``: ``(rep, word, df, weight, norm_sq, before)``; ``before`` is the
-    squared weight of the content's words that come first in probing order.
+    squared weight of the content's words that come first in the order of all words.
+    ``lengths``: ``(page_id, n_words)`` for every page with a token.
     """
 
     copies: DataFrame
     norms: DataFrame
     terms: DataFrame
+    lengths: DataFrame | None = None
 
 
 def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
@@ -77,21 +81,20 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     words = kept.select("page_id", ascii_words(F.col("text")).alias("words"))
     signature = F.unhex(F.sha2(F.array_join(F.array_sort("words"), " "), 256))
     signed = words.withColumn("signature", signature).withColumn("len", F.size("words"))
-
-    vocabulary = stage(
-        words.select(F.explode(F.array_distinct("words")).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("df")),
-        "vocabulary",
+    # the only pass over the text
+    counts = stage(
+        explode_words(signed, "page_id", "signature", "len")
+        .groupBy("page_id", "signature", "len", "word")
+        .agg(F.count("*").alias("n")),
+        "counts",
     )
+    vocabulary = stage(counts.groupBy("word").agg(F.count("*").alias("df")), "vocabulary")
     # copies add up here: ``total`` is the count of one page times the copies
-    tf = (
-        explode_words(signed, "page_id", "signature", "len")
-        .groupBy("signature", "len", "word")
-        .agg(F.min("page_id").alias("rep"), F.count("*").alias("total"))
+    tf = counts.groupBy("signature", "len", "word").agg(
+        F.min("page_id").alias("rep"), F.sum("n").alias("total")
     )
     of_page = Window.partitionBy("rep")
-    probing = of_page.orderBy("df", "word").rowsBetween(
+    in_order = of_page.orderBy("df", "word").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     n_pages = F.sum("total").over(of_page) / F.col("len")
@@ -102,7 +105,7 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
         .withColumn("n_pages", n_pages.cast("bigint"))
         .withColumn("weight", F.col("total") / F.col("n_pages") / F.col("len") * idf)
         .withColumn("norm_sq", F.sum(square).over(of_page))
-        .withColumn("before", F.sum(square).over(probing) - square)
+        .withColumn("before", F.sum(square).over(in_order) - square)
     )
     vectors = stage(
         ordered.select("rep", "n_pages", "word", "df", "weight", "norm_sq", "before"), "vectors"
@@ -113,106 +116,139 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
         ),
         "norms",
     )
-    return Vectors(_copies(signed.select("page_id", "signature")), norms, vectors.drop("n_pages"))
+    of_counts = counts.groupBy("page_id", "signature").agg(F.max("len").alias("len"))
+    signatures = stage(of_counts, "signatures")
+    return Vectors(
+        _copies(signatures),
+        norms,
+        vectors.drop("n_pages"),
+        signatures.select("page_id", F.col("len").cast("bigint").alias("n_words")),
+    )
 
 
-def _copies(signed: DataFrame) -> DataFrame:
+def _copies(signatures: DataFrame) -> DataFrame:
     """``(page_id, rep)``; both sides of the join are staged, so AQE can split a
     content that most pages share."""
-    no_words = F.unhex(F.sha2(F.lit(""), 256))
-    signatures = stage(signed, "signatures").where(F.col("signature") != no_words)
     lowest = stage(signatures.groupBy("signature").agg(F.min("page_id").alias("rep")), "lowest")
-    return signatures.join(lowest, "signature").select("page_id", "rep")
+    return signatures.select("page_id", "signature").join(lowest, "signature").select("page_id", "rep")
 
 
 def _reach(threshold: float) -> float:
     return threshold + HALF_UNIT
 
 
-def candidates(
+def meetings(
     vectors: Vectors,
     threshold: float,
     metric: str = "euclid",
     pages_per_split: int = PAGES_PER_SPLIT,
     among_light: bool = True,
+    mass: float = COMPARED_MASS,
 ) -> DataFrame:
-    """``(x, y, norm_x, norm_y)``: a superset of the found pairs.
+    """Pairs of contents at the words they share, as far as they are compared.
 
-    ``x`` is the heavier page and looks up its probing words.  For ``euclid``
-    norms may differ by ``t`` at most, so the lists are also keyed by norm in
-    steps of ``t``, and ``x`` looks into its own step and the one below.  A list
-    longer than ``pages_per_split`` is split by page, and the probes go to each
-    part, so that a word most pages hold makes no large group.
+    ``x`` is the heavier page.  The key holds the word, the step of the weight before
+    it on the list side (a probe goes to the steps that leave the sum within
+    ``mass * t^2``), and, for ``euclid``, whose norms differ by at most ``t``, the step
+    of the norm.  A word on more than ``pages_per_split`` pages is a grid of groups,
+    with probes dealt over its rows and lists over its columns, so that neither side of
+    a group is large.
 
     Without ``among_light``, pairs of two contents that are both in some light
     pair are left out; a graph does not need them.
-
-    Before a pair leaves, the distance over the probed words, plus the least
-    that the remaining words can add, must be within reach.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     reach = _reach(threshold)
     limit = reach * reach
-    listed = vectors.terms.where("weight > 0")
-    is_probe = F.col("before") <= limit * PROBE_MASS
-    norm = F.sqrt("norm_sq")
-    step = F.floor(norm / reach).cast("int") if metric == "euclid" else F.lit(0)
-    splits = F.ceil(F.col("df") / pages_per_split).cast("int")
+    most = limit * mass + 1e-9
+    euclid = metric == "euclid"
+    listed = vectors.terms.where((F.col("weight") > 0) & (F.col("before") <= most))
     # the heavier page of a found pair has more than half of the squared reach
     probing = F.col("norm_sq") * 2 > limit
     if not among_light:
         lightest = vectors.norms.agg(F.min("norm_sq").alias("m")).scalar()
         probing = F.col("norm_sq") + lightest > limit
-    own_step = F.floor(F.sqrt("norm_sq") / reach).cast("int")
-    steps = F.array(own_step - 1, own_step) if metric == "euclid" else F.array(F.lit(0))
-    probes = (
-        listed.where(probing & is_probe)
-        .select(
-            F.col("rep").alias("x"),
+    splits = F.ceil(F.col("df") / pages_per_split).cast("int")
+    every = F.sequence(F.lit(0), splits - 1)
+    own = F.pmod(F.xxhash64("rep"), splits).cast("int")
+    heavy = F.floor(F.col("before") / (most / MASS_STEPS)).cast("int")
+    norm_step = F.floor(F.sqrt("norm_sq") / reach).cast("int") if euclid else F.lit(0)
+    norm_steps = F.array(norm_step - 1, norm_step) if euclid else F.array(F.lit(0))
+
+    def side(rows: DataFrame, name: str, part: Column, parts: Column, *more: Column) -> DataFrame:
+        return rows.select(
+            F.col("rep").alias(name),
             "word",
-            F.col("weight").alias("wx"),
-            F.col("norm_sq").alias("norm_x"),
-            F.explode(F.sequence(F.lit(0), splits - 1)).alias("part"),
-            steps.alias("steps"),
+            F.col("weight").alias(f"w{name}"),
+            F.col("norm_sq").alias(f"norm_{name}"),
+            F.col("before").alias(f"before_{name}"),
+            part,
+            parts,
+            *more,
         )
+
+    probes = side(listed.where(probing), "x", own.alias("row"), every.alias("cols"),
+                  heavy.alias("heavy_x"), norm_steps.alias("steps"))
+    probes = (
+        probes.withColumn("col", F.explode("cols"))
         .withColumn("step", F.explode("steps"))
-        .drop("steps")
-    )
-    lists = listed.select(
-        F.col("rep").alias("y"),
-        "word",
-        F.col("weight").alias("wy"),
-        F.col("norm_sq").alias("norm_y"),
-        F.pmod(F.xxhash64("rep"), splits).cast("int").alias("part"),
-        step.alias("step"),
+        .withColumn("heavy", F.explode(F.sequence(F.lit(0), MASS_STEPS - F.col("heavy_x"))))
+        .drop("cols", "steps", "heavy_x")
     )
+    lists = side(listed, "y", own.alias("col"), every.alias("rows"),
+                 heavy.alias("heavy"), norm_step.alias("step"))
+    lists = lists.withColumn("row", F.explode("rows")).drop("rows")
     heavier = (F.col("norm_x") > F.col("norm_y")) | (
         (F.col("norm_x") == F.col("norm_y")) & (F.col("x") < F.col("y"))
     )
-    met = probes.join(lists, ["word", "part", "step"]).where(heavier)
-    met = met.where(F.col("norm_x") + F.col("norm_y") > limit)
-    if metric == "euclid":
-        met = met.where(F.sqrt("norm_x") - F.sqrt("norm_y") <= reach)
-    shared = met.groupBy("x", "y", "norm_x", "norm_y").agg(
-        F.sum(F.col("wx") * F.col("wy")).alias("dot"),
-        F.sum(F.col("wx") * F.col("wx")).alias("own"),
-        F.sum(F.col("wy") * F.col("wy")).alias("other"),
+    near = F.col("before_x") + F.col("before_y") <= most
+    if euclid:
+        near = near & (F.sqrt("norm_x") - F.sqrt("norm_y") <= reach)
+    return (
+        probes.join(lists, ["word", "row", "col", "step", "heavy"])
+        .where(heavier & near & (F.col("norm_x") + F.col("norm_y") > limit))
+        .drop("row", "col", "step", "heavy")
     )
-    probed = (
-        listed.where(is_probe)
-        .groupBy(F.col("rep").alias("x"))
-        .agg(F.sum(F.col("weight") * F.col("weight")).alias("probed"))
+
+
+def candidates(
+    vectors: Vectors,
+    threshold: float,
+    metric: str = "euclid",
+    pages_per_split: int = PAGES_PER_SPLIT,
+    among_light: bool = True,
+) -> DataFrame:
+    """``(x, y, norm_x, norm_y)``: a superset of the found pairs.
+
+    Of a pair's shared words, exactly those up to ``mass * t^2`` are met, so everything
+    else that comes earlier in the order is unshared.  With ``B`` the weight of both up
+    to and including the last word met, the squared distance is at least
+    ``max(B, mass * t^2)`` (or that of both pages, if less) less what the words met take
+    off; for ``euclid``, also ``B`` less that, plus the least that the rest can add.
+    """
+    limit = _reach(threshold) ** 2
+    most = limit * COMPARED_MASS
+    met = meetings(vectors, threshold, metric, pages_per_split, among_light)
+    wx, wy = F.col("wx"), F.col("wy")
+    upto_x, upto_y = F.col("before_x") + wx * wx, F.col("before_y") + wy * wy
+    off = 2 * wx * wy if metric == "euclid" else wx * wx + wy * wy
+    shared = met.groupBy("x", "y", "norm_x", "norm_y").agg(
+        F.sum(off).alias("off"),
+        F.min(F.col("before_x") + F.col("before_y")).alias("first"),
+        F.max(upto_x).alias("upto_x"),
+        F.max(upto_y).alias("upto_y"),
     )
-    shared = shared.join(probed, "x")
+    both = F.col("upto_x") + F.col("upto_y")
+    known = F.least(F.col("norm_x") + F.col("norm_y"), F.greatest(both, F.lit(most)))
+    least = known - F.col("off")
     if metric == "euclid":
-        rest_x = F.sqrt(F.greatest(F.col("norm_x") - F.col("probed"), F.lit(0.0)))
-        rest_y = F.sqrt(F.greatest(F.col("norm_y") - F.col("other"), F.lit(0.0)))
-        least = F.col("probed") - 2 * F.col("dot") + F.col("other") + F.pow(rest_x - rest_y, 2)
-    else:
-        least = F.col("probed") - F.col("own")
+        rest_x = F.sqrt(F.greatest(F.col("norm_x") - F.col("upto_x"), F.lit(0.0)))
+        rest_y = F.sqrt(F.greatest(F.col("norm_y") - F.col("upto_y"), F.lit(0.0)))
+        least = F.greatest(least, both - F.col("off") + F.pow(rest_x - rest_y, 2))
     # a little slack, so that rounding errors of the sums lose no pair
-    return shared.where(least <= limit + 1e-9).select("x", "y", "norm_x", "norm_y")
+    within = (F.col("first") <= limit + 1e-9) & (least <= limit + 1e-9)
+    return shared.where(within).select("x", "y", "norm_x", "norm_y")
 
 
 def found_pairs(
@@ -256,20 +292,28 @@ def light_pages(vectors: Vectors, threshold: float) -> DataFrame:
     Any two of them with ``norm_sq`` summing to at most ``t^2`` are a pair.
     """
     limit = _reach(threshold) ** 2
-    lightest = vectors.norms.agg(F.min("norm_sq").alias("m")).scalar()
-    return vectors.norms.where(F.col("norm_sq") + lightest <= limit)
+    lowest = F.min(F.struct("norm_sq", "rep"))
+    lightest = vectors.norms.agg(lowest["norm_sq"].alias("m")).scalar()
+    its_rep = vectors.norms.agg(lowest["rep"].alias("m")).scalar()
+    others = vectors.norms.where(F.col("rep") != its_rep)
+    second = others.agg(F.min("norm_sq").alias("m")).scalar()
+    partner = F.when(F.col("rep") == its_rep, second).otherwise(lightest)
+    return vectors.norms.where(F.col("norm_sq") + partner <= limit)
 
 
-def neighbours(pairs: DataFrame) -> DataFrame:
+def neighbours(pairs: DataFrame, copies: DataFrame) -> DataFrame:
     """Each pair seen from both sides: ``(page_id, similar_id, dist)``.
 
-    Rows, not lists: a page may have any number of neighbours.
+    Every page has its rows, copies too; ``similar_id`` is the lowest of its copies, and
+    the others are in ``copies``.  Rows, not lists: a page may have any number of
+    neighbours.
     """
     ends = F.array(
-        F.struct(F.col("page_a").alias("page_id"), F.col("page_b").alias("similar_id")),
-        F.struct(F.col("page_b").alias("page_id"), F.col("page_a").alias("similar_id")),
+        F.struct(F.col("page_a").alias("rep"), F.col("page_b").alias("similar_id")),
+        F.struct(F.col("page_b").alias("rep"), F.col("page_a").alias("similar_id")),
     )
-    return pairs.select(F.inline(ends), "dist")
+    both = stage(pairs.select(F.inline(ends), "dist"), "both-ends")
+    return both.join(stage(copies, "copies"), "rep").select("page_id", "similar_id", "dist")
 
 
 def similarity_vertices(vectors: Vectors, threshold: float) -> DataFrame:

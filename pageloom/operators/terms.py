@@ -57,15 +57,13 @@ def sized_term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> Dat
 def doc_len(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     """``(page_id, n_words)`` for pages with at least one token.
 
-    The length is the size of the token array, so no token row is made.
+    The length is the size of the token array, so no token row is made, and a page is
+    one row, so nothing is shuffled.  Short lists instead of a filter: Spark would move
+    that to where it splits the text again.
     """
-    sizes = pages.select("page_id", F.size(tokenizer(F.col("text"))).alias("size"))
-    # the filter comes last: earlier, Spark would move it to where it splits the text again
-    return (
-        sizes.groupBy("page_id")
-        .agg(F.sum("size").cast("bigint").alias("n_words"))
-        .where("n_words > 0")
-    )
+    size = F.array(F.size(tokenizer(F.col("text"))).cast("bigint"))
+    sizes = pages.select("page_id", F.explode_outer(F.filter(size, lambda n: n > 0)).alias("n_words"))
+    return sizes.where(F.col("n_words").isNotNull())
 
 
 def doc_freq(tf: DataFrame) -> DataFrame:
@@ -73,6 +71,12 @@ def doc_freq(tf: DataFrame) -> DataFrame:
     return tf.groupBy("word").agg(F.count("*").alias("df"))
 
 
+def page_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
+    """``(word, df)`` straight from the pages: one row per page and word, one shuffle."""
+    words = pages.select(F.explode(F.array_distinct(tokenizer(F.col("text")))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("df"))
+
+
 def corpus_stats(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     """One row: pages (all of them), tokens and distinct words.
 

@@ -1,7 +1,8 @@
 """Term weights.
 
 All forms start from the same two tables, staged once: the counts
-``(page_id, n_words, word, n)`` and the vocabulary ``(word, df)``.  The text is read and
+``(page_id, n_words, word, n)`` and, where it is needed, the vocabulary ``(word, df)``.
+The text is read and
 tokenised a single time, and the join on the word sees the true size of the
 vocabulary: it is broadcast if it is small, and otherwise shuffled against the
 counts with both sides open to AQE's skew splitting, as the most common words
@@ -11,12 +12,13 @@ occur on nearly every page.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import ascii_words, md5_bucket, ws_words
+from pageloom.functions.text import ascii_words, md5_bucket, space_words, ws_words
 from pageloom.operators import terms
 from pageloom.plans.staging import stage
 
@@ -26,24 +28,27 @@ class Counts:
     """Counts of one corpus; ``n_pages`` is a one-row expression."""
 
     tf: DataFrame
-    vocabulary: DataFrame
     n_pages: Column
 
+    @cached_property
+    def vocabulary(self) -> DataFrame:
+        """``(word, df)``, staged when it is first asked for."""
+        return stage(terms.doc_freq(self.tf), "vocabulary")
+
 
 def count_corpus(
     pages: DataFrame,
     tokenizer: terms.Tokenizer = ascii_words,
     keep: Column | None = None,
 ) -> Counts:
-    """Stage counts and vocabulary of the pages that pass ``keep``.
+    """Stage the counts of the pages that pass ``keep``.
 
     ``n_pages`` counts every page, also those that ``keep`` turns away and
     those without a token.
     """
     kept = pages if keep is None else pages.where(keep)
     tf = stage(terms.sized_term_freq(kept, tokenizer), "tf")
-    vocabulary = stage(terms.doc_freq(tf), "vocabulary")
-    return Counts(tf, vocabulary, pages.agg(F.count("*").alias("n")).scalar())
+    return Counts(tf, pages.agg(F.count("*").alias("n")).scalar())
 
 
 def ratio(counts: Counts) -> DataFrame:
@@ -63,8 +68,8 @@ def smoothed(counts: Counts) -> DataFrame:
 
 
 def log2_words(text: Column) -> Column:
-    """Lower-case words of three or more letters."""
-    return F.filter(ascii_words(text), lambda w: F.length(w) >= 3)
+    """Lower-cased words of three or more characters between single spaces."""
+    return F.filter(space_words(F.lower(text)), lambda w: F.length(w) >= 3)
 
 
 def log2_ratio(counts: Counts) -> DataFrame:
@@ -93,13 +98,25 @@ def hashed(counts: Counts, buckets: Column | None = None) -> DataFrame:
     return tf.join(df, "bucket").select("page_id", "bucket", weight.alias("weight"))
 
 
-def token_weights(pages: DataFrame, weights: DataFrame, buckets: Column) -> DataFrame:
-    """Every token position of a page with the weight of its bucket."""
-    rows = terms.tokens(pages, ws_words).withColumn(
-        "bucket", md5_bucket(F.col("word"), buckets)
+def token_weights(
+    pages: DataFrame, buckets: Column, tokenizer: terms.Tokenizer = ws_words
+) -> DataFrame:
+    """Every token position of a page with the smoothed weight of its bucket.
+
+    The places of a word on a page are a list (no longer than the page's text) beside
+    its count, so the text is read once and single tokens are never shuffled.
+    """
+    located = stage(
+        terms.tokens(pages, tokenizer)
+        .groupBy("page_id", "word")
+        .agg(F.collect_list("pos").alias("places"))
+        .withColumn("bucket", md5_bucket(F.col("word"), buckets)),
+        "located",
     )
-    return rows.join(weights, ["page_id", "bucket"], "left").select(
-        "page_id", "pos", "word", "weight"
+    tf = located.select("page_id", "word", F.size("places").cast("bigint").alias("n"))
+    weights = hashed(Counts(tf, pages.agg(F.count("*").alias("n")).scalar()), buckets)
+    return located.join(weights, ["page_id", "bucket"]).select(
+        "page_id", F.explode("places").alias("pos"), "word", "weight"
     )
 
 
@@ -150,8 +167,18 @@ def top_terms_per_page(weights: DataFrame, k: int = 100) -> DataFrame:
     return weights.withColumn("rank", F.rank().over(order)).where(F.col("rank") <= k)
 
 
+def term_rows(pages: DataFrame, weights: DataFrame) -> DataFrame:
+    """The document-term matrix over all words as ``(page_id, section, word, weight)``.
+
+    A cell that is not listed is 0.
+    """
+    return weights.join(pages.select("page_id", "section"), "page_id").select(
+        "page_id", "section", "word", "weight"
+    )
+
+
 def term_matrix(pages: DataFrame, weights: DataFrame, words: list[str]) -> DataFrame:
-    """One row per page, one column per listed word, 0 where it is absent.
+    """The matrix with one column per listed word, 0 where it is absent.
 
     ``pages`` gives ``page_id`` and ``section``.  The word list is the caller's,
     so the number of columns is fixed.

@@ -90,20 +90,18 @@ def page_topics(overlaps: DataFrame, min_overlap: int) -> DataFrame:
 
 
 def size_band(
-    memberships: DataFrame, above: int = SIZE_ABOVE, below: int = SIZE_BELOW
+    memberships: DataFrame, above: int = SIZE_ABOVE, below: int | None = SIZE_BELOW
 ) -> DataFrame:
-    """Clusters with more than ``above`` and fewer than ``below`` pages."""
-    return (
-        memberships.groupBy("cluster")
-        .agg(F.count("*").alias("n_pages"))
-        .where((F.col("n_pages") > above) & (F.col("n_pages") < below))
-    )
+    """Clusters with more than ``above`` and fewer than ``below`` pages (if given)."""
+    sizes = memberships.groupBy("cluster").agg(F.count("*").alias("n_pages"))
+    kept = sizes.where(F.col("n_pages") > above)
+    return kept if below is None else kept.where(F.col("n_pages") < below)
 
 
 def titles_of_topics(
     memberships: DataFrame, kept: DataFrame, titles: DataFrame
 ) -> DataFrame:
-    """``(cluster, title)`` of the kept clusters; fewer than ``SIZE_BELOW`` each."""
+    """``(cluster, title)`` of the kept clusters."""
     return (
         memberships.join(kept.select("cluster"), "cluster", "left_semi")
         .join(titles, "page_id")
@@ -130,11 +128,25 @@ def catalog(topic_words: DataFrame, titled: DataFrame, shown: int = SHOWN_WORDS)
     return words.join(title_lists(titled), "cluster")
 
 
+def catalog_counts(topic_words: DataFrame, titled: DataFrame, shown: int = SHOWN_WORDS) -> DataFrame:
+    """Per kept cluster its first words and the number of its titles.
+
+    For bands without a small upper end; the titles themselves stay rows.
+    """
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "word")))
+    words = (
+        topic_words.where(F.col("rank") <= shown)
+        .groupBy("cluster")
+        .agg(F.array_join(F.transform(ranked, lambda s: s["word"]), ",").alias("words"))
+    )
+    return words.join(titled.groupBy("cluster").agg(F.count("*").alias("n_titles")), "cluster")
+
+
 def topic_title_pairs(topic_words: DataFrame, titled: DataFrame) -> DataFrame:
     """The search table: every topic word with every title of its cluster.
 
-    Both sides are bounded per cluster, by the number of topic words and by the
-    size band.
+    One side is bounded per cluster by the number of topic words, so the rows are at
+    most that many times the memberships.
     """
     return topic_words.join(titled, "cluster").select(F.col("word").alias("topic"), "title")
 
@@ -152,6 +164,9 @@ class TopicModel:
     def catalog(self) -> DataFrame:
         return catalog(self.topic_words, self.titled)
 
+    def counted(self) -> DataFrame:
+        return catalog_counts(self.topic_words, self.titled)
+
     def pairs(self) -> DataFrame:
         return topic_title_pairs(self.topic_words, self.titled)
 
@@ -164,7 +179,7 @@ def build_topics(
     min_overlap: int,
     words: int = TOPIC_WORDS,
     above: int = SIZE_ABOVE,
-    below: int = SIZE_BELOW,
+    below: int | None = SIZE_BELOW,
 ) -> TopicModel:
     """Centroids, topic words, memberships, kept clusters and their titles."""
     topic_words = stage(top_terms(centroids(weights, assignment), words), "topic-words")

@@ -34,7 +34,8 @@ def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def gram_job(spark: SparkSession, path: str, out: str, n: int = 5, k: int = 5) -> DataFrame:
     """Wiki chunks -> the ``k`` most frequent n-grams, as tab lines."""
-    best = stage(ngrams.top_grams(ngrams.gram_counts(wx.read_page_chunks(spark, path), n), k), "top")
+    pages = wx.revision_texts(wx.read_page_chunks(spark, path))
+    best = stage(ngrams.top_grams(ngrams.gram_counts(pages, n), k), "top")
     ln.write_fields(best.orderBy("n", F.desc("gram")).coalesce(1), out)
     return best
 
@@ -77,8 +78,7 @@ def pagerank_job(
     pages = wiki_pages(spark, path)
     vectors = similarity.build_vectors(pages, keep=_is_article())
     labels = page_graph.page_components(vectors, threshold)
-    lengths = terms.doc_len(pages.where(_is_article()))
-    chosen = page_graph.shortest_pages(labels, lengths).select(
+    chosen = page_graph.shortest_pages(labels, vectors.lengths).select(
         F.col("page_id").cast("string").alias("page")
     )
     links = ln.parse_edge_lines(ln.read_lines(spark, links_path))
@@ -102,14 +102,18 @@ def weights_job(spark: SparkSession, path: str, out: str) -> DataFrame:
     return spark.read.schema(named.schema).parquet(out)
 
 
-def kmeans_assignment(pages: DataFrame, k: int = 50, num_features: int = 1 << 14) -> DataFrame:
-    """Clusters of pages by hashed TF-IDF."""
+def kmeans_assignment(pages: DataFrame, k: int, num_features: int) -> DataFrame:
+    """Clusters of pages by TF-IDF hashed to ``num_features`` dimensions.
+
+    With fewer dimensions than words, words share them and the clusters change; the
+    centres take ``k * num_features`` numbers.
+    """
     vectors = tfidf.hashed_vectors(pages, num_features=num_features)
     return clustering.kmeans(vectors, k=k)[0]
 
 
 def topics_of(
-    pages: DataFrame, min_overlap: int, k: int = 50, num_features: int = 1 << 14
+    pages: DataFrame, min_overlap: int, k: int, num_features: int
 ) -> topics.TopicModel:
     """TF-IDF, k-means, topic words, memberships and the size band."""
     counts = tfidf.count_corpus(pages, ws_words)
@@ -128,10 +132,11 @@ def topic_job(
     catalog_out: str,
     pairs_out: str,
     min_overlap: int,
+    num_features: int,
     k: int = 50,
 ) -> topics.TopicModel:
     """Tab corpus -> the topic catalogue, and the ``topic,title`` search table."""
-    model = topics_of(tab_pages(spark, path), min_overlap, k)
+    model = topics_of(tab_pages(spark, path), min_overlap, k, num_features)
     model.catalog().write.parquet(catalog_out)
     model.pairs().write.csv(pairs_out)
     return model
@@ -143,21 +148,29 @@ def topic_stream_job(
     out: str,
     min_overlap: int,
     checkpoint: str,
+    num_features: int,
     k: int = 50,
     interval: str | None = stream.TOPIC_INTERVAL,
 ):
     """Tab corpus files as they arrive -> a catalogue per batch."""
     arriving = ln.parse_tab_corpus(stream.line_stream(spark, path))
     work = stream.topic_batches(
-        out, lambda batch: kmeans_assignment(batch, k), min_overlap, show=interval is not None
+        out,
+        lambda batch: kmeans_assignment(batch, k, num_features),
+        min_overlap,
+        show=interval is not None,
     )
     return stream.start(arriving, work, checkpoint, interval)
 
 
-def search_job(spark: SparkSession, table_path: str, topic: str | None = None) -> DataFrame:
-    """The search table as a view: all of it labelled, or one topic's titles."""
+def search_job(
+    spark: SparkSession, table_path: str, out: str, topic: str | None = None
+) -> DataFrame:
+    """The search table as a view: all of it labelled, or one topic's titles, as CSV."""
     search.register(ln.read_topic_table(spark, table_path))
-    return search.labelled(spark) if topic is None else search.titles_for(spark, topic)
+    found = search.labelled(spark) if topic is None else search.titles_for(spark, topic)
+    ln.write_csv(found, out)
+    return spark.read.schema(found.schema).csv(out, header=True)
 
 
 def lookup_stream_job(
@@ -174,7 +187,7 @@ def lookup_stream_job(
 
 
 def matrix_job(
-    spark: SparkSession, path: str, out: str, k: int = 50, num_features: int = 1 << 14
+    spark: SparkSession, path: str, out: str, num_features: int, k: int = 50
 ) -> DataFrame:
     """One document per line -> the top words of each document, as CSV.
 

@@ -9,18 +9,26 @@ from pageloom.functions.text import drop_non_ascii, one_line
 
 PAGE_SCHEMA = (
     "title string, ns string, id bigint, "
-    "revision struct<id: bigint, contributor: struct<id: bigint>, text: string>"
+    "revision array<struct<id: bigint, contributor: struct<id: bigint>, text: string>>"
 )
 
 
 def _flatten(pages: DataFrame) -> DataFrame:
+    """The page with its last revision, and all revisions as a list."""
+    last = F.try_element_at("revision", F.lit(-1))
     return pages.select(
         F.col("id").alias("page_id"),
         "title",
         "ns",
-        F.col("revision.text").alias("text"),
-        F.col("revision.id").alias("revision_id"),
-        F.col("revision.contributor.id").alias("contributor_id"),
+        last["text"].alias("text"),
+        last["id"].alias("revision_id"),
+        last["contributor"]["id"].alias("contributor_id"),
+        F.transform(
+            "revision",
+            lambda r: F.struct(
+                r["id"].alias("id"), r["contributor"]["id"].alias("contributor_id"), r["text"].alias("text")
+            ),
+        ).alias("revisions"),
     )
 
 
@@ -46,18 +54,36 @@ def read_page_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def render_pages(pages: DataFrame) -> DataFrame:
-    """Pages as ``<page>`` elements, one per line, in the column ``value``."""
+    """Pages as ``<page>`` elements, one per line, in the column ``value``.
+
+    ``older``, if there is such a column, lists earlier revisions as
+    ``(id, contributor_id, text)``.
+    """
 
     def field(name: str, otherwise: Column) -> Column:
         return F.col(name) if name in pages.columns else otherwise
 
     no_id = F.lit(None).cast("bigint")
     contributor = F.struct(field("contributor_id", no_id).alias("id"))
-    revision = F.struct(
-        field("revision_id", no_id).alias("id"),
-        contributor.alias("contributor"),
-        one_line(F.col("text")).alias("text"),
+    revision = F.array(
+        F.struct(
+            field("revision_id", no_id).alias("id"),
+            contributor.alias("contributor"),
+            one_line(F.col("text")).alias("text"),
+        )
     )
+    if "older" in pages.columns:
+        revision = F.concat(
+            F.transform(
+                "older",
+                lambda r: F.struct(
+                    r["id"].cast("bigint").alias("id"),
+                    F.struct(r["contributor_id"].cast("bigint").alias("id")).alias("contributor"),
+                    one_line(r["text"]).alias("text"),
+                ),
+            ),
+            revision,
+        )
     page = F.struct("title", "ns", F.col("page_id").alias("id"), revision.alias("revision"))
     xml = F.to_xml(page, {"rowTag": "page", "indent": ""})
     return pages.select(F.regexp_replace(xml, r"\n", "").alias("value"))
@@ -68,14 +94,25 @@ def main_namespace(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("ns") == "0")
 
 
+def revision_texts(pages: DataFrame) -> DataFrame:
+    """``(page_id, title, text)`` of every revision, not of the last one only."""
+    return pages.select("page_id", "title", F.explode("revisions.text").alias("text"))
+
+
 def header_rows(pages: DataFrame) -> DataFrame:
     """``title`` (ASCII part) and every ``id`` below a page, one row each."""
-    items = F.array(
-        F.struct(F.lit("title").alias("kind"), drop_non_ascii(F.col("title")).alias("value")),
-        *[
-            F.struct(F.lit("id").alias("kind"), F.col(c).cast("string").alias("value"))
-            for c in ("page_id", "revision_id", "contributor_id")
-        ],
+    title = F.struct(F.lit("title").alias("kind"), drop_non_ascii(F.col("title")).alias("value"))
+    no_ids = F.array().cast("array<bigint>")
+    ids = F.concat(
+        F.array("page_id"),
+        F.coalesce("revisions.id", no_ids),
+        F.coalesce("revisions.contributor_id", no_ids),
+    )
+    items = F.concat(
+        F.array(title),
+        F.transform(
+            ids, lambda i: F.struct(F.lit("id").alias("kind"), i.cast("string").alias("value"))
+        ),
     )
     return (
         pages.select("page_id", F.inline(items))

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from pageloom.functions.text import ws_words
 from pageloom.operators import tfidf, topics
-from pageloom.plans.staging import scratch_path
+from pageloom.plans.staging import scratch_path, stage, unstage
 from pyspark.sql import functions as F
 
 #: Seconds between batches of the topic job and of the lookup.
@@ -26,14 +26,17 @@ Assign = Callable[[DataFrame], DataFrame]
 
 
 def parquet_stream(
-    spark: SparkSession, schema: StructType, path: str, files_per_batch: int = 1000
+    spark: SparkSession, schema: StructType, path: str, files_per_batch: int | None
 ) -> DataFrame:
-    """Files that arrive under ``path`` (a folder or a glob)."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
-    )
+    """Files that arrive under ``path`` (a folder or a glob).
+
+    What is in one batch decides the result: each batch has its own document counts.
+    Without ``files_per_batch`` a batch is all that has arrived since the last one.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def line_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -62,32 +65,44 @@ def tfidf_batches(out: str) -> Callable[[DataFrame, int], None]:
     """Smoothed TF-IDF of each batch, by that batch's own counts."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        counts = tfidf.count_corpus(batch, ws_words)
-        weights = tfidf.smoothed(counts)
+        held = stage(batch.select("page_id", "text"), "batch")
+        weights = tfidf.smoothed(tfidf.count_corpus(held, ws_words))
         weights.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        unstage(held)
 
     return work
 
 
 def topic_batches(
-    out: str, assign: Assign, min_overlap: int, show: bool = False
+    out: str,
+    assign: Assign,
+    min_overlap: int,
+    show: bool = False,
+    below: int | None = topics.SIZE_BELOW,
 ) -> Callable[[DataFrame, int], None]:
-    """The topic job on each batch: its catalogue, and its search table."""
+    """The topic job on each batch: its catalogue, and its search table.
+
+    The batch is read once.  Without ``below`` topics may be of any size, and the
+    catalogue counts their titles instead of listing them.
+    """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        counts = tfidf.count_corpus(batch, ws_words)
+        held = stage(batch, "batch")
+        counts = tfidf.count_corpus(held, ws_words)
         model = topics.build_topics(
             counts.tf,
             tfidf.smoothed(counts),
-            assign(batch),
-            batch.select("page_id", "title"),
+            assign(held),
+            held.select("page_id", "title"),
             min_overlap,
+            below=below,
         )
-        found = model.catalog()
+        found = model.catalog() if below else model.counted()
         found.write.mode("overwrite").parquet(_batch_folder(f"{out}/catalog", batch_id))
         model.pairs().write.mode("overwrite").parquet(_batch_folder(f"{out}/pairs", batch_id))
         if show:
             found.orderBy("cluster").show(10, truncate=80)
+        unstage(held)
 
     return work
 

@@ -163,6 +163,18 @@ def test_page_chunks_span_lines(spark, rows):
     assert ("title", "Caf") in heads and ("id", "801") in heads
 
 
+def test_a_page_with_several_revisions(spark, rows):
+    two = PAGE.format(t="T", i=1, x="new words").replace(
+        "<revision>", "<revision><id>701</id><text>old ones</text></revision><revision>"
+    )
+    pages = wx.parse_page_lines(spark.createDataFrame([(two,)], "value string"))
+    assert rows(pages, "text", "revision_id") == {("new words", 901)}
+    assert rows(wx.revision_texts(pages), "text") == {("old ones",), ("new words",)}
+    assert {v for k, v in rows(wx.header_rows(pages), "kind", "value") if k == "id"} == {
+        "1", "701", "901", "801",
+    }
+
+
 def test_malformed_page_line_gives_nulls(spark):
     lines = spark.createDataFrame([("<page><id>1</id>",), (PAGE.format(t="T", i=4, x="x"),)], "value string")
     got = wx.parse_page_lines(lines).collect()

@@ -76,6 +76,24 @@ def test_three_kinds_of_pairs_are_all_pairs(spark, metric, seed, threshold):
         assert r["dist"] == pytest.approx(expected[r["page_a"], r["page_b"]], abs=2e-6)
 
 
+def test_neighbours_of_copies(spark):
+    texts = corpus(3)
+    vectors = similarity.build_vectors(as_pages(spark, texts))
+    pairs = similarity.found_pairs(vectors, 0.9)
+    rep = {r["page_id"]: r["rep"] for r in vectors.copies.collect()}
+    found = {(r["page_a"], r["page_b"]) for r in pairs.collect()}
+    got = sorted((r["page_id"], r["similar_id"]) for r in similarity.neighbours(pairs, vectors.copies).collect())
+    expected = [(p, s) for p, r in rep.items() for s in set(rep.values()) if tuple(sorted((r, s))) in found]
+    assert got == sorted(expected)
+    lengths = {r["page_id"]: r["n_words"] for r in vectors.lengths.collect()}
+    assert lengths == {i: len(t.split()) for i, t in enumerate(texts) if t}
+
+
+def test_a_lone_light_page_is_not_listed(spark, rows):
+    apart = vectors_of(spark, {"x": 0.1}, {"y": 5.0})
+    assert rows(similarity.light_pages(apart, 0.2), "rep") == set()
+
+
 def test_symdiff_is_never_longer_than_euclid(spark):
     texts = corpus(4)
     euclid, symdiff = brute(texts, 9, "euclid"), brute(texts, 9, "symdiff")

@@ -46,6 +46,19 @@ def test_batches_are_independent_and_restarts_add_nothing(spark):
     assert run().count() == len(found)
 
 
+def test_a_batch_by_interval(spark):
+    folder, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    add_file(spark, folder, BATCHES[0])
+    arriving = stream.parquet_stream(spark, spark.read.parquet(folder).schema, folder, None)
+    work = stream.topic_batches(
+        out, lambda b: b.select("page_id", F.lit(0).alias("cluster")), 1, show=True
+    )
+    query = stream.start(arriving, work, scratch_path(spark, "checkpoint"), "1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{out}/catalog").select("batch_id", "words").collect() == [(0, "sky,sea,sun")]
+
+
 def test_lookup_joins_arriving_topics(spark, rows):
     table = stage(spark.createDataFrame([("sun", "A"), ("sun", "B"), ("sea", "A")], "topic string, title string"), "t")
     asked, out = scratch_path(spark, "asked"), scratch_path(spark, "found")
@@ -84,13 +97,14 @@ def test_topic_jobs(spark):
     lines = [f"{i} T{i}\t" + " ".join(["sun", "sea"] * 3 if i % 2 else ["fog", "ice"] * 3) for i in range(8)]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
     pairs = scratch_path(spark, "pairs")
-    jobs.topic_job(spark, folder, scratch_path(spark, "cat"), pairs, min_overlap=2, k=2)
-    titles = {r["title"] for r in jobs.search_job(spark, pairs, "sun").collect()}
+    jobs.topic_job(spark, folder, scratch_path(spark, "cat"), pairs, 2, num_features=1 << 10, k=2)
+    titles = {r["title"] for r in jobs.search_job(spark, pairs, scratch_path(spark, "s"), "sun").collect()}
     assert titles == {"T1", "T3", "T5", "T7"}
-    assert jobs.search_job(spark, pairs).where(F.col("label") == "Topic: fog").count() == 4
+    every = jobs.search_job(spark, pairs, scratch_path(spark, "s"))
+    assert every.where(F.col("label") == "Topic: fog").count() == 4
     out = scratch_path(spark, "stream")
     query = jobs.topic_stream_job(
-        spark, folder, out, 2, scratch_path(spark, "ck"), k=2, interval=None
+        spark, folder, out, 2, scratch_path(spark, "ck"), 1 << 10, k=2, interval=None
     )
     query.awaitTermination()
     assert spark.read.parquet(f"{out}/catalog").count() == 2

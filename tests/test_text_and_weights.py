@@ -88,6 +88,30 @@ def test_hashed_adds_up_colliding_words(spark):
     assert {(r["page_id"], r["bucket"]) for r in got} == {(0, 0), (1, 0)}
 
 
+def test_words_of_the_matrix(spark, rows):
+    df = pages(spark, "Don't  stop été an", "don't a\tb").withColumn("section", F.lit("s"))
+    weights = tfidf.log2_ratio(tfidf.count_corpus(df, tfidf.log2_words))
+    got = {(r["page_id"], r["word"]): r["weight"] for r in tfidf.term_rows(df, weights).collect()}
+    assert got == {
+        (0, "don't"): 0.0,
+        (0, "stop"): pytest.approx(1 / 3),
+        (0, "été"): pytest.approx(1 / 3),
+        (1, "don't"): 0.0,
+        (1, "a\tb"): pytest.approx(1 / 2),
+    }
+    wide = tfidf.term_matrix(df, weights, ["stop", "none"])
+    assert {(r["page_id"], r["w_none"]) for r in wide.collect()} == {(0, 0.0), (1, 0.0)}
+
+
+def test_token_weights_have_every_place(spark):
+    df = pages(spark, "a b a", "b", "")
+    got = tfidf.token_weights(df, F.lit(1 << 20)).collect()
+    assert sorted((r["page_id"], r["pos"], r["word"]) for r in got) == [
+        (0, 0, "a"), (0, 1, "b"), (0, 2, "a"), (1, 0, "b"),
+    ]
+    assert [r["weight"] for r in got if r["word"] == "a"] == pytest.approx([2 * math.log(2)] * 2)
+
+
 def test_tied_weights_stay_in_the_page_top(spark):
     weights = spark.createDataFrame(
         [(1, f"w{i}", 1.0) for i in range(101)] + [(1, "low", 0.5)],
