@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,13 +40,13 @@ def assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between parts: a line of an order links to the next one by number."""
     lines = table(spark, sf_dir, "lineitem")
-    of_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    number = F.col("l_linenumber")
+    here = lines.select("l_orderkey", number.alias("line"), F.col("l_partkey").alias("src"))
+    # numbers repeat within an order, so this is a join and not the next row of a window
     following = lines.select(
-        F.col("l_partkey").alias("src"),
-        F.lead("l_partkey").over(of_order).alias("dst"),
-        (F.lead("l_linenumber").over(of_order) - F.col("l_linenumber")).alias("step"),
+        "l_orderkey", (number - 1).alias("line"), F.col("l_partkey").alias("dst")
     )
-    return following.where("step = 1").select("src", "dst")
+    return here.join(following, ["l_orderkey", "line"]).select("src", "dst")
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
