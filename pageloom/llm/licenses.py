@@ -203,5 +203,51 @@ def query(spark, sf_dir: str) -> DataFrame:
         F.array_max("found.starts").alias("last_word"),
         F.array_join("found.base_labels", ",").alias("base_labels"),
         F.array_join("found.labels", ",").alias("labels"),
-        F.col("found.score").alias("score"),
+        F.round("found.score", 9).alias("score"),
     )
+
+
+def _sql_templates() -> str:
+    """The templates' words as SQL values ``(t, label, base, first, last, j, word)``."""
+    return ", ".join(
+        f"({i}, '{t.label}', {str(t.base).lower()}, {t.key[0]}, {t.key[1]}, {j}, '{w}')"
+        for i, t in enumerate(BASE + NOTICES)
+        for j, w in enumerate(t.words)
+    )
+
+
+ORACLE = (
+    "WITH tw(t, label, base, first, last, j, word) AS (VALUES "
+    + _sql_templates()
+    + r"""),
+d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+pos AS (
+  SELECT r, i, word FROM (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM d)
+  WHERE word IN (SELECT word FROM tw)),
+idf AS (
+  SELECT word, ln(((SELECT count(*) FROM d) + 1) / (coalesce(n, 0) + 1)) + 1 AS x
+  FROM (SELECT DISTINCT word FROM tw)
+  LEFT JOIN (SELECT word, count(DISTINCT r) AS n FROM pos GROUP BY word) USING (word)),
+wt AS (SELECT tw.*, x / sum(x) OVER (PARTITION BY t) AS x FROM tw JOIN idf USING (word)),
+hit AS (
+  SELECT r, t, label, base, last - first AS need, i - j AS s, sum(x) AS share,
+         count(*) FILTER (j >= first AND j < last) AS k
+  FROM pos JOIN wt USING (word) GROUP BY ALL),
+ok AS (
+  SELECT * FROM hit WHERE k = need AND share >= CASE WHEN base THEN 1 - 1e-9 ELSE 0.8 END),
+agg AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS a, max(s) FILTER (base) AS b,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(least(share, 1)) AS score
+  FROM ok GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(a AS BIGINT) AS first_word, CAST(b AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       round(coalesce(score, 0.0), 9) AS score
+FROM d LEFT JOIN agg USING (r)
+"""
+)

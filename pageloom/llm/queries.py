@@ -30,6 +30,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_decontaminate": decontamination.ORACLE,
+    "op6_license": licenses.ORACLE,
     "op8_secrets": secrets.ORACLE,
     "op10_mix": mixing.ORACLE,
 }
