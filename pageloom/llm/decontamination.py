@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from pageloom.llm.text import alnum_words, per_text
 from pageloom.plans.staging import stage
 
-#: UTF-8 bytes of benchmark words in one block (the tables take a few times as much).
-BLOCK_BYTES = 8_000_000
+#: UTF-8 bytes of benchmark words in one block (a task's tables take some 80 times that).
+BLOCK_BYTES = 2_000_000
 #: Words of one piece of an item, besides the overlap.
 PIECE_WORDS = 2_000
 #: Blocks scanned in one pass before the hits are written.

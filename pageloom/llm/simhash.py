@@ -401,14 +401,17 @@ def one_of_each(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of its smallest id."""
-    fp = "__simhash_fp"
+    fp, name = "__simhash_fp", "__simhash_id"
     own = docs.withColumn(fp, fingerprints(F.col(text), size))
     ids = stage(own.select(F.col(key).alias("id"), F.col(fp).alias("fp")), "simhash")
-    kept = stage(
-        classes(ids, distance).select("id", F.col("fp_of_id").alias("f")).distinct(), "kept"
+    # a name that is never null, so that join and duplicates need the same shuffle
+    named = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    kept = classes(ids, distance).select(
+        named(F.col("id")).alias(name), F.col("fp_of_id").alias(fp)
     )
-    same = own[key].eqNullSafe(kept["id"]) & (own[fp] == kept["f"])
-    return own.join(kept, same, "left_semi").dropDuplicates([key, fp]).drop(fp)
+    kept = stage(kept.distinct(), "kept")
+    found = own.withColumn(name, named(F.col(key))).join(kept, [name, fp], "left_semi")
+    return found.dropDuplicates([name, fp]).drop(fp, name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.text import alnum_words, per_text
-from pageloom.plans.staging import stage
+from pageloom.plans.staging import stage, unstage
 
 #: Feature levels: leading characters (0: the whole word) and the table's bits.
 LEVELS = ((4, 18), (6, 20), (0, 20))
@@ -305,6 +305,7 @@ def fit(
     law = extreme_law(_histogram(rows, held, Law())[0])
     _, below, above = _histogram(rows, held, law)
     law.slope, law.bias = logistic(below, above)
+    unstage(rows)
     return Model(toxic, clean, share, law)
 
 
