@@ -47,6 +47,11 @@ SEED = "mix"
 DIGITS = 3
 
 
+def _named(source: Column) -> Column:
+    """A source's name as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
 
@@ -105,8 +110,13 @@ def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Col
     followed in logarithms from the smallest ``k`` on, first for their largest value,
     then for their sum, then up to ``u`` of it.
     """
-    low = F.greatest(F.lit(0).cast("long"), drawn - (total - good))
-    high = F.least(drawn, good)
+    share = good / F.greatest(total, F.lit(1))
+    mean = drawn * share
+    spread = F.sqrt(mean * (1 - share) * (total - drawn) / F.greatest(total - 1, F.lit(1)))
+    # u has 48 bits: what lies farther out than this is less than its last one
+    room = spread * 12 + 12
+    low = F.greatest(F.lit(0).cast("long"), drawn - (total - good), F.floor(mean - room))
+    high = F.least(drawn, good, F.ceil(mean + room))
     steps = F.sequence(low, high)
 
     def ratio(k: Column) -> Column:
@@ -307,6 +317,7 @@ def mix(
         m,
         F.struct(
             F.col(source).alias("source"),
+            _named(F.col(source)).alias("name"),
             h.alias("h"),
             F.substring(h, 1, DIGITS).alias("block"),
             word_count(F.col(text)).alias("size"),
@@ -314,14 +325,15 @@ def mix(
     )
     sizes = own.select(f"`{m}`.source", f"`{m}`.block", f"`{m}`.size")
     found = draws(sizes, shards, seed)
+    found = found.withColumn("name", _named(F.col("source")))
     found = stage(found, "draws").select(F.struct("*").alias(f"{m}b"))
     mine, theirs = F.col(f"`{m}`"), F.col(f"`{m}b`")
+    # the window needs no shuffle beside the join's, as its keys are the join's
     joined = own.join(
-        found,
-        mine["source"].eqNullSafe(theirs["source"]) & (mine["block"] == theirs["block"]),
+        found, (mine["name"] == theirs["name"]) & (mine["block"] == theirs["block"])
     )
     inside = (
-        Window.partitionBy(mine["source"], mine["block"])
+        Window.partitionBy(mine["name"], mine["block"])
         .orderBy(mine["h"], mine["size"])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
