@@ -209,7 +209,7 @@ def matrix_job(
 def topic_search_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> k-means topics -> search table -> titles per topic, by SQL."""
     pages = fixtures.pages(spark, sf_dir)
-    model = topics_of(pages, min_overlap=20, k=8, num_features=1 << 12)
+    model = topics_of(pages, min_overlap=20, k=8, num_features=1 << 15)
     search.register(stage(model.pairs(), "pairs"))
     return spark.sql(
         "SELECT topic, count(DISTINCT title) AS n_titles, min(title) AS first_title "
