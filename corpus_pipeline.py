@@ -34,7 +34,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in the text."""
-    new = docs.withColumn("text", secrets.redact(F.col("text")))
+    new = secrets.redact(docs)
     if "n_chars" not in docs.columns:
         return new
     kind = docs.schema["n_chars"].dataType

@@ -39,6 +39,8 @@ HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
+#: The same, but a run that is too short is not tried again from each of its characters.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
 #: Bits per character, by class.
 THRESHOLDS = {"hex": 3.0, "upper": 3.4, "base64": 3.7}
@@ -67,20 +69,31 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def places(text: Column, pattern: str, value_group: int = 0) -> Column:
-    """``array<struct<start, end, value>>`` of all matches, in code points."""
-    whole = _matches(text, pattern)
-    value = _matches(text, pattern, value_group) if value_group else whole
+_SPANS = "array<struct<start: bigint, end: bigint, value: string>>"
+
+
+def with_places(df: DataFrame, body: str, out: str, pattern: str, value_group: int = 0) -> DataFrame:
+    """``df`` with ``out``: ``array<struct<start, end, value>>`` of all matches.
+
+    The text is searched once for the matches, and once more for the pieces between them
+    if there are any.  Columns on the way are used twice each, so that Spark keeps them
+    as columns and does not write them out at every use.
+    """
+    m, v, p = f"{out}__m", f"{out}__v", f"{out}__p"
+    text = F.col(body)
+    df = df.withColumn(m, _matches(text, pattern))
+    some = F.size(m) > 0
+    value = F.when(some, _matches(text, pattern, value_group)) if value_group else F.col(m)
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
     parts = F.zip_with(
-        F.slice(gaps, 1, F.size(whole)),
-        F.arrays_zip(whole.alias("m"), value.alias("v")),
+        F.slice(gaps, 1, F.size(m)),
+        F.arrays_zip(F.col(m).alias("m"), value.alias("v")),
         lambda gap, x: F.struct(
             gap.alias("gap"), F.length(x["m"]).cast("long").alias("n"), x["v"].alias("v")
         ),
     )
-    none = F.expr("CAST(array() AS array<struct<start: bigint, end: bigint, value: string>>)")
-    nothing = F.expr("CAST(array() AS array<array<struct<start: bigint, end: bigint, value: string>>>)")
+    df = df.withColumn(p, F.when(some, parts))
+    none, nothing = F.expr(f"CAST(array() AS {_SPANS})"), F.expr(f"CAST(array() AS array<{_SPANS}>)")
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
@@ -89,30 +102,36 @@ def places(text: Column, pattern: str, value_group: int = 0) -> Column:
         return F.struct(end.alias("at"), F.concat(state["out"], new).alias("out"))
 
     def chunk(state: Column, c: Column) -> Column:
+        # a chunk's spans are collected apart, so that long lists are not copied per match
         done = F.aggregate(
-            F.slice(parts, c * CHUNK + 1, CHUNK),
-            F.struct(state["at"].alias("at"), none.alias("out")),
-            step,
+            F.slice(p, c * CHUNK + 1, CHUNK), F.struct(state["at"].alias("at"), none.alias("out")), step
         )
         return F.struct(
             done["at"].alias("at"), F.concat(state["out"], F.array(done["out"])).alias("out")
         )
 
-    chunks = F.sequence(F.lit(0), F.expr("0") + ((F.size(whole) - 1) / CHUNK).cast("int"))
+    chunks = F.sequence(F.lit(0), F.expr(f"(size(`{p}`) - 1) div {CHUNK}").cast("int"))
     added = F.aggregate(
         chunks, F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("out")), chunk
     )
-    return F.when(F.size(whole) > 0, F.flatten(added["out"])).otherwise(none)
+    found = F.when(F.col(p).isNotNull(), F.flatten(added["out"])).otherwise(none)
+    return df.withColumn(out, found).drop(m, v, p)
+
+
+def allowed(value: Column) -> Column:
+    """Whether the allow list holds a candidate."""
+    out = F.lit(False)
+    for pattern in ALLOWED:
+        out = out | value.rlike(pattern)
+    return out
 
 
 def high_entropy(value: Column) -> Column:
     """``struct<first, last>``: where high-entropy windows of a candidate begin and end.
 
-    Both are null if there is none, or if the allow list holds the candidate.
+    Both are null if there is none.  All that does not change from one character to the
+    next is part of the state, as a lambda's body is worked out at every step.
     """
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | value.rlike(pattern)
     limit = (
         F.when(value.rlike(CLASSES["hex"]), LIMITS["hex"])
         .when(value.rlike(CLASSES["upper"]), LIMITS["upper"])
@@ -120,46 +139,52 @@ def high_entropy(value: Column) -> Column:
     )
     table = F.array(*[F.lit(x) for x in C_LOG_C])
     symbols = F.transform(
-        F.array_remove(F.split(F.when(~allowed, value), ""), ""),
+        F.array_remove(F.split(value, ""), ""),
         lambda ch: F.instr(F.lit(ALPHABET), ch) - 1,
     )
     # each character with the one that leaves the window as it enters
-    entering = F.transform(
-        symbols,
-        lambda x, i: F.struct(
-            i.alias("i"), x.alias("new"), F.coalesce(F.get(symbols, i - WINDOW), F.lit(-1)).alias("old")
-        ),
+    before = F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), symbols), 1, F.size(symbols))
+    entering = F.zip_with(
+        symbols, before, lambda x, old: F.struct(x.alias("new"), old.alias("old"))
     )
     start = F.struct(
         F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
         F.lit(0).alias("sum"),
+        F.lit(0).alias("i"),
         F.lit(None).cast("int").alias("first"),
         F.lit(None).cast("int").alias("last"),
+        limit.alias("limit"),
+        table.alias("table"),
     )
 
     def step(s: Column, x: Column) -> Column:
         up = F.get(s["counts"], x["new"])
-        more = s["sum"] + F.get(table, up + 1) - F.get(table, up)
+        more = s["sum"] + F.get(s["table"], up + 1) - F.get(s["table"], up)
         down = F.get(s["counts"], F.greatest(x["old"], F.lit(0))) + (
             x["old"] == x["new"]
         ).cast("int")
         total = F.when(
-            x["old"] >= 0, more + F.get(table, down - 1) - F.get(table, down)
+            x["old"] >= 0, more + F.get(s["table"], down - 1) - F.get(s["table"], down)
         ).otherwise(more)
         counts = F.transform(
             s["counts"],
             lambda n, j: n + (j == x["new"]).cast("int") - (j == x["old"]).cast("int"),
         )
-        high = (x["i"] >= WINDOW - 1) & (total <= limit)
+        high = (s["i"] >= WINDOW - 1) & (total <= s["limit"])
         return F.struct(
             counts.alias("counts"),
             total.alias("sum"),
-            F.when(s["first"].isNull() & high, x["i"] - (WINDOW - 1)).otherwise(s["first"]).alias("first"),
-            F.when(high, x["i"] + 1).otherwise(s["last"]).alias("last"),
+            (s["i"] + 1).alias("i"),
+            F.when(s["first"].isNull() & high, s["i"] - (WINDOW - 1)).otherwise(s["first"]).alias("first"),
+            F.when(high, s["i"] + 1).otherwise(s["last"]).alias("last"),
+            s["limit"].alias("limit"),
+            s["table"].alias("table"),
         )
 
-    done = F.aggregate(entering, start, step)
-    return F.struct(done["first"].alias("first"), done["last"].alias("last"))
+    done = F.aggregate(
+        entering, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"))
+    )
+    return done
 
 
 def _of_kind(rank: int, found: Column, keep=None) -> Column:
@@ -191,14 +216,17 @@ def find_secrets(docs: DataFrame, out: str, *, text: str = "text") -> DataFrame:
     ``assign``, ``access``, ``hex`` and ``entropy`` are arrays of
     ``struct<start, kind, end>``; ``kind`` counts in that order from 0.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    assign = _of_kind(
-        0, places(body, ASSIGN, 2), lambda x: F.length(x["value"]) >= 12
-    )
-    access = _of_kind(1, places(body, ACCESS), lambda x: x["end"] - x["start"] >= 18)
-    hexes = _of_kind(2, places(body, HEX))
+    t = f"{out}__"
+    found = docs.withColumn(f"{t}t", F.coalesce(F.col(text), F.lit("")))
+    for name, pattern, group in (
+        ("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), ("entropy", RUN, 0)
+    ):
+        found = with_places(found, f"{t}t", f"{t}{name}", pattern, group)
+    assign = _of_kind(0, F.col(f"{t}assign"), lambda x: F.length(x["value"]) >= 12)
+    access = _of_kind(1, F.col(f"{t}access"), lambda x: x["end"] - x["start"] >= 18)
+    hexes = _of_kind(2, F.col(f"{t}hex"))
     high = F.transform(
-        places(body, CANDIDATE),
+        F.filter(f"{t}entropy", lambda x: ~allowed(x["value"])),
         lambda x: F.struct(x["start"].alias("at"), high_entropy(x["value"]).alias("w")),
     )
     entropy = F.transform(
@@ -209,44 +237,52 @@ def find_secrets(docs: DataFrame, out: str, *, text: str = "text") -> DataFrame:
             (x["at"] + x["w"]["last"]).alias("end"),
         ),
     )
-    return docs.withColumn(
+    return found.withColumn(
         out,
         F.struct(
             assign.alias("assign"), access.alias("access"), hexes.alias("hex"), entropy.alias("entropy")
         ),
-    )
+    ).drop(*[f"{t}{n}" for n in ("t", "assign", "access", "hex", "entropy")])
 
 
-def redact(text: Column) -> Column:
-    """The text with secrets replaced, one kind after another (null stays null).
+def redact(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with secrets replaced in ``text``, one kind after another (null stays null).
 
     Of an assignment only the value is replaced, of a candidate the whole candidate.
+    Each kind is a column of its own, so that no text is searched over and over.
     """
+    last = F.array(F.lit(""))
 
-    def replaced(body: Column, pattern: str, new) -> Column:
-        pieces = F.split(body, pattern, -1)
-        whole = F.concat(_matches(body, pattern), F.array(F.lit("")))
-        return F.array_join(F.zip_with(pieces, new(body, whole), lambda p, m: F.concat(p, m)), "")
-
-    def value_of(body: Column, whole: Column) -> Column:
-        heads = F.concat(_matches(body, ASSIGN, 1), F.array(F.lit("")))
-        return F.zip_with(
-            whole,
-            heads,
-            lambda m, h: F.when(
-                F.length(m) - F.length(h) >= 12, F.concat(h, F.lit(REDACTED))
-            ).otherwise(m),
-        )
+    def value_of(m: Column, h: Column) -> Column:
+        long = F.length(m) - F.length(h) >= 12
+        return F.when(long, F.concat(h, F.lit(REDACTED))).otherwise(m)
 
     def if_(test):
-        return lambda body, whole: F.transform(
-            whole, lambda m: F.when(test(m), F.lit(REDACTED)).otherwise(m)
+        return lambda body, pattern: F.transform(
+            _matches(body, pattern), lambda m: F.when(test(m), F.lit(REDACTED)).otherwise(m)
         )
 
-    out = replaced(text, ASSIGN, value_of)
-    out = replaced(out, ACCESS, if_(lambda m: F.length(m) >= 18))
-    out = replaced(out, HEX, if_(lambda m: F.length(m) >= 16))
-    return replaced(out, CANDIDATE, if_(lambda m: high_entropy(m)["first"].isNotNull()))
+    steps = (
+        (ASSIGN, lambda body, p: F.zip_with(_matches(body, p), _matches(body, p, 1), value_of)),
+        (ACCESS, if_(lambda m: F.length(m) >= 18)),
+        (HEX, if_(lambda m: F.length(m) >= 16)),
+        (RUN, if_(lambda m: ~allowed(m) & high_entropy(m)["first"].isNotNull())),
+    )
+    columns, name = docs.columns, text
+    for i, (pattern, new) in enumerate(steps):
+        body = F.col(f"`{name}`")
+        pieces = F.zip_with(
+            F.split(body, pattern, -1),
+            F.concat(new(body, pattern), last),
+            lambda p, m: F.concat(p, m),
+        )
+        name = f"__redacted{i}"
+        docs = docs.withColumn(
+            name, F.when(body.rlike(pattern), F.array_join(pieces, "")).otherwise(body)
+        )
+    return docs.select(
+        *[F.col(name).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
+    )
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -250,7 +250,8 @@ def test_secrets(spark, monkeypatch):
             (secrets.KINDS[x["kind"]], x["start"], x["end"]) for k in secrets.KINDS for x in r["s"][k]
         )
         assert got == sorted(plain_secrets(texts[r["doc_id"]])), texts[r["doc_id"]]
-    clean = df.withColumn("text", secrets.redact(F.col("text")))
+    clean = secrets.redact(df)
+    assert clean.columns == df.columns
     left = {r["doc_id"]: r["text"] for r in clean.collect()}
     assert all(not plain_secrets(t) for t in left.values())
     assert left[0] is None and left[1] == "" and left[2] == SECRETS[2]
