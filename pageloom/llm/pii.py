@@ -47,6 +47,8 @@ PHONE = (
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+#: What every entity holds; most texts hold none of it and are not searched further.
+HINT = rf"[0-9@]|(?<!\p{{L}})(?:{MALE}|{FEMALE})"
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, SSN, NAME))
 
 #: From this attempt on, surrogates get longer.
@@ -127,7 +129,9 @@ def entities(value: Column) -> Column:
 
 
 def matches(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(ANY), F.lit(0))
+    none = F.array().cast("array<string>")
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    return F.when(text.rlike(HINT), found).otherwise(none)
 
 
 def _byte(h: Column, i) -> Column:
@@ -308,7 +312,10 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
         "late",
     ).select(F.struct("*").alias(f"{out}__late"))
     theirs = F.col(f"`{out}__late`")
-    joined = docs.join(of_text, F.md5(body.cast("binary")) == theirs["digest"], "left")
+    m = f"{out}__m"  # used more than once, so it stays a column
+    joined = docs.withColumn(m, matches(body)).join(
+        of_text, F.md5(body.cast("binary")) == theirs["digest"], "left"
+    )
 
     def one(value: Column) -> Column:
         found = F.transform(
@@ -320,7 +327,7 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
         )
         return written(value, found)
 
-    found = matches(body)
+    found = F.col(f"`{m}`")
     pieces = F.split(body, ANY, -1)
     new = F.concat(F.transform(found, one), F.array(F.lit("")))
     rewritten = F.when(F.size(found) == 0, body).otherwise(
@@ -328,7 +335,7 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
     )
     return joined.withColumn(
         out, F.struct(F.when(body.isNotNull(), rewritten).alias("text"), F.size(found).alias("n_entities"))
-    ).drop(f"{out}__late")
+    ).drop(f"{out}__late", m)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
