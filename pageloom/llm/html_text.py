@@ -9,6 +9,11 @@ the blocks are in the element tree.  The minimum cut, found by maximum flow, is
 labelling with the least total cost, so a short line between paragraphs of an article
 follows them, and a sentence in a menu does not stand out.
 
+A class name, id or role speaks against all text below its element, but only so far: a
+name that describes the layout (``has-sidebar``, ``overflow-hidden``, ``tag-search``)
+hardly counts, and neither does anything that speaks against a *wrapper*, an element
+around the page's article or around most of its text.
+
 Scripts, styles, comments of the markup, forms' controls and the page head never become
 text.  Character references are decoded, white space inside a block becomes one space,
 blocks are joined by an empty line.  Nothing is cut off: an unfinished tag at the end is
@@ -41,8 +46,9 @@ TEXT_ELEMENT = 1.2
 IN_ARTICLE = 3.0
 #: Times the share of characters inside links.
 LINKS = -5.0
-#: Inside an element, or under a class name or role, that is not the article.
-APART = -14.0
+#: Inside an element that is not the article or not shown, under such a class name or
+#: role, and under one that describes the layout, or a wrapper.
+APART, NAMED, LAYOUT = -14.0, -8.0, -0.5
 #: Smoothness between neighbours, divided by one plus their distance in the tree, and
 #: between one block and the next with the same parent.
 BESIDE, SIBLING = 1.5, 0.6
@@ -79,6 +85,8 @@ APART_WORDS = set(
     "hidden outbrain taboola toc".split()
 )
 APART_NAMES = {"header", "site-header", "page-header", "main-header", "global-header", "top-header"}
+#: First words of names that describe the layout or the topic.
+LAYOUT_WORDS = set("has with without no not non overflow tag category cat term taxonomy".split())
 ARTICLE_WORDS = set("article content post entry story articlebody main body text".split())
 
 _TOKEN = re.compile(
@@ -95,25 +103,39 @@ _SENTENCE = re.compile(r"[.!?…。！？][\"'»”’)]?(?:\s|$)|,\s")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "apart", "article", "silent")
+    __slots__ = ("tag", "parent", "depth", "own", "against", "article", "silent", "chars", "clean", "texts", "words")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ARTICLE_ELEMENTS or bool(parent and parent.article)
         self.silent = tag in NO_TEXT or bool(parent and parent.silent)
-        apart = tag in APART_ELEMENTS or (tag == "header" and not self.article)
+        #: What speaks against the text in this element, because of itself.
+        self.own = APART if tag in APART_ELEMENTS or (tag == "header" and not self.article) else 0.0
         if attributes and tag not in ("html", "body"):
             names = _names(attributes)
             if names is None:
-                apart = True
+                self.own = APART
             elif names:
                 words = {w for n in names for w in re.split(r"[-_]+", n)}
-                good = bool(words & ARTICLE_WORDS)
-                bad = bool(words & APART_WORDS) or bool(names & APART_NAMES and not self.article)
-                apart |= bad
-                self.article |= good and not bad
-        self.apart = apart or bool(parent and parent.apart)
+                bad = min(map(_against, names))
+                if names & APART_NAMES and not self.article:
+                    bad = NAMED
+                self.own = min(self.own, bad)
+                self.article |= bool(words & ARTICLE_WORDS) and bad > NAMED
+        #: The same with all elements around it.
+        self.against = min(self.own, parent.against if parent else 0.0)
+        self.chars = self.clean = 0.0
+        self.texts = self.words = 0
+
+
+def _against(name: str) -> float:
+    """What a class name, id or role says against the text below it."""
+    variant, _, plain = name.rpartition(":")
+    words = re.split(r"[-_]+", plain)
+    if APART_WORDS.isdisjoint(words):
+        return 0.0
+    return LAYOUT if variant or words[0] in LAYOUT_WORDS else NAMED
 
 
 def _names(attributes: str) -> set[str] | None:
@@ -145,6 +167,7 @@ def blocks(html: str | None) -> list[Block]:
     if not html:
         return out
     root = here = Element("", "", None)
+    made = [root]
     parts: list[str] = []
     linked, in_link = 0, 0
 
@@ -207,17 +230,71 @@ def blocks(html: str | None) -> list[Block]:
             e = here
         if tag not in VOID and not m[4].rstrip().endswith("/"):
             here = Element(tag, m[4], here)
+            made.append(here)
         in_link = 0 if tag in ("li", "p", "div", "td") else in_link
     flush()
+    _spare_wrappers(made, out)
     return out
 
 
+def _spare_wrappers(made: list[Element], found: list[Block]) -> None:
+    """Weigh ``against`` of all elements (parents first) anew: of wrappers little is left.
+
+    A wrapper is around the largest article or main element, if that holds a third of the
+    page's text outside links, or around more than half of that text.  Neither counts if
+    enough text that nothing speaks against lies elsewhere.
+    """
+    if all(e.own > NAMED for e in made):
+        return
+    total = 0.0
+    for b in found:
+        e, n = b.element, len(b.text) * (1 - b.linked)
+        total += n
+        e.chars += n
+        e.texts += e.tag in TEXT_ELEMENTS
+        e.words += b.text.count(" ") + 1
+        if e.article:
+            e.clean += 5 * n
+        elif evidence(b) > 0:
+            e.clean += n
+    for e in reversed(made[1:]):
+        up = e.parent
+        up.chars += e.chars
+        up.texts += e.texts
+        up.words += e.words
+        if e.own > NAMED:
+            up.clean += e.clean
+    articles = [e for e in made if e.tag in ARTICLE_ELEMENTS]
+    named = [e for e in articles if e.own > NAMED]
+    best = max(named or articles, key=lambda e: e.chars, default=None)
+    clean = made[0].clean
+    around = set()
+    if best is not None and 3 * best.chars >= total > 0 and clean < best.chars:
+        while best is not None:
+            around.add(id(best))
+            best = best.parent
+    for e in made[1:]:
+        if e.own <= NAMED:
+            most = (
+                2 * e.chars > total > 4 * clean
+                and (e.texts > 1 or e.words >= 100)
+                and e.tag not in ("nav", "footer", "aside", "menu")
+            )
+            if id(e) in around or most:
+                e.own = LAYOUT
+                clean += e.clean
+        e.against = min(e.own, e.parent.against)
+
+
 def score(block: Block) -> float:
     """Positive: content."""
+    return evidence(block) + block.element.against
+
+
+def evidence(block: Block) -> float:
+    """The score without what names and elements say against the block."""
     e, words = block.element, block.text.count(" ") + 1
     z = BIAS + LENGTH * math.log1p(words) + LINKS * block.linked
-    if e.apart:
-        z += APART
     if e.article:
         z += IN_ARTICLE
     if e.tag in TEXT_ELEMENTS:

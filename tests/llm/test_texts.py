@@ -217,6 +217,40 @@ def test_main_text():
     assert html_text.main_text(plain) == "Title\n\nHello world, this is text.\n\nMore."
 
 
+STORY = "<h1>Real title</h1><p>First one, with some words of text.</p><p>Short.</p><p>The last one, and more.</p>"
+STORY_TEXT = "Real title\n\nFirst one, with some words of text.\n\nShort.\n\nThe last one, and more."
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<div class="content has-sidebar">', "</div>"),
+        ('<div class="overflow-hidden">', "</div>"),
+        ('<main class="with-sidebar">', "</main>"),
+        ('<article class="post tag-search category-notices">', "</article>"),
+        ('<form id="aspnetForm"><div id="comments-open" class="sidebar-layout"><main>', "</main></div></form>"),
+        ('<form method="post" action="./"><div>', "</div></form>"),
+        ('<div class="page-widget md:hidden">', "</div>"),
+    ],
+)
+def test_names_of_wrappers_do_not_lose_the_article(before, after):
+    rest = '<div class="sidebar"><p>Related stories, and more. See also.</p></div><footer><p>All rights, reserved.</p></footer>'
+    for page in (before + STORY + after + rest, before + STORY + rest + after):
+        assert html_text.main_text(f"<body><nav><a href=a>A</a></nav>{page}</body>") == STORY_TEXT
+
+
+def test_long_comments_do_not_become_the_article():
+    comments = '<div class="comment"><p>' + "I have read all of it, and liked it. " * 12 + "</p></div>"
+    for start, end in (("<article>", "</article>"), ('<div class="post">', "</div>"), ("<div>", "</div>")):
+        inside = f'{start}{STORY}<section id="comments">{comments}</section>{end}'
+        outside = f'{start}{STORY}{end}<section id="comments">{comments}</section>'
+        if start == "<article>":
+            assert html_text.main_text(inside) == STORY_TEXT
+        if start != "<div>":
+            assert html_text.main_text(outside) == STORY_TEXT
+    assert html_text.main_text('<div class="cookie-notice">We use cookies. Accept all, please.</div>') == ""
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</p></div>", "a" * 10, "<a href='x"])
 def test_broken_pages(page):
     assert "<" not in html_text.main_text(page)
