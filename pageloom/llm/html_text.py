@@ -14,8 +14,8 @@ name that describes the layout (``has-sidebar``, ``overflow-hidden``, ``tag-sear
 hardly counts, and neither does anything that speaks against a *wrapper*, an element
 around the page's article or around most of its text.
 
-Scripts, styles, comments of the markup, forms' controls and the page head never become
-text.  Character references are decoded, white space inside a block becomes one space,
+Scripts, styles, comments of the markup, drawings, forms' controls and the page head never
+become text; a formula's text does, its annotations, which are not shown, do not.  Character references are decoded, white space inside a block becomes one space,
 blocks are joined by an empty line.  Nothing is cut off: an unfinished tag at the end is
 markup, an unfinished reference stays as it is.
 
@@ -91,7 +91,10 @@ ARTICLE_WORDS = set("article content post entry story articlebody main body text
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    # a drawing ends, as in browsers, at the latest where an element of the page begins
+    r"|<(svg|annotation(?:-xml)?)(?=[\s/>])(?:(?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)"
+    rf"(?:(?<=/)>|(?<!/)>.*?(?:</\2\s*>|(?=</?(?:{'|'.join(sorted(BLOCK_ELEMENTS - {'title'}))}|math)[\s/>])|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>?"
     r"|<[!?/][^>]*>?",
     re.S | re.I,
@@ -196,13 +199,13 @@ def blocks(html: str | None) -> list[Block]:
         if m.start() > at:
             add(html[at : m.start()])
         at = m.end()
-        tag = m[3].lower() if m[3] else ""
+        tag = m[4].lower() if m[4] else ""
         if tag and not m[0].endswith(">"):
             close = html.find(">", at)
             at = end if close < 0 else close + 1
         if not tag:
             continue
-        if m[2]:  # end tag
+        if m[3]:  # end tag
             if tag == "a":
                 in_link = max(0, in_link - 1)
             if tag in BLOCK_ELEMENTS:
@@ -228,8 +231,8 @@ def blocks(html: str | None) -> list[Block]:
         while closes and e is not root and e.tag in closes | {"p"}:
             here = e.parent
             e = here
-        if tag not in VOID and not m[4].rstrip().endswith("/"):
-            here = Element(tag, m[4], here)
+        if tag not in VOID and not m[5].rstrip().endswith("/"):
+            here = Element(tag, m[5], here)
             made.append(here)
         in_link = 0 if tag in ("li", "p", "div", "td") else in_link
     flush()

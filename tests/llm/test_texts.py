@@ -239,6 +239,34 @@ def test_names_of_wrappers_do_not_lose_the_article(before, after):
         assert html_text.main_text(f"<body><nav><a href=a>A</a></nav>{page}</body>") == STORY_TEXT
 
 
+@pytest.mark.parametrize(
+    "between, text",
+    [
+        ('<svg class="i"/>', ""),
+        ('<svg data-a="x>y" />', ""),
+        ("<svg-icon></svg-icon>", ""),
+        ("<math-field></math-field>", ""),
+        ("<template-part/>", ""),
+        ('<svg class="i"><title>icon</title><path d="M0"/><text>drawn</text></svg>', ""),
+        ('<svg class="i"><path d="M0"/>', ""),
+        ("<script>var t = '<svg/>';</script>", ""),
+        ('<math display="block"/>', ""),
+        (
+            "<p>It holds, that <math><mi>a</mi><mo>=</mo><mn>2</mn>"
+            '<annotation encoding="application/x-tex">a=2</annotation></math>.</p>',
+            "\n\nIt holds, that a=2.",
+        ),
+    ],
+)
+def test_text_after_drawings_and_formulas_stays(between, text):
+    page = f"<article><p>One line, of text.</p>{between}<p>Two lines, of text.</p></article>"
+    assert html_text.main_text(page) == f"One line, of text.{text}\n\nTwo lines, of text."
+
+
+def test_many_open_drawings():
+    assert html_text.main_text("<svg>" * 50_000 + "<p>Some words, of text.</p>") == "Some words, of text."
+
+
 def test_long_comments_do_not_become_the_article():
     comments = '<div class="comment"><p>' + "I have read all of it, and liked it. " * 12 + "</p></div>"
     for start, end in (("<article>", "</article>"), ('<div class="post">', "</div>"), ("<div>", "</div>")):
