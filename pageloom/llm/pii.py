@@ -6,6 +6,13 @@ Everything is built from Spark's own functions.
 and names after a form of address (which gives the gender).  A name is taken word by
 word, so that ``Mr. John Smith`` and ``Mr. Smith`` share the family name.
 
+*Telephone numbers* are international ones (``+``, 7 to 15 digits, grouped freely or not
+at all), North American ones without ``+1`` (which are the same entity as with it), and
+national ones that begin with a grouped ``0``.  The country code follows from the digits;
+a trunk ``(0)`` is not part of the number.  Of a run without ``+`` and grouping nothing
+says that it is a telephone number.  *Card numbers* are 16 digits in fours, and 13 to 19
+digits, grouped or not, whose check digit is right.
+
 **Surrogates.**  An entity's *canonical* form (lower case, or digits only) is mapped by a
 keyed hash to another canonical form of the same type: digits to digits, letters to
 letters, names to names of the same script and gender.  An address keeps its valid range,
@@ -40,16 +47,41 @@ IP = (
     r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 )
+# Country codes with one length of the numbers after them, so that a number
+# that follows in the text is not taken along; and all country codes.
+LENGTHS = {10: "1|7|30|52|90|91", 9: "31|33|34|41|48|61|351|420", 8: "45|47|65"}
+COUNTRY = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+_GAP = "[ ./\u00a0\u2010\u2011-]"
+#: What may stand before a digit, and a trunk prefix that is not dialled.
+_DIGIT = rf"(?:{_GAP}|\){_GAP}?|{_GAP}?\()?[0-9]"
+_TRUNK = rf"(?:{_GAP}?\(0\))?"
 PHONE = (
-    r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
-    r"[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+    r"(?<![0-9A-Za-z+])\+(?:"
+    + "|".join(rf"(?:{c}){_TRUNK}(?:{_DIGIT}){{{n}}}(?![0-9])" for n, c in LENGTHS.items())
+    + r"|[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+    rf"|[1-9](?:{_DIGIT}){{6,14}}(?<![ \u00a0][0-9])(?![0-9]))"
+)
+_FREE = r"(?<![0-9A-Za-z+])(?<![0-9][.,/-])"
+NATIONAL = (
+    rf"{_FREE}(?:(?:1{_GAP})?(?:\([2-9][0-9]{{2}}\){_GAP}?|[2-9][0-9]{{2}}{_GAP})[2-9][0-9]{{2}}{_GAP}?[0-9]{{4}}"
+    rf"|0[1-9](?:{_GAP}[0-9]{{2}}){{4}}"
+    rf"|(?=[(0-9./ -]{{10}})(?:\(0[1-9][0-9]{{0,2}}\){_GAP}?|0[1-9][0-9]{{0,2}}{_GAP})[0-9]{{3,4}}{_GAP}?[0-9]{{3,4}}"
+    rf"|(?:\(0[1-9][0-9]{{3}}\){_GAP}?|0[1-9][0-9]{{3}}{_GAP})[0-9]{{3}}{_GAP}?[0-9]{{2,3}}"
+    r")(?![0-9A-Za-z]|[.,/-][0-9])"
+)
+#: Sixteen digits in fours, with or without three more; those, alone or not, in other groups.
+CARD = (
+    r"(?<![0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}(?![0-9]|[.-][0-9]| [0-9]+[ .-][0-9]|[@A-Za-z_%+])"
+    r"|[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])|[0-9]{13,19}(?![0-9])"
+    r"|[0-9]{4}[ -](?:[0-9]{6}[ -][0-9]{3,6}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{1,3}|[0-9]{4}[ -][0-9]{5,6}"
+    r"|[0-9]{5}[ -][0-9]{4,5})(?![0-9]|[.-][0-9]))"
 )
-CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])"
+FOURS = r"^[0-9]{4}(?:[ -]?[0-9]{4}){3}(?:[ -]|$)"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
 #: What every entity holds; most texts hold none of it and are not searched further.
 HINT = rf"[0-9@]|(?<!\p{{L}})(?:{MALE}|{FEMALE})"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, SSN, NAME))
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, NATIONAL, SSN, NAME))
 
 #: From this attempt on, surrogates get longer.
 LONGER = 8
@@ -74,6 +106,11 @@ ENDINGS = {
 _EMPTY = "CAST(array() AS array<struct<kind: string, canon: string>>)"
 
 
+def _with(value: Column, body) -> Column:
+    """``body(value)``, where ``value`` is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def kind_of(value: Column) -> Column:
     whole = lambda p: value.rlike(f"^(?:{p})$")
     return (
@@ -82,6 +119,7 @@ def kind_of(value: Column) -> Column:
         .when(value.startswith("+"), "phone")
         .when(whole(IP), "ip")
         .when(whole(SSN), "ssn")
+        .when(F.length(_digits(value)) < 13, "phone")
         .otherwise("card")
     )
 
@@ -90,6 +128,30 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def card_digits(value: Column) -> Column:
+    """The digits of a card number, null if these are none."""
+    digits = _digits(value)
+    right = F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0)
+    return F.when(right, digits).when(value.rlike(FOURS), F.substr(digits, F.lit(1), F.lit(16)))
+
+
+def _dialled(value: Column) -> Column:
+    """A telephone number with its trunk prefix ``(0)`` as one character."""
+    return F.when(value.startswith("+"), F.replace(value, F.lit("(0)"), F.lit("\x1f"))).otherwise(value)
+
+
+def phone_canon(value: Column) -> Column:
+    """Country code (``0`` if the number does not tell it) and all digits."""
+    digits = _digits(_dialled(value))
+    code = F.regexp_extract(digits, f"^(?:{COUNTRY})", 0)
+    full = F.when(F.length(digits) == 10, F.concat(F.lit("1"), digits)).otherwise(digits)
+    return (
+        F.when(value.startswith("+"), F.concat(code, F.lit(":"), digits))
+        .when(digits.startswith("0"), F.concat(F.lit("0:"), digits))
+        .otherwise(F.concat(F.lit("1:"), full))
+    )
+
+
 def script_of(word: Column) -> Column:
     return (
         F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic")
@@ -105,6 +167,10 @@ def name_words(value: Column) -> Column:
 
 def entities(value: Column) -> Column:
     """The ``(kind, canon)`` parts of one match, in order."""
+    return _with(kind_of(value), lambda kind: _parts(value, kind))
+
+
+def _parts(value: Column, kind: Column) -> Column:
     words = name_words(value)
     gender = F.when(value.rlike(rf"^(?:{MALE})\b"), "male").otherwise("female")
     names = F.transform(
@@ -118,14 +184,21 @@ def entities(value: Column) -> Column:
             F.lower(w).alias("canon"),
         ),
     )
-    kind = kind_of(value)
-    canon = F.when(kind.isin("email"), F.lower(value)).when(kind == "ip", value).otherwise(_digits(value))
-    # a telephone number keeps its country code, so that is part of its type
-    phone = F.concat(F.regexp_extract(value, r"^\+([0-9]+)", 1), F.lit(":"), canon)
-    canon = F.when(kind == "phone", phone).otherwise(canon)
-    return F.when(kind == "name", names).otherwise(
-        F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
+    canon = (
+        F.when(kind.isin("email"), F.lower(value))
+        .when(kind == "ip", value)
+        # a telephone number keeps its country code, so that is part of its type
+        .when(kind == "phone", phone_canon(value))
+        .when(kind == "card", card_digits(value))
+        .otherwise(_digits(value))
     )
+    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon")))
+    return F.when(kind == "name", names).otherwise(F.filter(one, lambda e: e["canon"].isNotNull()))
+
+
+def is_entity(value: Column) -> Column:
+    """Whether a match is an entity; a long number without a right check digit is none."""
+    return ~value.rlike(f"^(?:{CARD})$") | card_digits(value).isNotNull()
 
 
 def matches(text: Column) -> Column:
@@ -235,19 +308,32 @@ def _cased(word: Column, like: Column) -> Column:
 
 def written(value: Column, found: Column) -> Column:
     """A match with its surrogates (``found``, one per part) in its own format."""
+    return _with(
+        F.struct(kind_of(value).alias("kind"), found.alias("found")),
+        lambda x: _written(value, x["kind"], x["found"]),
+    )
+
+
+def _written(value: Column, kind: Column, found: Column) -> Column:
     first = F.get(found, 0)
-    kind = kind_of(value)
     upper = (value == F.upper(value)) & value.rlike("[A-Z]")
     names = F.concat_ws(
         " ",
         F.substring_index(value, " ", 1),
         F.array_join(F.zip_with(name_words(value), found, lambda w, s: _cased(s, w)), " "),
     )
+    plain, number = _dialled(value), F.substring_index(first, ":", -1)
+    # without its country code a number has the last digits only
+    last = F.substr(number, F.length(number) - F.length(_digits(plain)) + 1, F.length(number))
+    # digits after a card number stay
+    rest = F.substr(_digits(value), F.length(first) + 1, F.length(value))
     return (
-        F.when(kind == "email", F.when(upper, F.upper(first)).otherwise(first))
+        F.when(first.isNull(), value)
+        .when(kind == "email", F.when(upper, F.upper(first)).otherwise(first))
         .when(kind == "ip", first)
-        .when(kind == "phone", _fill(value, F.substring_index(first, ":", -1)))
+        .when(kind == "phone", F.replace(_fill(plain, last), F.lit("\x1f"), F.lit("(0)")))
         .when(kind == "name", names)
+        .when(kind == "card", _fill(value, F.concat(first, rest)))
         .otherwise(_fill(value, first))
     )
 
@@ -333,8 +419,9 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
     rewritten = F.when(F.size(found) == 0, body).otherwise(
         F.array_join(F.zip_with(pieces, new, lambda p, m: F.concat(p, m)), "")
     )
+    n = F.when(F.size(found) <= 0, F.size(found)).otherwise(F.size(F.filter(found, is_entity)))
     return joined.withColumn(
-        out, F.struct(F.when(body.isNotNull(), rewritten).alias("text"), F.size(found).alias("n_entities"))
+        out, F.struct(F.when(body.isNotNull(), rewritten).alias("text"), n.alias("n_entities"))
     ).drop(f"{out}__late", m)
 
 

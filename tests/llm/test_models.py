@@ -377,6 +377,61 @@ def test_surrogates(spark):
     assert pii.replace(df.limit(0), "r", key="k").count() == 0
 
 
+NUMBERS = [
+    "+14825557163",
+    "+1 4825557163",
+    "+1482 555 7163",
+    "+1 (482) 555-7163",
+    "(482) 555-7163",
+    "482-555-7163",
+    "1-482-555-7163",
+    "+33 1 42 68 53 00",
+    "+33142685300",
+    "+49 (0)30 1234567",
+    "+49 30 1234567",
+    "+442079460958",
+    "+358 9 1234 567",
+    "01 42 68 53 00",
+    "030 1234567",
+    "(01632) 960123",
+    "378282246310005",
+    "3782 822463 10005",
+    "4222222222222",
+    "30569309025904",
+    "6011000000000000126",
+    "6011 0000 0000 0000 126",
+    "4111-1111-1111-1111",
+]
+
+
+def test_numbers_in_all_forms(spark):
+    rows = [(i, f"Take {n} 2 times.") for i, n in enumerate(NUMBERS)]
+    none = ["378282246310006", "on 01.02.2003 or 2003-02-01", "1.2345678", "item 1234567", "4825557163"]
+    card = "4111 1111 1111 1111 123 is it"
+    rows += [(100 + i, t) for i, t in enumerate([*none, card])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["r"] for r in pii.replace(df, "r", key="k").collect()}
+    new = []
+    for i, n in enumerate(NUMBERS):
+        text = got[i]["text"]
+        assert got[i]["n_entities"] == 1 and text.startswith("Take ") and text.endswith(" 2 times."), (n, text)
+        new.append(text[5:-9])
+        assert new[i] != n and re.sub(r"\d", "0", new[i]) == re.sub(r"\d", "0", n), (n, new[i])
+        assert "(0)" not in n or "(0)" in new[i]
+    digits = [re.sub(r"\D", "", x.replace("(0)", "")) for x in new]
+    assert {x[-10:] for x in digits[:7]} == {digits[0][1:]}
+    assert digits[0][0] == "1" and digits[7] == digits[8] and digits[9] == digits[10]
+    assert [x[:2] for x in digits[7:12]] == ["33", "33", "49", "49", "44"] and digits[12][:3] == "358"
+    for x in digits[16:]:
+        doubled = [int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(x[::-1])]
+        assert sum(doubled) % 10 == 0
+    assert digits[16] == digits[17] and digits[20] == digits[21]
+    for i, t in enumerate(none):
+        assert tuple(got[100 + i]) == (t, 0)
+    last = got[100 + len(none)]
+    assert last["n_entities"] == 1 and last["text"].endswith(" 123 is it") and last["text"][:19] != card[:19]
+
+
 # --- quality -------------------------------------------------------------------
 
 
