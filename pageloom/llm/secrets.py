@@ -210,11 +210,12 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def find_secrets(docs: DataFrame, out: str, *, text: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, out: str, *, text: str = "text", whole: bool = False) -> DataFrame:
     """``docs`` with a struct column ``out``: one array of spans per kind.
 
     ``assign``, ``access``, ``hex`` and ``entropy`` are arrays of
-    ``struct<start, kind, end>``; ``kind`` counts in that order from 0.
+    ``struct<start, kind, end>``; ``kind`` counts in that order from 0.  With ``whole``
+    the spans are what must not stay: of an assignment the value, of a candidate all of it.
     """
     t = f"{out}__"
     found = docs.withColumn(f"{t}t", F.coalesce(F.col(text), F.lit("")))
@@ -222,19 +223,27 @@ def find_secrets(docs: DataFrame, out: str, *, text: str = "text") -> DataFrame:
         ("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), ("entropy", RUN, 0)
     ):
         found = with_places(found, f"{t}t", f"{t}{name}", pattern, group)
-    assign = _of_kind(0, F.col(f"{t}assign"), lambda x: F.length(x["value"]) >= 12)
+    assigned = F.col(f"{t}assign")
+    if whole:
+        assigned = F.transform(
+            assigned,
+            lambda x: F.struct((x["end"] - F.length(x["value"])).alias("start"), x["end"].alias("end"), x["value"].alias("value")),
+        )
+    assign = _of_kind(0, assigned, lambda x: F.length(x["value"]) >= 12)
     access = _of_kind(1, F.col(f"{t}access"), lambda x: x["end"] - x["start"] >= 18)
     hexes = _of_kind(2, F.col(f"{t}hex"))
     high = F.transform(
         F.filter(f"{t}entropy", lambda x: ~allowed(x["value"])),
-        lambda x: F.struct(x["start"].alias("at"), high_entropy(x["value"]).alias("w")),
+        lambda x: F.struct(
+            x["start"].alias("at"), x["end"].alias("end"), high_entropy(x["value"]).alias("w")
+        ),
     )
     entropy = F.transform(
         F.filter(high, lambda x: x["w"]["first"].isNotNull()),
         lambda x: F.struct(
-            (x["at"] + x["w"]["first"]).alias("start"),
+            (x["at"] if whole else x["at"] + x["w"]["first"]).alias("start"),
             F.lit(3).alias("kind"),
-            (x["at"] + x["w"]["last"]).alias("end"),
+            (x["end"] if whole else x["at"] + x["w"]["last"]).alias("end"),
         ),
     )
     return found.withColumn(
@@ -245,13 +254,73 @@ def find_secrets(docs: DataFrame, out: str, *, text: str = "text") -> DataFrame:
     ).drop(*[f"{t}{n}" for n in ("t", "assign", "access", "hex", "entropy")])
 
 
+def _without(body: Column, spans: Column) -> Column:
+    """``body`` with the union of ``spans`` (sorted) replaced.
+
+    The spans are taken in chunks, each with the part of the text that it covers, so that
+    a long text with many of them is not gone through for each.
+    """
+
+    def step(s: Column, x: Column) -> Column:
+        after = F.greatest(s["at"], F.lit(0).cast("long"))
+        gap = F.substr(s["part"], (after - s["base"] + 1).cast("int"), (x["start"] - after).cast("int"))
+        new = F.when(x["start"] > s["at"], F.concat(gap, F.lit(REDACTED))).otherwise("")
+        return F.struct(
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.concat(s["out"], new).alias("out"),
+            s["base"].alias("base"),
+            s["part"].alias("part"),
+        )
+
+    def chunk(s: Column, c: Column) -> Column:
+        some = F.slice(spans, c * CHUNK + 1, CHUNK)
+        base = F.greatest(s["at"], F.lit(0).cast("long"))
+        far = F.greatest(F.element_at(some, -1)["start"] - base, F.lit(0).cast("long"))
+        part = F.substr(body, (base + 1).cast("int"), far.cast("int"))
+        start = F.struct(
+            s["at"].alias("at"), F.lit("").alias("out"), base.alias("base"), part.alias("part")
+        )
+        done = F.aggregate(
+            some, start, step, lambda d: F.struct(d["at"].alias("at"), F.array(d["out"]).alias("out"))
+        )
+        return F.get(
+            F.transform(
+                F.array(done),
+                lambda d: F.struct(d["at"].alias("at"), F.concat(s["out"], d["out"]).alias("out")),
+            ),
+            0,
+        )
+
+    chunks = F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int"))
+    # a span at the very start is after the end of none
+    start = F.struct(F.lit(-1).cast("long").alias("at"), F.expr("CAST(array() AS array<string>)").alias("out"))
+    return F.aggregate(
+        chunks,
+        start,
+        chunk,
+        lambda s: F.concat(
+            F.array_join(s["out"], ""), F.substr(body, (s["at"] + 1).cast("int"), F.length(body))
+        ),
+    )
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with secrets replaced in ``text``, one kind after another (null stays null).
+    """``docs`` with secrets replaced in ``text`` (null stays null).
 
-    Of an assignment only the value is replaced, of a candidate the whole candidate.
+    All that ``find_secrets`` reports goes: of an assignment only the value, of a candidate
+    the whole candidate; spans that meet become one.  What is left of a text that held
+    secrets is then searched again, one kind after another, as a remainder can be one.
     Each kind is a column of its own, so that no text is searched over and over.
     """
     last = F.array(F.lit(""))
+    columns, name = docs.columns, "__redacted"
+    docs = find_secrets(docs, "__s", text=text, whole=True)
+    docs = docs.withColumn(
+        "__spans", F.array_sort(F.concat("__s.assign", "__s.access", "__s.hex", "__s.entropy"))
+    ).drop("__s")
+    held = F.size("__spans") > 0
+    body = F.col(f"`{text}`")
+    docs = docs.withColumn(name, F.when(held, _without(body, F.col("__spans"))).otherwise(body))
 
     def value_of(m: Column, h: Column) -> Column:
         long = F.length(m) - F.length(h) >= 12
@@ -268,7 +337,6 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         (HEX, if_(lambda m: F.length(m) >= 16)),
         (RUN, if_(lambda m: ~allowed(m) & high_entropy(m)["first"].isNotNull())),
     )
-    columns, name = docs.columns, text
     for i, (pattern, new) in enumerate(steps):
         body = F.col(f"`{name}`")
         pieces = F.zip_with(
@@ -278,7 +346,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         )
         name = f"__redacted{i}"
         docs = docs.withColumn(
-            name, F.when(body.rlike(pattern), F.array_join(pieces, "")).otherwise(body)
+            name, F.when(held & body.rlike(pattern), F.array_join(pieces, "")).otherwise(body)
         )
     return docs.select(
         *[F.col(name).alias(c) if c == text else F.col(f"`{c}`") for c in columns]
