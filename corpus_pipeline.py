@@ -42,7 +42,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document with the words taken and the shards that hold them."""
+    """The mix as columns: each document with the words taken and the shards that hold them.
+
+    Rows and texts are those of the stage before.  Its reader applies the mix: documents
+    with ``taken = 0`` are not part of it, of the others ``taken`` words are (more than
+    ``size``: the text again from its start), and ``shards`` says where they go.
+    """
     mixed = mixing.mix(docs, "__mix")
     names = ("size", "source_size", "target", "taken")
     kept = [c for c in mixed.columns if c not in (*names, "shards", "__mix")]
