@@ -9,6 +9,7 @@ from pageloom.llm import (
     mixing,
     pii,
     quality,
+    resampling,
     secrets,
     simhash,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_secrets": secrets.query,
     "op9_html": html_text.query,
     "op10_mix": mixing.query,
+    "op11_resample": resampling.query,
 }
 
 ORACLE_SQL = {
@@ -33,4 +35,5 @@ ORACLE_SQL = {
     "op6_license": licenses.ORACLE,
     "op8_secrets": secrets.ORACLE,
     "op10_mix": mixing.ORACLE,
+    "op11_resample": resampling.ORACLE,
 }
