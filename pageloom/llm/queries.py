@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pageloom.llm import (
+    centroids,
     decontamination,
     html_text,
     licenses,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_html": html_text.query,
     "op10_mix": mixing.query,
     "op11_resample": resampling.query,
+    "op12_centroids": centroids.query,
 }
 
 ORACLE_SQL = {
@@ -36,4 +38,5 @@ ORACLE_SQL = {
     "op8_secrets": secrets.ORACLE,
     "op10_mix": mixing.ORACLE,
     "op11_resample": resampling.ORACLE,
+    "op12_centroids": centroids.ORACLE,
 }

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import resampling
+from pageloom.llm import centroids, resampling
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -98,3 +98,79 @@ def test_all_ids_equal(spark):
     rows = spark.createDataFrame([(5, "a " * 30)] * 50, "doc_id long, text string").repartition(7)
     found = resampling.resample(rows, rows.limit(3)).collect()
     assert sorted(r["rank"] for r in found if r["rank"]) == [1, 2, 3, 4, 5]
+
+
+# --- centroid clustering -------------------------------------------------------
+
+
+def plain_clusters(rows, k=8, rounds=10, components=64, scale=1024, seed=3):
+    def fits(v):
+        return v is not None and len(v) == components and all(x is not None and math.isfinite(x) for x in v)
+
+    def far(a, b):
+        return sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if fits(v)]
+    name = lambda i: "null" if i is None else i
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"{seed}:{name(r[0])}".encode()).hexdigest(), r[1]))
+    centres = [list(v) for _, v in order[:k]]
+    for step in range(rounds + 1):
+        own = [min((far(v, c), j) for j, c in enumerate(centres)) for _, v in kept]
+        for j in range(len(centres) if step < rounds else 0):
+            if mine := [v for (_, v), (_, c) in zip(kept, own, strict=True) if c == j]:
+                centres[j] = [sum(x) // len(mine) for x in zip(*mine, strict=True)]
+    return sorted(((i, c, d) for (i, _), (d, c) in zip(kept, own, strict=True)), key=str), centres
+
+
+def clustered(n, width, seed, spread=0.1):
+    rnd = np.random.default_rng(seed)
+    middles = rnd.normal(0, 1, (5, width))
+    return (middles[rnd.integers(0, 5, n)] + rnd.normal(0, spread, (n, width))).astype(np.float32).tolist()
+
+
+def test_bounds_hold_and_leave_out_centroids():
+    rnd = np.random.default_rng(0)
+    for width, pool in ((64, 64), (64, 3), (3, 10), (1, 2), (5, 1)):
+        points = rnd.integers(-2000, 2000, (400, width))
+        simplex = centroids.Simplex(points[:pool])
+        z = simplex.apex(points)
+        true = np.sqrt(centroids.squared(points, points[:50]))
+        flipped = z[:50] * np.append(np.ones(z.shape[1] - 1), -1)
+        lower = np.linalg.norm(z[:, None] - z[None, :50], axis=2)
+        upper = np.linalg.norm(z[:, None] - flipped[None], axis=2)
+        assert (lower <= true + 1e-2).all() and (true <= upper + 1e-2).all()
+    points = np.floor(np.array(clustered(2000, 64, 1)) * 1024).astype(np.int64)
+    simplex = centroids.Simplex(points[:64])
+    label, best, compared = centroids.nearest(points, simplex.apex(points), points[:8], simplex)
+    exact = centroids.squared(points, points[:8])
+    assert (label == exact.argmin(axis=1)).all() and (best == exact.min(axis=1)).all()
+    assert compared < 0.5 * exact.size
+
+
+@pytest.mark.parametrize("width, k, rounds, pivots", [(64, 8, 10, 12), (4, 3, 4, 2), (2, 40, 2, 1)])
+def test_clusters(spark, width, k, rounds, pivots):
+    vectors = clustered(120, width, 5, spread=0.5)
+    rows = [(i, v) for i, v in enumerate(vectors)]
+    rows += [(900 + i, vectors[0]) for i in range(60)] + [(3, vectors[9]), (3, vectors[9]), (None, vectors[2])]
+    nan, inf = float("nan"), float("inf")
+    bad = [None, [], [0.5], [*vectors[1][1:], None], [*vectors[1][1:], nan], [*vectors[1][1:], -inf]]
+    rows += [(5000 + i, v) for i, v in enumerate(bad) if v is None or width > 1 or len(v) != 1]
+    table = spark.createDataFrame(
+        [(*r, 1, 2.0) for r in rows], "vec_id long, embedding array<float>, cluster int, distance double"
+    )
+    found, centres = centroids.cluster(
+        table.repartition(4), k=k, rounds=rounds, components=width, pivots=pivots
+    )
+    expected, plain = plain_clusters(rows, k, rounds, width)
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+    assert centres.tolist() == plain
+
+
+def test_few_or_no_vectors(spark):
+    schema = "vec_id long, embedding array<double>"
+    found, centres = centroids.cluster(spark.createDataFrame([], schema))
+    assert found.collect() == [] and len(centres) == 0
+    same = spark.createDataFrame([(i, [1.5] * 64) for i in range(3)] + [(9, [1e9] * 64)], schema)
+    found, centres = centroids.cluster(same)
+    assert [tuple(r) for r in sorted(found.collect())] == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
+    assert len(centres) == 3
