@@ -5,6 +5,7 @@ from __future__ import annotations
 from pageloom.llm import (
     centroids,
     decontamination,
+    embedding_dups,
     html_text,
     licenses,
     mixing,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mix": mixing.query,
     "op11_resample": resampling.query,
     "op12_centroids": centroids.query,
+    "op13_near_embeddings": embedding_dups.query,
 }
 
 ORACLE_SQL = {

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.llm import centroids, resampling
+from pageloom.llm import centroids, embedding_dups, resampling
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -174,3 +174,97 @@ def test_few_or_no_vectors(spark):
     found, centres = centroids.cluster(same)
     assert [tuple(r) for r in sorted(found.collect())] == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
     assert len(centres) == 3
+
+
+# --- embedding near-duplicates -------------------------------------------------
+
+
+def plain_links(rows, cosine=0.95):
+    """``{(row, other row)}`` of all linked rows, and each row's component id."""
+    def fits(v):
+        return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    units = [np.array(v, float) / np.linalg.norm(v) if fits(v) else None for _, v in rows]
+    pairs, label = set(), list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(units):
+        for j in range(i):
+            b = units[j]
+            if a is not None and b is not None and len(a) == len(b) and a @ b >= cosine:
+                pairs.add((j, i))
+                label[root(i)] = root(j)
+    groups = {}
+    for i, (name, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(name)
+    low = {r: min((x for x in ids if x is not None), default=None) for r, ids in groups.items()}
+    degree = Counter(x for p in pairs for x in p)
+    return [(name, degree[i], low[root(i)]) for i, (name, _) in enumerate(rows)]
+
+
+def near_copies(n, groups, size, seed, spread, width=64):
+    rnd = np.random.default_rng(seed)
+    base = rnd.normal(0, 1, (n, width))
+    near = [base[g] + rnd.normal(0, spread, (size, width)) for g in range(groups)]
+    return np.concatenate([base, *near]).tolist()
+
+
+@pytest.mark.parametrize(
+    "leaf, tile, sample, trees", [(1024, 2048, 16_384, 6), (60, 25, 90, 16), (40, 1000, 10_000, 16)]
+)
+def test_embedding_links(spark, monkeypatch, leaf, tile, sample, trees):
+    monkeypatch.setattr(embedding_dups, "PAIRS", 100)
+    monkeypatch.setattr(embedding_dups, "BLOCK", 30)
+    monkeypatch.setattr(embedding_dups, "PASS_CELLS", 7)
+    vectors = near_copies(200, 12, 6, 1, 0.2) + near_copies(1, 1, 120, 2, 0.15)
+    rows = list(enumerate(vectors))
+    rows += [(1000 + i, vectors[0]) for i in range(5)] + [(1, [2 * x for x in vectors[1]])]
+    rows += [(None, vectors[3]), (None, [1.0, 2.0]), (2000, [1.0, 2.1]), (2001, [1e300, -1e300]), (2002, [1e300, -9e299])]
+    bad = [None, [], [0.0] * 64, [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0]]
+    rows += [(3000 + i, v) for i, v in enumerate(bad)]
+    rows = [(i, v) for i, v in rows if not v or v[0] is None or abs(v[0]) < 1e299]
+    random.Random(5).shuffle(rows)
+    table = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, c int")
+    found = embedding_dups.near_duplicates(
+        table.repartition(5), leaf=leaf, tile=tile, sample=sample, trees=trees
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(plain_links(rows), key=str)
+
+
+def test_very_long_vectors_do_not_overflow(spark):
+    rows = [(1, [1e300, 1e300]), (2, [1e-300, 1e-300]), (3, [5e-324, 0.0]), (4, [1e308, 0.0])]
+    found = embedding_dups.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1, 1), (2, 1, 1), (3, 1, 3), (4, 1, 3)]
+
+
+def test_no_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert embedding_dups.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+    found = embedding_dups.near_duplicates(spark.createDataFrame([(1, None), (2, None)], schema))
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_default_forest_finds_what_lies_near_the_bound():
+    """Recall of pairs of cosine 0.95 to 0.96 that meet in some leaf, at a depth of six or more."""
+    rnd = np.random.default_rng(7)
+    base = rnd.normal(0, 1, (30_000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = rnd.normal(0, 1, (3_000, 64))
+    other -= (other * base[:3000]).sum(axis=1, keepdims=True) * base[:3000]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cos = rnd.uniform(0.95, 0.96, (3_000, 1))
+    rows = np.concatenate([base, cos * base[:3000] + np.sqrt(1 - cos**2) * other])
+    strip = embedding_dups.half_spill(0.95, 64)
+    shared, largest, depth = np.zeros(3000, bool), 0, 0
+    for cell in (64 * 64, 64 * 64 + 1, 64 * 64 + 2):  # half of the trees
+        nodes = embedding_dups.grow(rows[::3], len(rows), cell, 13, strip, 1024)
+        for own, leaf in embedding_dups.leaves_of(rows, nodes, cell, 13, strip):
+            inside = np.zeros(len(rows), bool)
+            inside[own] = True
+            shared |= inside[:3000] & inside[30_000:]
+            largest, depth = max(largest, len(own)), depth + 1
+    assert shared.mean() > 0.97 and largest < 1400 and depth > 150
