@@ -9,14 +9,18 @@ from __future__ import annotations
 from pageloom.catalog.queries import (
     ANY_OVERLAP,
     BATCHES,
+    CLUSTERS,
     FREQUENT,
+    KMEANS_ROUNDS,
     LONG_ROUNDS,
     MATRIX_WORDS,
     MIN_OVERLAP,
     ROUNDS,
     SEARCHED,
+    SEEDS,
     START_CENTRES,
     THRESHOLD,
+    TOPIC_WORDS,
     WIDE_THRESHOLD,
 )
 
@@ -183,6 +187,47 @@ def _lloyd() -> str:
 
 # -- topics ----------------------------------------------------------------
 
+def _sparse_kmeans(points: str) -> str:
+    """All runs of k-means over ``pt`` (page_id, word, weight); ``be`` is the best run's number.
+
+    ``points`` defines ``pt`` and ``pg``, all pages with their squared norms.
+    """
+    runs = ", ".join(f"({s})" for s in SEEDS)
+    parts = [
+        points,
+        f"""
+    st AS MATERIALIZED (
+        SELECT run, page_id, c FROM (
+            SELECT run, page_id, row_number() OVER (
+                PARTITION BY run ORDER BY md5(run || ':' || page_id), page_id) - 1 AS c
+            FROM pg, (VALUES {runs}) r(run)) WHERE c < {CLUSTERS}),
+    c0 AS MATERIALIZED (SELECT run, c, word, weight FROM st JOIN pt USING (page_id))""",
+    ]
+    for i in range(KMEANS_ROUNDS + 1):
+        parts.append(f"""
+    n{i} AS (SELECT run, st.c, coalesce(s, 0) AS norm FROM st LEFT JOIN
+             (SELECT run, c, sum(weight * weight) AS s FROM c{i} GROUP BY ALL) USING (run, c)),
+    a{i} AS MATERIALIZED (
+        SELECT run, page_id, min({{'d': d, 'c': c}}) AS m FROM (
+            SELECT n.run, p.page_id, n.c, round(p.norm + n.norm - 2 * coalesce(dot, 0), 6) AS d
+            FROM pg p CROSS JOIN n{i} n LEFT JOIN
+                 (SELECT run, page_id, c, sum(pt.weight * o.weight) AS dot
+                  FROM pt JOIN c{i} o USING (word) GROUP BY ALL) t
+                 ON t.run = n.run AND t.page_id = p.page_id AND t.c = n.c) GROUP BY ALL)""")
+        if i < KMEANS_ROUNDS:
+            parts.append(f"""
+    z{i} AS (SELECT run, m.c AS c, count(*) AS n FROM a{i} GROUP BY ALL),
+    c{i + 1} AS MATERIALIZED (
+        SELECT run, c, word, s / n AS weight FROM
+            (SELECT run, m.c AS c, word, sum(weight) AS s FROM a{i} JOIN pt USING (page_id) GROUP BY ALL)
+            JOIN z{i} USING (run, c)
+        UNION ALL SELECT * FROM c{i} ANTI JOIN z{i} USING (run, c))""")
+    parts.append(f"""
+    be AS (SELECT run FROM (SELECT run, round(sum(greatest(m.d, 0)), 3) AS cost
+                            FROM a{KMEANS_ROUNDS} GROUP BY run) ORDER BY cost, run LIMIT 1)""")
+    return "WITH " + ",".join(parts)
+
+
 def _topics(min_overlap: int, below: str) -> str:
     return f"""
     WITH {_counts(WS)}, {SMOOTH},
@@ -218,6 +263,18 @@ _MATRIX = ", ".join(
 )
 
 
+KMEANS_WORDS = _sparse_kmeans(f"""{_counts(WS)}, {SMOOTH},
+    pt AS MATERIALIZED (SELECT page_id, word, weight FROM sm),
+    pg AS MATERIALIZED (SELECT doc_id AS page_id, coalesce(s, 0) AS norm FROM documents LEFT JOIN
+        (SELECT page_id, sum(weight * weight) AS s FROM pt GROUP BY page_id) ON doc_id = page_id)""")
+KMEANS_UNIT = _sparse_kmeans("""
+    pv AS (SELECT vec_id AS page_id, unnest(range(len(embedding))) AS word,
+                  unnest(embedding)::DOUBLE AS v FROM embeddings),
+    pt AS MATERIALIZED (SELECT page_id, word, v / sqrt(s) AS weight FROM pv JOIN
+        (SELECT page_id, sum(v * v) AS s FROM pv GROUP BY page_id) USING (page_id)),
+    pg AS MATERIALIZED (SELECT DISTINCT page_id, 1.0::DOUBLE AS norm FROM pt)""")
+
+
 def all_sql() -> dict[str, str]:
     smooth = f"WITH {_counts(WS)}, {SMOOTH}"
     ratio = f"WITH {_counts(ASCII)}, {RATIO}"
@@ -397,6 +454,17 @@ def all_sql() -> dict[str, str]:
             {_ranks('lf')} SELECT page, round(rank, 6) AS rank FROM r{ROUNDS}""",
         "kmeans_lloyd": f"""
             {_lloyd()} SELECT vec_id AS id, cluster::INTEGER AS cluster FROM a{ROUNDS}""",
+        "kmeans_ml": f"""
+            {KMEANS_WORDS} SELECT page_id, m.c::INTEGER AS cluster
+            FROM a{KMEANS_ROUNDS} JOIN be USING (run)""",
+        "kmeans_unit": f"""
+            {KMEANS_UNIT} SELECT page_id, m.c::INTEGER AS cluster
+            FROM a{KMEANS_ROUNDS} JOIN be USING (run)""",
+        "kmeans_topics": f"""
+            {KMEANS_WORDS} SELECT cluster, word, rank FROM (
+                SELECT c::INTEGER AS cluster, word, row_number() OVER (
+                    PARTITION BY c ORDER BY round(weight, 9) DESC, word)::INTEGER AS rank
+                FROM c{KMEANS_ROUNDS} JOIN be USING (run)) WHERE rank <= {TOPIC_WORDS}""",
         "l2_normalize": """
             SELECT page_id, dim::INTEGER AS dim, round(v / norm, 6) AS value FROM
             (SELECT vec_id AS page_id, unnest(range(len(embedding))) AS dim,

@@ -20,6 +20,7 @@ from pageloom.operators import (
     tfidf,
     topics,
 )
+from pageloom.operators.sparse_kmeans import sparse_kmeans
 from pageloom.plans.staging import scratch_path, stage
 from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
@@ -41,6 +42,9 @@ MATRIX_WORDS = ["the", "and", "that", "les", "des", "der", "die", "que", "los",
 ANY_OVERLAP = 60
 LONG_ROUNDS = 8
 BATCHES = 3
+#: The setting of the older k-means job.
+CLUSTERS, KMEANS_ROUNDS, SEEDS = 50, 10, (1, 2)
+TOPIC_WORDS = 5
 
 
 def query(fn: Query) -> Query:
@@ -516,18 +520,26 @@ def l2_normalize(spark, sf):
 
 @query
 def kmeans_ml(spark, sf):
+    """TF-IDF over the words themselves; two runs from hashed starts."""
     pages = fx.pages(spark, sf)
-    n_words = terms.page_freq(pages, tx.ws_words).count()
-    vectors = tfidf.hashed_vectors(pages, num_features=max(n_words, 1))
-    assigned, _ = clustering.kmeans(vectors.select("page_id", "features"), k=50)
-    return assigned
+    weights = tfidf.smoothed(tfidf.count_corpus(pages, tx.ws_words))
+    return sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, pages=pages)[0]
 
 
 @query
 def kmeans_unit(spark, sf):
     vectors = clustering.to_vectors(fx.points(spark, sf).withColumnRenamed("id", "page_id"), "features")
-    assigned, _ = clustering.kmeans(vectors, k=50, unit_length=True)
-    return assigned
+    weights = clustering.vector_rows(vectors).toDF("page_id", "word", "weight")
+    return sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, unit_length=True)[0]
+
+
+@query
+def kmeans_topics(spark, sf):
+    """The words of the clusters that k-means finds."""
+    pages = fx.pages(spark, sf)
+    weights = tfidf.smoothed(tfidf.count_corpus(pages, tx.ws_words))
+    _, centres = sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, pages=pages)
+    return topics.top_terms(centres, TOPIC_WORDS)
 
 
 def _weighted(spark, sf) -> tuple[DataFrame, DataFrame]:

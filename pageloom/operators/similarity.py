@@ -30,11 +30,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import ascii_words
-from pageloom.operators.terms import explode_words
+from pageloom.operators.dictionary import word_numbers
+from pageloom.operators.terms import count_rows, counted_words
 from pageloom.plans.staging import stage
 
 #: Distances are compared after rounding to six digits.
@@ -50,6 +53,9 @@ COMPARED_MASS = 1.0
 #: Steps of the weight before a word that are part of the join key.
 MASS_STEPS = 4
 
+#: Contents of one block; a tile of the verification holds two blocks.
+CONTENTS_PER_BLOCK = 1024
+
 METRICS = ("euclid", "symdiff")
 
 
@@ -59,8 +65,9 @@ class Vectors:
 
     ``copies``: ``(page_id, rep)`` for every page with a token.
     ``norms``: ``(rep, n_pages, norm_sq)`` per content.
-    ``terms``: ``(rep, word, df, weight, norm_sq, before)``; ``before`` is the
-    squared weight of the content's words that come first in the order of all words.
+    ``terms``: ``(rep, word, df, weight, norm_sq, before)``; ``word`` is a number in the
+    order of all words, ``before`` the squared weight of the content's words that come
+    first in it.
     ``lengths``: ``(page_id, n_words)`` for every page with a token.
     """
 
@@ -78,59 +85,52 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     """
     n_all = pages.agg(F.count("*").alias("n")).scalar()
     kept = pages if keep is None else pages.where(keep)
-    words = kept.select("page_id", ascii_words(F.col("text")).alias("words"))
-    signature = F.unhex(F.sha2(F.array_join(F.array_sort("words"), " "), 256))
-    signed = words.withColumn("signature", signature).withColumn("len", F.size("words"))
     # the only pass over the text
-    counts = stage(
-        explode_words(signed, "page_id", "signature", "len")
-        .groupBy("page_id", "signature", "len", "word")
-        .agg(F.count("*").alias("n")),
-        "counts",
+    counted = stage(counted_words(kept, ascii_words, "page_id").where("n_words > 0"), "counted")
+    signed = stage(
+        counted.select("page_id", "n_words", F.unhex(_signature("counts")).alias("signature")),
+        "signatures",
     )
-    vocabulary = stage(counts.groupBy("word").agg(F.count("*").alias("df")), "vocabulary")
-    # copies add up here: ``total`` is the count of one page times the copies
-    tf = counts.groupBy("signature", "len", "word").agg(
-        F.min("page_id").alias("rep"), F.sum("n").alias("total")
+    contents = stage(
+        signed.groupBy("signature").agg(
+            F.min("page_id").alias("rep"), F.count("*").alias("n_pages")
+        ),
+        "contents",
     )
-    of_page = Window.partitionBy("rep")
-    in_order = of_page.orderBy("df", "word").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    copies = signed.select("page_id", "signature").join(contents, "signature").select("page_id", "rep")
+    # one page stands for its copies, before its words become rows
+    once = counted.join(contents.select(F.col("rep").alias("page_id"), "n_pages"), "page_id")
+    tf = stage(
+        count_rows(once, "page_id", "n_pages", "n_words").withColumnRenamed("page_id", "rep"), "tf"
     )
-    n_pages = F.sum("total").over(of_page) / F.col("len")
-    idf = F.ln(n_all / F.col("df"))
+    numbers = word_numbers(tf.groupBy("word").agg(F.sum("n_pages").alias("df")))
+    of_page = Window.partitionBy("rep")
+    in_order = of_page.orderBy("word").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     square = F.col("weight") * F.col("weight")
+    idf = F.ln(n_all / F.col("df"))
     ordered = (
-        tf.join(vocabulary, "word")
-        .withColumn("n_pages", n_pages.cast("bigint"))
-        .withColumn("weight", F.col("total") / F.col("n_pages") / F.col("len") * idf)
+        tf.join(numbers, "word")
+        .select(
+            "rep", "n_pages", F.col("word_id").alias("word"), "df",
+            (F.col("n") / F.col("n_words") * idf).alias("weight"),
+        )
         .withColumn("norm_sq", F.sum(square).over(of_page))
         .withColumn("before", F.sum(square).over(in_order) - square)
     )
-    vectors = stage(
-        ordered.select("rep", "n_pages", "word", "df", "weight", "norm_sq", "before"), "vectors"
-    )
+    vectors = stage(ordered, "vectors")
     norms = stage(
         vectors.groupBy("rep").agg(
             F.max("n_pages").alias("n_pages"), F.max("norm_sq").alias("norm_sq")
         ),
         "norms",
     )
-    of_counts = counts.groupBy("page_id", "signature").agg(F.max("len").alias("len"))
-    signatures = stage(of_counts, "signatures")
-    return Vectors(
-        _copies(signatures),
-        norms,
-        vectors.drop("n_pages"),
-        signatures.select("page_id", F.col("len").cast("bigint").alias("n_words")),
-    )
+    return Vectors(copies, norms, vectors.drop("n_pages"), signed.select("page_id", "n_words"))
 
 
-def _copies(signatures: DataFrame) -> DataFrame:
-    """``(page_id, rep)``; both sides of the join are staged, so AQE can split a
-    content that most pages share."""
-    lowest = stage(signatures.groupBy("signature").agg(F.min("page_id").alias("rep")), "lowest")
-    return signatures.select("page_id", "signature").join(lowest, "signature").select("page_id", "rep")
+def _signature(counts: str) -> Column:
+    """Digest of a page's words and their numbers; sorted, so that order does not count."""
+    item = lambda c: F.concat_ws(" ", c["word"], c["n"].cast("string"))
+    return F.sha2(F.array_join(F.transform(counts, item), " "), 256)
 
 
 def _reach(threshold: float) -> float:
@@ -263,19 +263,10 @@ def found_pairs(
     kept = stage(
         candidates(vectors, threshold, metric, pages_per_split, among_light), "candidates"
     )
-    weights = vectors.terms.where("weight > 0")
-    mine = weights.select(F.col("rep").alias("x"), "word", F.col("weight").alias("wx"))
-    theirs = weights.select(F.col("rep").alias("y"), "word", F.col("weight").alias("wy"))
-    common = kept.join(mine, "x").join(theirs, ["y", "word"])
-    product = (
-        2 * F.col("wx") * F.col("wy")
-        if metric == "euclid"
-        else F.col("wx") * F.col("wx") + F.col("wy") * F.col("wy")
-    )
-    squared = common.groupBy("x", "y", "norm_x", "norm_y").agg(F.sum(product).alias("off"))
     dist_sq = F.greatest(F.col("norm_x") + F.col("norm_y") - F.col("off"), F.lit(0.0))
     return (
-        squared.withColumn("dist_sq", dist_sq)
+        taken_off(kept, vectors.terms, metric)
+        .withColumn("dist_sq", dist_sq)
         .where(F.col("dist_sq") <= limit)
         .select(
             F.least("x", "y").alias("page_a"),
@@ -286,6 +277,85 @@ def found_pairs(
     )
 
 
+def taken_off(
+    pairs: DataFrame, terms: DataFrame, metric: str, contents_per_block: int = CONTENTS_PER_BLOCK
+) -> DataFrame:
+    """``pairs`` (``x, y, norm_x, norm_y``) with ``off``: what shared words take off.
+
+    Contents are dealt over blocks, and a pair belongs to the tile of its two blocks.  A
+    tile gets the vectors that its pairs need, packed, once each; so a vector travels at
+    most as often as there are blocks, however many pairs it is in, and no row per pair
+    and word is made.  A tile holds at most two blocks.
+    """
+    needed = stage(
+        pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct(), "compared"
+    )
+    n = needed.count()
+    blocks = -(-n // contents_per_block) or 1
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    tiled = pairs.withColumn("a", F.least(block("x"), block("y"))).withColumn(
+        "b", F.greatest(block("x"), block("y"))
+    )
+    packed = (
+        terms.where("weight > 0")
+        .join(needed, "rep", "left_semi")
+        .groupBy("rep")
+        .agg(F.collect_list(F.struct("word", "weight")).alias("t"))
+        .select("rep", F.col("t.word").alias("words"), F.col("t.weight").alias("weights"))
+    )
+    ends = tiled.select("a", "b", F.explode(F.array("x", "y")).alias("rep")).distinct()
+    sent = ends.join(stage(packed, "packed"), "rep").select(
+        F.col("a").alias("of_a"), F.col("b").alias("of_b"), "rep", "words", "weights"
+    )
+    return (
+        tiled.groupBy("a", "b")
+        .cogroup(sent.groupBy("of_a", "of_b"))
+        .applyInArrow(
+            _tile(metric), "x long, y long, norm_x double, norm_y double, off double"
+        )
+    )
+
+
+def _tile(metric: str):
+    """The pairs of one tile: a heavier content's words are laid out once, and the
+    vectors of all its partners are looked up in them together."""
+
+    def run(pairs, vectors):
+        reps = vectors["rep"].combine_chunks().to_numpy()
+        words, weights = (vectors[c].combine_chunks() for c in ("words", "weights"))
+        sizes = words.value_lengths().to_numpy().astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        known, at = np.unique(words.flatten().to_numpy(), return_inverse=True)
+        weight = weights.flatten().to_numpy()
+        place = np.argsort(reps)
+        ids = [pairs[c].combine_chunks().to_numpy() for c in ("x", "y")]
+        x, y = (place[np.searchsorted(reps, i, sorter=place)] for i in ids)
+        off = np.zeros(len(x))
+        order = np.argsort(x, kind="stable")
+        held = np.zeros(len(known))
+        cuts = np.flatnonzero(np.diff(x[order])) + 1
+        for rows in np.split(order, cuts):
+            if not len(rows):
+                continue
+            i = x[rows[0]]
+            own = slice(starts[i], starts[i] + sizes[i])
+            held[at[own]] = weight[own]
+            partners = y[rows]
+            n = sizes[partners]
+            first = np.cumsum(n) - n
+            flat = np.repeat(starts[partners] - first, n) + np.arange(n.sum())
+            mine, theirs = held[at[flat]], weight[flat]
+            if metric == "euclid":
+                part = 2 * mine * theirs
+            else:
+                part = np.where(mine > 0, mine * mine + theirs * theirs, 0.0)
+            off[rows] = np.add.reduceat(part, first)
+            held[at[own]] = 0.0
+        return pairs.select(["x", "y", "norm_x", "norm_y"]).append_column("off", pa.array(off))
+
+    return run
+
+
 def light_pages(vectors: Vectors, threshold: float) -> DataFrame:
     """``(rep, n_pages, norm_sq)`` of the contents that are in some light pair.
 

@@ -22,14 +22,41 @@ def tokens(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
     return pages.select("page_id", F.posexplode(tokenizer(F.col("text"))).alias("pos", "word"))
 
 
-def term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
-    """``(page_id, word, n)``.
+def counted_words(
+    pages: DataFrame, tokenizer: Tokenizer = ascii_words, *keys: str
+) -> DataFrame:
+    """Per page the keys, ``n_words`` and ``counts``: its words, each with its number.
+
+    A page is one row, so its words are counted where it is read: they are sorted, and a
+    word's number is the way from its first place to the next word's.  Nothing is
+    shuffled.  A page without text has an empty or null list.
+    """
+    sorted_words = pages.select(*keys, F.sort_array(tokenizer(F.col("text"))).alias("words"))
+    size = F.size("words")
+    first = lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1))
+    starts = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), first))
+    placed = sorted_words.withColumn("starts", starts)
+    word = lambda i, j: F.struct(
+        F.get("words", i).alias("word"),
+        (F.coalesce(F.get("starts", j + 1), size) - i).cast("bigint").alias("n"),
+    )
+    return placed.select(
+        *keys, size.cast("bigint").alias("n_words"), F.transform("starts", word).alias("counts")
+    )
+
+
+def count_rows(counted: DataFrame, *keys: str) -> DataFrame:
+    """The ``counts`` of :func:`counted_words` as rows ``(*keys, word, n)``.
 
-    Counts are combined before the shuffle, and the shuffle key holds the word,
-    so neither a very long page nor a very common word makes a large group.
+    Outer, for the reason given at :func:`explode_words`.
     """
-    words = pages.select("page_id", F.explode(tokenizer(F.col("text"))).alias("word"))
-    return words.groupBy("page_id", "word").agg(F.count("*").alias("n"))
+    rows = counted.select(*keys, F.inline_outer("counts"))
+    return rows.where(F.col("word").isNotNull())
+
+
+def term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
+    """``(page_id, word, n)``, counted without a shuffle."""
+    return count_rows(counted_words(pages, tokenizer, "page_id"), "page_id")
 
 
 def explode_words(rows: DataFrame, *keys: str) -> DataFrame:
@@ -44,14 +71,8 @@ def explode_words(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def sized_term_freq(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:
-    """``(page_id, n_words, word, n)``: the counts with the length of their page.
-
-    The length is known where the text is split, so it rides along in the
-    grouping key and needs no join afterwards.
-    """
-    words = pages.select("page_id", tokenizer(F.col("text")).alias("words"))
-    sized = words.withColumn("n_words", F.size("words").cast("bigint"))
-    return explode_words(sized, "page_id", "n_words").groupBy("page_id", "n_words", "word").agg(F.count("*").alias("n"))
+    """``(page_id, n_words, word, n)``: the counts with the length of their page."""
+    return count_rows(counted_words(pages, tokenizer, "page_id"), "page_id", "n_words")
 
 
 def doc_len(pages: DataFrame, tokenizer: Tokenizer = ascii_words) -> DataFrame:

@@ -111,18 +111,19 @@ def vectors_of(spark, *pages):
     """Vectors given by hand: dicts of word -> weight."""
     rows = [(i, w, x) for i, page in enumerate(pages) for w, x in page.items()]
     df = Counter(w for _, w, _ in rows)
+    number = {w: i for i, w in enumerate(sorted(df, key=lambda w: (df[w], w)))}
     terms, norms = [], []
     for i, page in enumerate(pages):
         norm, before = sum(x * x for x in page.values()), 0.0
         for w, x in sorted(page.items(), key=lambda p: (df[p[0]], p[0])):
-            terms.append((i, w, df[w], x, norm, before))
+            terms.append((i, number[w], df[w], x, norm, before))
             before += x * x
         norms.append((i, 1, norm))
     return similarity.Vectors(
         spark.createDataFrame([(i, i) for i in range(len(pages))], "page_id long, rep long"),
         spark.createDataFrame(norms, "rep long, n_pages long, norm_sq double"),
         spark.createDataFrame(
-            terms, "rep long, word string, df long, weight double, norm_sq double, before double"
+            terms, "rep long, word long, df long, weight double, norm_sq double, before double"
         ),
     )
 
