@@ -260,19 +260,19 @@ def corpus_stats(spark, sf):
 
 @query
 def ngram5_top(spark, sf):
-    return ngrams.top_grams(ngrams.gram_counts(fx.pages(spark, sf), 5))
+    return ngrams.most_frequent(fx.pages(spark, sf), 5)
 
 
 @query
 def ngram3_top(spark, sf):
-    return ngrams.top_grams(ngrams.gram_counts(fx.pages(spark, sf), 3))
+    return ngrams.most_frequent(fx.pages(spark, sf), 3)
 
 
 @query
 def ngram5_revisions(spark, sf):
     """Every revision of a page counts."""
     pages = wx.revision_texts(wx.read_page_chunks(spark, _xml_lines(spark, sf)))
-    return ngrams.top_grams(ngrams.gram_counts(pages, 5))
+    return ngrams.most_frequent(stage(pages, "revisions"), 5)
 
 
 @query
@@ -518,12 +518,17 @@ def l2_normalize(spark, sf):
     return _rounded(unit, "value", 6)
 
 
-@query
-def kmeans_ml(spark, sf):
+def _word_clusters(spark, sf) -> tuple[tfidf.Counts, tuple[DataFrame, DataFrame]]:
     """TF-IDF over the words themselves; two runs from hashed starts."""
     pages = fx.pages(spark, sf)
-    weights = tfidf.smoothed(tfidf.count_corpus(pages, tx.ws_words))
-    return sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, pages=pages)[0]
+    counts = tfidf.count_corpus(pages, tx.ws_words)
+    weights = tfidf.smoothed_by_number(counts)
+    return counts, sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, pages=pages)
+
+
+@query
+def kmeans_ml(spark, sf):
+    return _word_clusters(spark, sf)[1][0]
 
 
 @query
@@ -536,10 +541,10 @@ def kmeans_unit(spark, sf):
 @query
 def kmeans_topics(spark, sf):
     """The words of the clusters that k-means finds."""
-    pages = fx.pages(spark, sf)
-    weights = tfidf.smoothed(tfidf.count_corpus(pages, tx.ws_words))
-    _, centres = sparse_kmeans(weights, CLUSTERS, KMEANS_ROUNDS, SEEDS, pages=pages)
-    return topics.top_terms(centres, TOPIC_WORDS)
+    counts, (_, centres) = _word_clusters(spark, sf)
+    words = counts.dictionary.select("word", F.col("word_id").alias("number"))
+    named = centres.withColumnRenamed("word", "number").join(words, "number").drop("number")
+    return topics.top_terms(named, TOPIC_WORDS)
 
 
 def _weighted(spark, sf) -> tuple[DataFrame, DataFrame]:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.text import ascii_words, md5_bucket, space_words, ws_words
 from pageloom.operators import terms
+from pageloom.operators.dictionary import word_numbers
 from pageloom.plans.staging import stage
 
 
@@ -35,6 +36,11 @@ class Counts:
         """``(word, df)``, staged when it is first asked for."""
         return stage(terms.doc_freq(self.tf), "vocabulary")
 
+    @cached_property
+    def dictionary(self) -> DataFrame:
+        """``(word, df, word_id)``, staged when it is first asked for."""
+        return word_numbers(terms.doc_freq(self.tf))
+
 
 def count_corpus(
     pages: DataFrame,
@@ -61,10 +67,17 @@ def ratio(counts: Counts) -> DataFrame:
 
 def smoothed(counts: Counts) -> DataFrame:
     """``n * ln((N + 1) / (df + 1))`` as ``(page_id, word, weight)``."""
-    weight = F.col("n") * F.ln((counts.n_pages + 1) / (F.col("df") + 1))
-    return counts.tf.join(counts.vocabulary, "word").select(
-        "page_id", "word", weight.alias("weight")
-    )
+    return smoothed_of(counts.tf.join(counts.vocabulary, "word"), counts.n_pages, "word")
+
+
+def smoothed_of(rows: DataFrame, n_pages: Column, word: str) -> DataFrame:
+    weight = F.col("n") * F.ln((n_pages + 1) / (F.col("df") + 1))
+    return rows.select("page_id", F.col(word).alias("word"), weight.alias("weight"))
+
+
+def smoothed_by_number(counts: Counts) -> DataFrame:
+    """:func:`smoothed` with the numbers of ``counts.dictionary`` as ``word``."""
+    return smoothed_of(counts.tf.join(counts.dictionary, "word"), counts.n_pages, "word_id")
 
 
 def log2_words(text: Column) -> Column:
@@ -74,10 +87,17 @@ def log2_words(text: Column) -> Column:
 
 def log2_ratio(counts: Counts) -> DataFrame:
     """``n / length * log2(N / df)``; count the corpus with :func:`log2_words`."""
-    weight = F.col("n") / F.col("n_words") * F.log2(counts.n_pages / F.col("df"))
-    return counts.tf.join(counts.vocabulary, "word").select(
-        "page_id", "word", weight.alias("weight")
-    )
+    return _log2_of(counts.tf.join(counts.vocabulary, "word"), counts.n_pages, "word")
+
+
+def log2_by_number(counts: Counts) -> DataFrame:
+    """:func:`log2_ratio` with the numbers of ``counts.dictionary`` as ``word``."""
+    return _log2_of(counts.tf.join(counts.dictionary, "word"), counts.n_pages, "word_id")
+
+
+def _log2_of(rows: DataFrame, n_pages: Column, word: str) -> DataFrame:
+    weight = F.col("n") / F.col("n_words") * F.log2(n_pages / F.col("df"))
+    return rows.select("page_id", F.col(word).alias("word"), weight.alias("weight"))
 
 
 def hashed(counts: Counts, buckets: Column | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pageloom.catalog import fixtures
 from pageloom.functions.text import ws_words
 from pageloom.operators import (
-    clustering,
     ngrams,
     page_graph,
     pagerank,
@@ -18,6 +17,7 @@ from pageloom.operators import (
     tfidf,
     topics,
 )
+from pageloom.operators.sparse_kmeans import sparse_kmeans
 from pageloom.plans.staging import stage
 from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
@@ -34,8 +34,8 @@ def wiki_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def gram_job(spark: SparkSession, path: str, out: str, n: int = 5, k: int = 5) -> DataFrame:
     """Wiki chunks -> the ``k`` most frequent n-grams, as tab lines."""
-    pages = wx.revision_texts(wx.read_page_chunks(spark, path))
-    best = stage(ngrams.top_grams(ngrams.gram_counts(pages, n), k), "top")
+    pages = stage(wx.revision_texts(wx.read_page_chunks(spark, path)), "revisions")
+    best = stage(ngrams.most_frequent(pages, n, k), "top")
     ln.write_fields(best.orderBy("n", F.desc("gram")).coalesce(1), out)
     return best
 
@@ -102,25 +102,18 @@ def weights_job(spark: SparkSession, path: str, out: str) -> DataFrame:
     return spark.read.schema(named.schema).parquet(out)
 
 
-def kmeans_assignment(pages: DataFrame, k: int, num_features: int) -> DataFrame:
-    """Clusters of pages by TF-IDF hashed to ``num_features`` dimensions.
-
-    With fewer dimensions than words, words share them and the clusters change; the
-    centres take ``k * num_features`` numbers.
-    """
-    vectors = tfidf.hashed_vectors(pages, num_features=num_features)
-    return clustering.kmeans(vectors, k=k)[0]
+def kmeans_assignment(counts: tfidf.Counts, pages: DataFrame, k: int) -> DataFrame:
+    """Clusters of all pages by the smoothed TF-IDF of their words."""
+    return sparse_kmeans(tfidf.smoothed_by_number(counts), k, pages=pages)[0]
 
 
-def topics_of(
-    pages: DataFrame, min_overlap: int, k: int, num_features: int
-) -> topics.TopicModel:
+def topics_of(pages: DataFrame, min_overlap: int, k: int) -> topics.TopicModel:
     """TF-IDF, k-means, topic words, memberships and the size band."""
     counts = tfidf.count_corpus(pages, ws_words)
     return topics.build_topics(
         counts.tf,
         tfidf.smoothed(counts),
-        kmeans_assignment(pages, k, num_features),
+        kmeans_assignment(counts, pages, k),
         pages.select("page_id", "title"),
         min_overlap,
     )
@@ -132,11 +125,10 @@ def topic_job(
     catalog_out: str,
     pairs_out: str,
     min_overlap: int,
-    num_features: int,
     k: int = 50,
 ) -> topics.TopicModel:
     """Tab corpus -> the topic catalogue, and the ``topic,title`` search table."""
-    model = topics_of(tab_pages(spark, path), min_overlap, k, num_features)
+    model = topics_of(tab_pages(spark, path), min_overlap, k)
     model.catalog().write.parquet(catalog_out)
     model.pairs().write.csv(pairs_out)
     return model
@@ -148,7 +140,6 @@ def topic_stream_job(
     out: str,
     min_overlap: int,
     checkpoint: str,
-    num_features: int,
     k: int = 50,
     interval: str | None = stream.TOPIC_INTERVAL,
 ):
@@ -156,7 +147,7 @@ def topic_stream_job(
     arriving = ln.parse_tab_corpus(stream.line_stream(spark, path))
     work = stream.topic_batches(
         out,
-        lambda batch: kmeans_assignment(batch, k, num_features),
+        lambda batch: kmeans_assignment(tfidf.count_corpus(batch, ws_words), batch, k),
         min_overlap,
         show=interval is not None,
     )
@@ -186,9 +177,7 @@ def lookup_stream_job(
     return stream.lookup(stream.line_stream(spark, lines_path), table, out, checkpoint, interval)
 
 
-def matrix_job(
-    spark: SparkSession, path: str, out: str, num_features: int, k: int = 50
-) -> DataFrame:
+def matrix_job(spark: SparkSession, path: str, out: str, k: int = 50) -> DataFrame:
     """One document per line -> the top words of each document, as CSV.
 
     Documents are clustered at unit length; the cluster stands beside the words.
@@ -198,10 +187,9 @@ def matrix_job(
         F.monotonically_increasing_id().alias("page_id"), F.col("value").alias("text")
     )
     pages = stage(numbered, "line-pages")
-    weights = tfidf.log2_ratio(tfidf.count_corpus(pages, tfidf.log2_words))
-    vectors = tfidf.hashed_vectors(pages, tfidf.log2_words, num_features)
-    clusters, _ = clustering.kmeans(vectors, k=k, unit_length=True)
-    top = tfidf.top_terms_per_page(weights).join(clusters, "page_id")
+    counts = tfidf.count_corpus(pages, tfidf.log2_words)
+    clusters, _ = sparse_kmeans(tfidf.log2_by_number(counts), k, unit_length=True, pages=pages)
+    top = tfidf.top_terms_per_page(tfidf.log2_ratio(counts)).join(clusters, "page_id")
     ln.write_csv(top, out)
     return spark.read.schema(top.schema).csv(out, header=True)
 
@@ -209,7 +197,7 @@ def matrix_job(
 def topic_search_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents -> k-means topics -> search table -> titles per topic, by SQL."""
     pages = fixtures.pages(spark, sf_dir)
-    model = topics_of(pages, min_overlap=20, k=8, num_features=1 << 15)
+    model = topics_of(pages, min_overlap=20, k=8)
     search.register(stage(model.pairs(), "pairs"))
     return spark.sql(
         "SELECT topic, count(DISTINCT title) AS n_titles, min(title) AS first_title "

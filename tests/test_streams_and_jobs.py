@@ -97,18 +97,18 @@ def test_topic_jobs(spark):
     lines = [f"{i} T{i}\t" + " ".join(["sun", "sea"] * 3 if i % 2 else ["fog", "ice"] * 3) for i in range(8)]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
     pairs = scratch_path(spark, "pairs")
-    jobs.topic_job(spark, folder, scratch_path(spark, "cat"), pairs, 2, num_features=1 << 10, k=2)
+    jobs.topic_job(spark, folder, scratch_path(spark, "cat"), pairs, 2, k=2)
     titles = {r["title"] for r in jobs.search_job(spark, pairs, scratch_path(spark, "s"), "sun").collect()}
     assert titles == {"T1", "T3", "T5", "T7"}
     every = jobs.search_job(spark, pairs, scratch_path(spark, "s"))
     assert every.where(F.col("label") == "Topic: fog").count() == 4
     out = scratch_path(spark, "stream")
     query = jobs.topic_stream_job(
-        spark, folder, out, 2, scratch_path(spark, "ck"), 1 << 10, k=2, interval=None
+        spark, folder, out, 2, scratch_path(spark, "ck"), k=2, interval=None
     )
     query.awaitTermination()
     assert spark.read.parquet(f"{out}/catalog").count() == 2
     weights = jobs.weights_job(spark, folder, scratch_path(spark, "w"))
     assert weights.count() == 16
-    top = jobs.matrix_job(spark, folder, scratch_path(spark, "m"), k=2, num_features=1 << 10)
+    top = jobs.matrix_job(spark, folder, scratch_path(spark, "m"), k=2)
     assert {"page_id", "word", "weight", "rank", "cluster"} == set(top.columns)

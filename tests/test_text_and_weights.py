@@ -129,3 +129,19 @@ def test_counts_add_up(spark, texts):
     stats = terms.corpus_stats(df).first()
     assert tf == lengths == stats["n_tokens"]
     assert stats["n_pages"] == len(texts)
+
+
+@pytest.mark.parametrize("width,fullest", [(1 << 16, 64), (64, 4), (8, 1)])
+def test_most_frequent_grams_equal_those_of_all_counts(spark, monkeypatch, width, fullest):
+    monkeypatch.setattr(ngrams, "FULLEST", fullest)
+    rnd = random.Random(width)
+    texts = [" ".join(rnd.choices("abcdefgh", k=rnd.choice([0, 2, 5, 60]))) for _ in range(40)]
+    texts += [None, "", "a b c a b c", "x y z"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, text string")
+    for n, k in ((1, 3), (3, 5), (5, 40), (3, 10_000)):
+        expected = ngrams.top_grams(ngrams.gram_counts(pages, n), k).collect()
+        assert ngrams.most_frequent(pages, n, k, width).collect() == expected
+
+
+def test_most_frequent_grams_of_nothing(spark):
+    assert ngrams.most_frequent(spark.createDataFrame([], "page_id long, text string"), 5).count() == 0
