@@ -496,6 +496,12 @@ def all_sql() -> dict[str, str]:
         "topic_any_pairs": f"{ANY} SELECT topic, title FROM pa",
         "topic_any_search": f"""
             {ANY} SELECT DISTINCT topic, title FROM pa WHERE topic = '{SEARCHED}'""",
+        "topic_stored_search": f"""
+            {ANY} SELECT DISTINCT topic, title FROM pa WHERE topic = '{SEARCHED}'""",
+        "vocabulary_sketches": f"""
+            WITH w AS (SELECT DISTINCT {NS} AS part, unnest({ASCII}) AS word FROM documents)
+            SELECT part, count(*) AS n_words, true AS within FROM w GROUP BY part
+            UNION ALL SELECT 'all', count(DISTINCT word), true FROM w""",
         "topic_all_titles": f"{ANY} SELECT title FROM pa",
         "stream_any_topics": f"{ANY} SELECT cluster, words, n_titles FROM ca",
         "stream_any_lookup": f"""

@@ -19,6 +19,7 @@ from pageloom.operators import (
     terms,
     tfidf,
     topics,
+    vocabulary,
 )
 from pageloom.operators.sparse_kmeans import sparse_kmeans
 from pageloom.plans.staging import scratch_path, stage
@@ -258,6 +259,15 @@ def corpus_stats(spark, sf):
     return terms.corpus_stats(fx.pages(spark, sf))
 
 
+@query
+def vocabulary_sketches(spark, sf):
+    """Per language, and over all by union, whether the sketch is near the exact number."""
+    pages = fx.as_pages(fx.table(spark, sf, "documents")).withColumn("part", F.col("ns"))
+    sketches = stage(vocabulary.sketches(pages, "part"), "sketches")
+    near = vocabulary.compared(sketches, vocabulary.exact(pages, "part"), "part")
+    return near.select("part", "n_words", "within")
+
+
 @query
 def ngram5_top(spark, sf):
     return ngrams.most_frequent(fx.pages(spark, sf), 5)
@@ -681,7 +691,7 @@ def _page_stream(spark, sf) -> DataFrame:
 @query
 def stream_tfidf(spark, sf):
     out = stream.run_now(spark, _page_stream(spark, sf), stream.tfidf_batches, "stream-tfidf")
-    return _rounded(spark.read.parquet(out).select("page_id", "word", "weight"))
+    return _rounded(stream.read_batches(spark, out, "weights").select("page_id", "word", "weight"))
 
 
 @query
@@ -695,7 +705,7 @@ def stream_tfidf_batches(spark, sf):
         arrived.write.mode("append").parquet(folder)
         pages = fx.as_pages(stream.parquet_stream(spark, documents.schema, folder, None))
         stream.start(pages, stream.tfidf_batches(out), checkpoint).awaitTermination()
-    return _rounded(spark.read.parquet(out).select("page_id", "word", "weight"))
+    return _rounded(stream.read_batches(spark, out, "weights").select("page_id", "word", "weight"))
 
 
 @query
@@ -707,7 +717,7 @@ def stream_any_topics(spark, sf):
         return stream.topic_batches(out, by_source, ANY_OVERLAP, below=None)
 
     out = stream.run_now(spark, _page_stream(spark, sf), work, "stream-any-topics")
-    return spark.read.parquet(f"{out}/catalog").drop("batch_id")
+    return stream.read_batches(spark, out, "catalog").drop("batch_id")
 
 
 @query
@@ -719,7 +729,7 @@ def stream_topics(spark, sf):
         return stream.topic_batches(out, by_source, MIN_OVERLAP)
 
     out = stream.run_now(spark, _page_stream(spark, sf), work, "stream-topics")
-    return spark.read.parquet(f"{out}/catalog").drop("batch_id")
+    return stream.read_batches(spark, out, "catalog").drop("batch_id")
 
 
 @query
@@ -740,10 +750,22 @@ def stream_any_lookup(spark, sf):
     return _looked_up(spark, _any_topics(spark, sf), arriving)
 
 
+def _stored(spark, model: topics.TopicModel) -> DataFrame:
+    path = scratch_path(spark, "search-table")
+    search.store(model.pairs(), path)
+    return search.stored(spark, path)
+
+
 def _looked_up(spark, model: topics.TopicModel, arriving: str) -> DataFrame:
-    table = stage(model.pairs(), "pairs")
     out = scratch_path(spark, "found")
     stream.lookup(
-        stream.line_stream(spark, arriving), table, out, scratch_path(spark, "found-checkpoint")
+        stream.line_stream(spark, arriving), _stored(spark, model), out,
+        scratch_path(spark, "found-checkpoint"),
     ).awaitTermination()
-    return spark.read.schema(table.schema).parquet(out)
+    return stream.read_batches(spark, out, "found", stream.FOUND).drop("batch_id")
+
+
+@query
+def topic_stored_search(spark, sf):
+    """One topic's titles from the stored table."""
+    return search.stored_titles(_stored(spark, _any_topics(spark, sf)), SEARCHED)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from pageloom.plans.numbering import numbered
-from pageloom.plans.staging import stage
 
 
 def word_numbers(vocabulary: DataFrame) -> DataFrame:
@@ -14,4 +13,4 @@ def word_numbers(vocabulary: DataFrame) -> DataFrame:
     Joins, groups and orders of words then work on eight bytes instead of strings, and
     a smaller number means an equally rare or rarer word.
     """
-    return stage(numbered(vocabulary.select("word", "df"), "df", "word", name="word_id"), "dictionary")
+    return numbered(vocabulary.select("word", "df"), "df", "word", name="word_id")

@@ -86,11 +86,10 @@ def build_vectors(pages: DataFrame, keep: Column | None = None) -> Vectors:
     n_all = pages.agg(F.count("*").alias("n")).scalar()
     kept = pages if keep is None else pages.where(keep)
     # the only pass over the text
-    counted = stage(counted_words(kept, ascii_words, "page_id").where("n_words > 0"), "counted")
-    signed = stage(
-        counted.select("page_id", "n_words", F.unhex(_signature("counts")).alias("signature")),
-        "signatures",
-    )
+    by_page = counted_words(kept, ascii_words, "page_id")
+    counted = stage(by_page.withColumn("signature", F.unhex(_signature("counts"))), "counted")
+    counted = counted.where("n_words > 0")  # not before: it would split the text again
+    signed = counted.select("page_id", "n_words", "signature")
     contents = stage(
         signed.groupBy("signature").agg(
             F.min("page_id").alias("rep"), F.count("*").alias("n_pages")

@@ -18,7 +18,7 @@ from pageloom.operators import (
     topics,
 )
 from pageloom.operators.sparse_kmeans import sparse_kmeans
-from pageloom.plans.staging import stage
+from pageloom.plans.staging import scratch_path, stage
 from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
 from pageloom.streaming import jobs as stream
@@ -172,8 +172,10 @@ def lookup_stream_job(
     checkpoint: str,
     interval: str | None = stream.LOOKUP_INTERVAL,
 ):
-    """Topics that arrive as lines -> their titles."""
-    table = ln.read_topic_table(spark, table_path)
+    """Topics that arrive as lines -> their titles, from a table stored for look-ups."""
+    path = scratch_path(spark, "search-table")
+    search.store(ln.read_topic_table(spark, table_path), path)
+    table = search.stored(spark, path)
     return stream.lookup(stream.line_stream(spark, lines_path), table, out, checkpoint, interval)
 
 

@@ -1,8 +1,8 @@
 """Micro-batch forms.
 
-Every batch is worked on by itself; nothing is carried from one to the next.
-A batch writes to a folder named after its id, and a batch that is run again
-after a failure overwrites that folder, so restarts add nothing twice.
+Every batch is worked on by itself; nothing is carried from one to the next.  Results
+are written by way of :class:`~pageloom.streaming.batches.BatchLog`, so readers see whole
+batches only, and restarts add nothing twice.
 """
 
 from __future__ import annotations
@@ -10,18 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pageloom.functions.text import ws_words
-from pageloom.operators import tfidf, topics
+from pageloom.operators import search, tfidf, topics
 from pageloom.plans.staging import scratch_path, stage, unstage
-from pyspark.sql import functions as F
+from pageloom.streaming.batches import BatchLog
 
 #: Seconds between batches of the topic job and of the lookup.
 TOPIC_INTERVAL = "15 seconds"
 LOOKUP_INTERVAL = "3 seconds"
 
+#: Rows that a lookup finds.
+FOUND = StructType([StructField("topic", StringType()), StructField("title", StringType())])
+
 Assign = Callable[[DataFrame], DataFrame]
 
 
@@ -57,17 +61,15 @@ def start(
     return writer.trigger(processingTime=interval).start()
 
 
-def _batch_folder(out: str, batch_id: int) -> str:
-    return f"{out}/batch_id={batch_id}"
-
-
 def tfidf_batches(out: str) -> Callable[[DataFrame, int], None]:
-    """Smoothed TF-IDF of each batch, by that batch's own counts."""
+    """Smoothed TF-IDF of each batch, by that batch's own counts: table ``weights``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
+        log = BatchLog(batch.sparkSession, out)
+        if log.committed(batch_id):
+            return
         held = stage(batch.select("page_id", "text"), "batch")
-        weights = tfidf.smoothed(tfidf.count_corpus(held, ws_words))
-        weights.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        log.commit(batch_id, weights=tfidf.smoothed(tfidf.count_corpus(held, ws_words)))
         unstage(held)
 
     return work
@@ -80,13 +82,16 @@ def topic_batches(
     show: bool = False,
     below: int | None = topics.SIZE_BELOW,
 ) -> Callable[[DataFrame, int], None]:
-    """The topic job on each batch: its catalogue, and its search table.
+    """The topic job on each batch: tables ``catalog`` and ``pairs``, which appear together.
 
     The batch is read once.  Without ``below`` topics may be of any size, and the
     catalogue counts their titles instead of listing them.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
+        log = BatchLog(batch.sparkSession, out)
+        if log.committed(batch_id):
+            return
         held = stage(batch, "batch")
         counts = tfidf.count_corpus(held, ws_words)
         model = topics.build_topics(
@@ -98,8 +103,7 @@ def topic_batches(
             below=below,
         )
         found = model.catalog() if below else model.counted()
-        found.write.mode("overwrite").parquet(_batch_folder(f"{out}/catalog", batch_id))
-        model.pairs().write.mode("overwrite").parquet(_batch_folder(f"{out}/pairs", batch_id))
+        log.commit(batch_id, catalog=found, pairs=model.pairs())
         if show:
             found.orderBy("cluster").show(10, truncate=80)
         unstage(held)
@@ -108,20 +112,35 @@ def topic_batches(
 
 
 def lookup(
-    lines: DataFrame, table: DataFrame, out: str, checkpoint: str, interval: str | None = None
+    lines: DataFrame,
+    table: DataFrame,
+    out: str,
+    checkpoint: str,
+    interval: str | None = None,
+    buckets: int = search.BUCKETS,
 ) -> StreamingQuery:
-    """Titles for every topic word that arrives as a line."""
-    asked = lines.select(F.trim("value").alias("topic"))
-    found = asked.join(table, "topic").select("topic", "title")
-    writer = (
-        found.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    """Titles for every topic word that arrives as a line: table ``found``.
+
+    ``table`` was written by :func:`pageloom.operators.search.store`; a batch reads the
+    folders of the topics asked for in it.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        log = BatchLog(batch.sparkSession, out)
+        if log.committed(batch_id):
+            return
+        asked = stage(batch.select(F.trim("value").alias("topic")), "asked")
+        log.commit(batch_id, found=search.stored_matches(asked, table, buckets))
+        unstage(asked)
+
+    return start(lines, work, checkpoint, interval)
+
+
+def read_batches(
+    spark: SparkSession, out: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """The committed rows of one table of a stream's output, with ``batch_id``."""
+    return BatchLog(spark, out).read(name, schema)
 
 
 def run_now(

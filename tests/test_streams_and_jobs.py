@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import ws_words
-from pageloom.operators import tfidf
+from pageloom.operators import search, tfidf, vocabulary
 from pageloom.plans import jobs
 from pageloom.plans.staging import scratch_path, stage
 from pageloom.streaming import jobs as stream
+from pageloom.streaming.batches import BatchLog
 
 SCHEMA = "page_id long, title string, text string"
 BATCHES = [
@@ -37,7 +39,7 @@ def test_batches_are_independent_and_restarts_add_nothing(spark):
             spark, spark.read.parquet(folder).schema, folder, files_per_batch=1
         )
         stream.start(arriving, stream.tfidf_batches(out), checkpoint).awaitTermination()
-        return spark.read.parquet(out)
+        return stream.read_batches(spark, out, "weights")
 
     got = run()
     found = {(r["page_id"], r["word"], round(r["weight"], 9)) for r in got.collect()}
@@ -56,17 +58,97 @@ def test_a_batch_by_interval(spark):
     query = stream.start(arriving, work, scratch_path(spark, "checkpoint"), "1 second")
     query.processAllAvailable()
     query.stop()
-    assert spark.read.parquet(f"{out}/catalog").select("batch_id", "words").collect() == [(0, "sky,sea,sun")]
+    assert stream.read_batches(spark, out, "catalog").select("batch_id", "words").collect() == [(0, "sky,sea,sun")]
 
 
 def test_lookup_joins_arriving_topics(spark, rows):
-    table = stage(spark.createDataFrame([("sun", "A"), ("sun", "B"), ("sea", "A")], "topic string, title string"), "t")
+    pairs = spark.createDataFrame([("sun", "A"), ("sun", "B"), ("sea", "A")], "topic string, title string")
+    path = scratch_path(spark, "table")
+    search.store(pairs, path)
+    table = search.stored(spark, path)
     asked, out = scratch_path(spark, "asked"), scratch_path(spark, "found")
     spark.createDataFrame([("sun",), ("none",)], "value string").write.text(asked)
     stream.lookup(
         stream.line_stream(spark, asked), table, out, scratch_path(spark, "c")
     ).awaitTermination()
-    assert rows(spark.read.schema(table.schema).parquet(out)) == {("sun", "A"), ("sun", "B")}
+    assert rows(stream.read_batches(spark, out, "found"), "topic", "title") == {("sun", "A"), ("sun", "B")}
+
+
+def big_table(spark, buckets=16):
+    pairs = spark.range(40_000).select(
+        F.concat(F.lit("w"), F.col("id") % 400).alias("topic"), F.concat(F.lit("T"), "id").alias("title")
+    )
+    hot = spark.range(20_000).select(F.lit("hot").alias("topic"), F.concat(F.lit("H"), "id").alias("title"))
+    path = scratch_path(spark, "table")
+    search.store(pairs.unionByName(hot), path, buckets, files=8)
+    return search.stored(spark, path)
+
+
+def scanned(df):
+    """Rows and files that the scans of a plan that was run have read."""
+    todo, rows, files = [df._jdf.queryExecution().executedPlan()], 0, 0
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.getClass().getSimpleName():
+            node = node.executedPlan()
+        if "QueryStage" in node.getClass().getSimpleName():
+            node = node.plan()
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            rows += node.metrics().apply("numOutputRows").value()
+            files += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, files
+
+
+def test_a_search_reads_little(spark):
+    table = big_table(spark)
+    all_files = len(table.inputFiles())
+    for topic, n in (("w7", 100), ("hot", 20_000), ("none", 0)):
+        found = search.stored_titles(table, topic, 16)
+        assert len(found.collect()) == n
+        read, files = scanned(found)
+        assert n <= read <= n + 20_000 and files < all_files / 2
+    found = search.stored_titles(table, "w7", 16)
+    found.collect()
+    assert scanned(found)[0] < 6_000  # of 60,000
+
+
+def test_a_lookup_reads_the_asked_buckets(spark, rows):
+    table = big_table(spark)
+    asked = stage(spark.createDataFrame([("w7",), ("w7",), ("none",), (None,)], "topic string"), "asked")
+    found = search.stored_matches(asked, table, 16)
+    assert len(found.collect()) == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    numbers = asked.select(search.bucket_of(F.col("topic"), 16).alias("b")).where("topic IS NOT NULL").distinct()
+    assert "PartitionFilters" in plan and numbers.count() <= 2
+    read = table.where(F.col("bucket").isin([r["b"] for r in numbers.collect()]))
+    assert scanned(found)[0] <= read.count() + 8
+    none = search.stored_matches(asked.limit(0), table, 16)
+    assert none.collect() == []
+
+
+def test_a_failed_batch_shows_nothing(spark, rows):
+    out = scratch_path(spark, "out")
+    log = BatchLog(spark, out)
+    good = spark.createDataFrame([(1,)], "x int")
+    bad = good.select(F.raise_error(F.lit("half way")).cast("int").alias("x"))
+    assert log.read("a", good.schema).collect() == []
+    with pytest.raises(Exception, match="half way"):
+        log.commit(0, a=good, b=bad)
+    assert log.folders("a") == [] and not log.committed(0)
+    assert log.commit(0, a=good, b=good) and not log.commit(0, a=good, b=good)
+    assert log.commit(10, a=good.union(good))
+    assert rows(log.read("a")) == {(1, 0), (1, 10)} and log.read("a").count() == 3
+    assert log.read("b", good.schema).collect() == [(1, 0)]
+
+
+def test_sketches_of_parts_add_up(spark):
+    texts = [("a", " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(k, k + 4000)))
+             for k in range(0, 16_000, 2000)] + [("b", "one two"), ("b", None), ("c", "")]
+    pages = spark.createDataFrame(texts, "part string, text string")
+    found = vocabulary.compared(vocabulary.sketches(pages, "part"), vocabulary.exact(pages, "part"), "part")
+    got = {r["part"]: (r["n_words"], r["within"]) for r in found.collect()}
+    assert got == {"a": (18_000, True), "b": (2, True), "all": (18_000, True)}
 
 
 def wiki_lines(spark):
@@ -107,7 +189,7 @@ def test_topic_jobs(spark):
         spark, folder, out, 2, scratch_path(spark, "ck"), k=2, interval=None
     )
     query.awaitTermination()
-    assert spark.read.parquet(f"{out}/catalog").count() == 2
+    assert stream.read_batches(spark, out, "catalog").count() == 2
     weights = jobs.weights_job(spark, folder, scratch_path(spark, "w"))
     assert weights.count() == 16
     top = jobs.matrix_job(spark, folder, scratch_path(spark, "m"), k=2)
