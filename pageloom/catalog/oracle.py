@@ -398,6 +398,7 @@ def all_sql() -> dict[str, str]:
             FROM documents LEFT JOIN ra ON ra.page_id = doc_id GROUP BY ALL""",
         "page_copies": f"WITH {COPIES} SELECT page_id, rep FROM co",
         "pair_euclid": f"{_found('euclid', THRESHOLD)} SELECT page_a, page_b, dist FROM fo",
+        "pair_cover": f"{_found('euclid', THRESHOLD)} SELECT page_a, page_b FROM fo",
         "pair_euclid_wide": f"""
             {_found('euclid', WIDE_THRESHOLD)} SELECT page_a, page_b, dist FROM fo""",
         "pair_symdiff": f"{_found('symdiff', THRESHOLD)} SELECT page_a, page_b, dist FROM fo",
@@ -408,6 +409,13 @@ def all_sql() -> dict[str, str]:
             SELECT rep, n_pages, round(nn, 12) AS norm_sq FROM li a
             WHERE EXISTS (SELECT 1 FROM li b WHERE b.rep <> a.rep
                           AND a.nn + b.nn <= pow({WIDE_THRESHOLD} + 5e-7, 2))""",
+        "light_pages_narrow": f"""
+            {ratio}, {NORMS}, {COPIES.replace('pw AS', 'pw2 AS').replace('FROM pw', 'FROM pw2')},
+            li AS (SELECT rep, count(*) AS n_pages, any_value(nn) AS nn FROM co
+                   JOIN nr ON nr.page_id = co.rep GROUP BY rep)
+            SELECT rep, n_pages, round(nn, 12) AS norm_sq FROM li a
+            WHERE EXISTS (SELECT 1 FROM li b WHERE b.rep <> a.rep
+                          AND a.nn + b.nn <= pow({THRESHOLD} + 5e-7, 2))""",
         "similar_pages": f"""
             {_found('euclid', THRESHOLD)},
             co AS (SELECT page_id, min(page_id) OVER (PARTITION BY list_sort(w)) AS rep
@@ -416,6 +424,7 @@ def all_sql() -> dict[str, str]:
                    UNION ALL SELECT page_b, page_a, dist FROM fo)
             SELECT page_id, similar_id, dist FROM bo JOIN co USING (rep)""",
         "cc_labels": f"{labels} SELECT page_id, component FROM lb",
+        "cc_labels_cover": f"{labels} SELECT page_id, component FROM lb",
         "cc_labels_wide": f"{_labels(WIDE_THRESHOLD)} SELECT page_id, component FROM lb",
         "cc_count": f"""
             {labels} SELECT count(*) AS n_components, sum(n_pages)::BIGINT AS n_pages FROM sz""",

@@ -11,6 +11,7 @@ from pageloom.catalog import fixtures as fx
 from pageloom.functions import text as tx
 from pageloom.operators import (
     clustering,
+    cover,
     ngrams,
     page_graph,
     pagerank,
@@ -397,6 +398,13 @@ def pair_euclid_wide(spark, sf):
     return similarity.found_pairs(_vectors(spark, sf), WIDE_THRESHOLD)
 
 
+@query
+def pair_cover(spark, sf):
+    """The pairs of ``pair_euclid``, unfolded from leaders, members and listed pairs."""
+    vectors = _vectors(spark, sf)
+    return cover.unfolded(vectors, cover.cover(vectors, THRESHOLD))
+
+
 @query
 def pair_symdiff(spark, sf):
     return similarity.found_pairs(_vectors(spark, sf), THRESHOLD, "symdiff")
@@ -407,6 +415,12 @@ def light_pages(spark, sf):
     return _rounded(similarity.light_pages(_vectors(spark, sf), WIDE_THRESHOLD), "norm_sq", 12)
 
 
+@query
+def light_pages_narrow(spark, sf):
+    """The light contents at the threshold of the pair queries."""
+    return _rounded(similarity.light_pages(_vectors(spark, sf), THRESHOLD), "norm_sq", 12)
+
+
 @query
 def similar_pages(spark, sf):
     vectors = _vectors(spark, sf)
@@ -427,6 +441,12 @@ def cc_labels_wide(spark, sf):
     return _labels(spark, sf, WIDE_THRESHOLD)
 
 
+@query
+def cc_labels_cover(spark, sf):
+    """The labels of ``cc_labels``, with leaders for groups of near copies."""
+    return page_graph.page_components(_vectors(spark, sf), THRESHOLD, by_leaders=True)
+
+
 @query
 def cc_count(spark, sf):
     return page_graph.component_count(_labels(spark, sf))

@@ -55,7 +55,8 @@ def component_job(
     """Wiki pages -> components of similar pages with sizes and titles."""
     pages = wiki_pages(spark, path)
     vectors = similarity.build_vectors(pages, keep=_is_article())
-    labels = stage(page_graph.page_components(vectors, threshold, metric), "labels")
+    by_leaders = metric == "euclid"
+    labels = stage(page_graph.page_components(vectors, threshold, metric, by_leaders), "labels")
     members = page_graph.component_members(labels)
     report = members.join(pages.select("page_id", "title"), "page_id")
     report.write.parquet(out)
@@ -77,7 +78,7 @@ def pagerank_job(
     """
     pages = wiki_pages(spark, path)
     vectors = similarity.build_vectors(pages, keep=_is_article())
-    labels = page_graph.page_components(vectors, threshold)
+    labels = page_graph.page_components(vectors, threshold, by_leaders=True)
     chosen = page_graph.shortest_pages(labels, vectors.lengths).select(
         F.col("page_id").cast("string").alias("page")
     )

@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from pageloom.operators import page_graph, similarity
+from pageloom.operators import cover, page_graph, similarity
 from pageloom.operators.components import components
 
 WORDS = [f"{a}{b}" for a in "bcdfgh" for b in "aeiou"]
@@ -182,3 +182,34 @@ def test_component_reports(spark, rows):
     assert rows(page_graph.component_count(labels)) == {(2, 5)}
     assert rows(page_graph.component_sizes(labels)) == {(1, 2), (5, 3)}
     assert (2, 5, 3, 7) in rows(page_graph.component_members(labels))
+
+
+@pytest.mark.parametrize("threshold,radius", [(0.3, 0.125), (0.9, 0.5), (0.2, 0.4)])
+def test_a_cover_unfolds_to_all_found_pairs(spark, rows, threshold, radius):
+    rnd = random.Random(11)
+    texts = corpus(9)
+    for base in (texts[6], texts[9], " ".join(rnd.choices(WORDS, k=80))):
+        for _ in range(12):
+            words = base.split()
+            words[rnd.randrange(len(words))] = rnd.choice(WORDS)
+            texts.append(" ".join(words))
+    vectors = similarity.build_vectors(as_pages(spark, texts))
+    found = cover.cover(vectors, threshold, radius)
+    expected = rows(similarity.found_pairs(vectors, threshold), "page_a", "page_b")
+    got = [tuple(r) for r in cover.unfolded(vectors, found).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert closure([tuple(r) for r in cover.links(found).collect()]) == closure(expected) or not expected
+    assert all(r["dist"] <= radius * threshold for r in found.members.collect())
+
+
+def test_a_large_group_of_near_copies_takes_one_row_each(spark):
+    """2,000 contents that differ in one rare word each, and some others."""
+    rnd = random.Random(4)
+    pages = [{**{f"w{j:02}": 0.5 for j in range(12)}, f"x{i}": 0.02} for i in range(2000)]
+    pages += [{f"w{rnd.randrange(12):02}": 0.5, f"y{i % 7}": rnd.uniform(1, 2)} for i in range(40)]
+    vectors = vectors_of(spark, *pages)
+    found = cover.cover(vectors, 0.4)
+    assert found.members.count() >= 1999
+    assert found.leaders.count() + found.listed.count() < 1000
+    links = cover.links(found).collect()
+    assert {root for v, root in closure([tuple(r) for r in links]) if v < 2000} == {0}
