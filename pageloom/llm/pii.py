@@ -2,9 +2,17 @@
 
 Everything is built from Spark's own functions.
 
-**Entities.**  E-mail and IPv4 addresses, telephone, card and social-security numbers,
-and names after a form of address (which gives the gender).  A name is taken word by
-word, so that ``Mr. John Smith`` and ``Mr. Smith`` share the family name.
+**Entities.**  E-mail and IP addresses, telephone, card, bank account and social-security
+numbers, and names after a form of address (which gives the gender) or title.  A name is
+taken word by word, parts of words joined by hyphens or apostrophes too, so that ``Mr.
+John Smith``, ``Mrs. Smith-Jones`` and ``Dr. Smith`` share the family name; particles (``de
+la``, ``von``) and single letters stay.
+
+*Addresses*: e-mail with letters of any script; version 4; version 6 with eight groups or
+shortened, of which all spellings are one entity.  *Account numbers* (IBAN) need right
+check digits and get right ones.  *Social-security numbers* are grouped by hyphens, or
+follow ``SSN``.  Not found: names without a form of address before them, postal addresses,
+dates of birth, and numbers that nothing marks as one of the above.
 
 *Telephone numbers* are international ones (``+``, 7 to 15 digits, grouped freely or not
 at all), North American ones without ``+1`` (which are the same entity as with it), and
@@ -42,7 +50,28 @@ from pageloom.plans.staging import stage
 MALE = "Mr|Herr|Monsieur|Señor|Sir|Господин|Κύριος"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mademoiselle|Señora|Señorita|Госпожа|Κυρία"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+NEUTRAL = "Dr|Prof|Professor|Доктор"
+# Lower-case words inside names, which stay.
+PARTICLES = "de|del|della|di|da|dos|das|du|van|von|vom|der|den|la|le|el|al|bin|ibn|ter|ten|zu|zum|zur|af|av"
+
+EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[\p{L}0-9-]++(?:\.[\p{L}0-9-]++)+"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Version 6: all eight groups, or a shortened one that begins as such addresses do.
+IP6 = (
+    rf"(?<![0-9A-Za-z:.])(?:(?:{_HEX}:){{7}}{_HEX}"
+    r"|(?:[23][0-9A-Fa-f]{3}|[Ff][CcDd][0-9A-Fa-f]{2}|[Ff][Ee][89ABab][0-9A-Fa-f])"
+    rf"(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![0-9A-Za-z:])"
+)
+# Countries that use international bank account numbers.
+IBAN_COUNTRY = (
+    "AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|BY|CH|CR|CY|CZ|DE|DK|DO|EE|EG|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|"
+    "IE|IL|IQ|IS|IT|JO|KW|KZ|LB|LC|LI|LT|LU|LV|LY|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|"
+    "SA|SC|SE|SI|SK|SM|ST|SV|TL|TN|TR|UA|VA|VG|XK"
+)
+IBAN = (
+    rf"(?<![0-9A-Za-z])(?:{IBAN_COUNTRY})[0-9]{{2}}(?:(?: [0-9A-Z]{{4}}){{2,7}}(?: [0-9A-Z]{{1,3}})?"
+    r"|[0-9A-Z]{11,30})(?![0-9A-Za-z])"
+)
 IP = (
     r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}"
     r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
@@ -77,11 +106,20 @@ CARD = (
     r"|[0-9]{5}[ -][0-9]{4,5})(?![0-9]|[.-][0-9]))"
 )
 FOURS = r"^[0-9]{4}(?:[ -]?[0-9]{4}){3}(?:[ -]|$)"
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
+SSN = (
+    r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+    r"|(?:(?<=SSN )|(?<=SSN: )|(?<=SSN:))[0-9]{3} ?[0-9]{2} ?[0-9]{4}(?![0-9-])"
+)
+SSN_FORM = r"[0-9]{3}([ -]?)[0-9]{2}\1[0-9]{4}"
+_TITLES = rf"(?:(?:{MALE}|{FEMALE}|{NEUTRAL})\.? )+"
+_WORD = r"\p{Lu}(?:\p{L}+(?:['\u2019-]\p{L}+)*|(?:['\u2019-]\p{L}+)+)"
+_NAMED = rf"(?:(?:{PARTICLES}) )*{_WORD}"
+NAME = rf"(?<!\p{{L}}){_TITLES}{_NAMED}(?: (?:\p{{Lu}}\. )?{_NAMED}){{0,2}}"
+#: What of a name is replaced: runs of two letters or more that are no particles.
+TOKEN = rf"(?<!\p{{L}})(?!(?:{PARTICLES})(?![\p{{L}}'\u2019-]))\p{{L}}{{2,}}"
 #: What every entity holds; most texts hold none of it and are not searched further.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{MALE}|{FEMALE})"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IP, PHONE, CARD, NATIONAL, SSN, NAME))
+HINT = rf"[0-9@]|(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})"
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, IP6, IBAN, IP, PHONE, SSN, CARD, NATIONAL, NAME))
 
 #: From this attempt on, surrogates get longer.
 LONGER = 8
@@ -118,7 +156,9 @@ def kind_of(value: Column) -> Column:
         .when(whole(NAME), "name")
         .when(value.startswith("+"), "phone")
         .when(whole(IP), "ip")
-        .when(whole(SSN), "ssn")
+        .when(whole(IP6), "ip6")
+        .when(value.rlike("^[A-Z]"), "iban")
+        .when(whole(SSN_FORM), "ssn")
         .when(F.length(_digits(value)) < 13, "phone")
         .otherwise("card")
     )
@@ -160,9 +200,39 @@ def script_of(word: Column) -> Column:
     )
 
 
+def _name_rest(value: Column) -> Column:
+    """A name without the forms of address before it."""
+    return F.regexp_replace(value, f"^{_TITLES}", "")
+
+
 def name_words(value: Column) -> Column:
-    """The words after the form of address."""
-    return F.slice(F.split(value, " "), 2, 2)
+    """The words of a name that hold something to replace."""
+    return F.filter(F.split(_name_rest(value), " "), lambda w: w.rlike(TOKEN))
+
+
+def groups_of_ip6(value: Column) -> Column:
+    """An address of version 6 as eight groups of four digits."""
+    parts = lambda x: F.array_remove(F.split(x, ":"), "")
+    left = parts(F.substring_index(value, "::", 1))
+    right = F.when(value.contains("::"), parts(F.substring_index(value, "::", -1)))
+    right = F.coalesce(right, F.array().cast("array<string>"))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+
+
+def mod97(chars: Column) -> Column:
+    """The remainder of a number whose letters stand for 10 to 35."""
+    value = lambda c: F.conv(c, 36, 10).cast("int")
+    step = lambda s, c: (s * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97
+    return F.aggregate(_chars(chars), F.lit(0), step)
+
+
+def iban_canon(value: Column) -> Column:
+    """The account number without spaces, null if its check digits are wrong."""
+    packed = F.replace(value, F.lit(" "), F.lit(""))
+    turned = F.concat(F.substr(packed, F.lit(5), F.lit(40)), F.substr(packed, F.lit(1), F.lit(4)))
+    fits = F.length(packed).between(15, 34)
+    return F.when(fits & (mod97(turned) == 1), packed)
 
 
 def entities(value: Column) -> Column:
@@ -172,21 +242,27 @@ def entities(value: Column) -> Column:
 
 def _parts(value: Column, kind: Column) -> Column:
     words = name_words(value)
-    gender = F.when(value.rlike(rf"^(?:{MALE})\b"), "male").otherwise("female")
-    names = F.transform(
-        words,
-        lambda w, i: F.struct(
-            F.concat(
-                F.when(i == F.size(words) - 1, "family").otherwise(F.concat(F.lit("given_"), gender)),
-                F.lit("_"),
-                script_of(w),
-            ).alias("kind"),
-            F.lower(w).alias("canon"),
-        ),
+    gender = F.when(value.rlike(rf"^(?:{MALE})\b"), "male").when(value.rlike(rf"^(?:{FEMALE})\b"), "female")
+    given = F.concat(F.lit("given_"), F.coalesce(gender, F.lit("any")))
+    names = F.flatten(
+        F.transform(
+            words,
+            lambda w, i: F.transform(
+                F.regexp_extract_all(w, F.lit(TOKEN), F.lit(0)),
+                lambda t: F.struct(
+                    F.concat(
+                        F.when(i == F.size(words) - 1, "family").otherwise(given), F.lit("_"), script_of(t)
+                    ).alias("kind"),
+                    F.lower(t).alias("canon"),
+                ),
+            ),
+        )
     )
     canon = (
         F.when(kind.isin("email"), F.lower(value))
         .when(kind == "ip", value)
+        .when(kind == "ip6", F.lower(groups_of_ip6(value)))
+        .when(kind == "iban", iban_canon(value))
         # a telephone number keeps its country code, so that is part of its type
         .when(kind == "phone", phone_canon(value))
         .when(kind == "card", card_digits(value))
@@ -198,7 +274,9 @@ def _parts(value: Column, kind: Column) -> Column:
 
 def is_entity(value: Column) -> Column:
     """Whether a match is an entity; a long number without a right check digit is none."""
-    return ~value.rlike(f"^(?:{CARD})$") | card_digits(value).isNotNull()
+    kind = kind_of(value)
+    checked = F.when(kind == "card", card_digits(value)).when(kind == "iban", iban_canon(value))
+    return ~kind.isin("card", "iban") | checked.isNotNull()
 
 
 def matches(text: Column) -> Column:
@@ -218,19 +296,24 @@ def _chars(value: Column) -> Column:
 
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
+_GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
 
 
 def _like(value: Column, h: Column) -> Column:
-    """Digits for digits, letters for letters, everything else as it is."""
-    return F.array_join(
-        F.transform(
-            _chars(value),
-            lambda c, i: F.when(c.rlike("[0-9]"), F.pmod(_byte(h, i), F.lit(10)).cast("string"))
-            .when(c.rlike("[a-z]"), F.substr(F.lit(_LETTERS), F.pmod(_byte(h, i), F.lit(26)) + 1, F.lit(1)))
-            .otherwise(c),
-        ),
-        "",
-    )
+    """Digits for digits, letters for letters of the script, everything else as it is."""
+
+    def one(c: Column, i: Column) -> Column:
+        letter = lambda a: F.substr(F.lit(a), F.pmod(_byte(h, i), F.lit(len(a))) + 1, F.lit(1))
+        return (
+            F.when(c.rlike("[0-9]"), F.pmod(_byte(h, i), F.lit(10)).cast("string"))
+            .when(c.rlike(r"\p{IsCyrillic}"), letter(_CYRILLIC))
+            .when(c.rlike(r"\p{IsGreek}"), letter(_GREEK))
+            .when(c.rlike(r"[\p{L}\p{M}]"), letter(_LETTERS))
+            .otherwise(c)
+        )
+
+    return F.array_join(F.transform(_chars(value), one), "")
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -268,6 +351,14 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
     last = F.when(luhn_sum(canon) % 10 == 0, check).otherwise(F.pmod(check + 1 + _byte(h, 63) % 9, F.lit(10)))
     card = F.concat(body, last.cast("string"))
+    hexes = F.transform(F.sequence(F.lit(4), F.lit(31)), lambda i: F.substr(h, i + 1, F.lit(1)))
+    ip6 = F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.array_join(hexes, ""))
+    ip6 = F.regexp_replace(ip6, "(.{4})(?=.)", "$1:")
+    country = F.substr(canon, F.lit(1), F.lit(2))
+    account = F.upper(_like(F.lower(F.substr(canon, F.lit(5), F.lit(40))), h))
+    iban = F.concat(
+        country, F.lpad((98 - mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account
+    )
     made = None
     for script, syllables in SYLLABLES.items():
         n = F.lit(3) + F.when(attempt >= LONGER, attempt - LONGER + 1).otherwise(0)
@@ -280,6 +371,8 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
+        .when(kind == "ip6", ip6)
+        .when(kind == "iban", iban)
         .when(kind == "phone", phone)
         .when(kind == "card", card)
         .when(kind == "ssn", _like(canon, h))
@@ -287,15 +380,15 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     )
 
 
-def _fill(pattern: Column, digits: Column) -> Column:
+def _fill(pattern: Column, digits: Column, place: str = "[0-9]") -> Column:
     """The digits written into the places of the pattern's digits."""
     return F.aggregate(
         _chars(pattern),
         F.struct(F.lit(1).alias("i"), F.lit("").alias("out")),
         lambda s, c: F.struct(
-            (s["i"] + c.rlike("[0-9]").cast("int")).alias("i"),
+            (s["i"] + c.rlike(place).cast("int")).alias("i"),
             F.concat(
-                s["out"], F.when(c.rlike("[0-9]"), F.substr(digits, s["i"], F.lit(1))).otherwise(c)
+                s["out"], F.when(c.rlike(place), F.substr(digits, s["i"], F.lit(1))).otherwise(c)
             ).alias("out"),
         ),
         lambda s: s["out"],
@@ -317,23 +410,30 @@ def written(value: Column, found: Column) -> Column:
 def _written(value: Column, kind: Column, found: Column) -> Column:
     first = F.get(found, 0)
     upper = (value == F.upper(value)) & value.rlike("[A-Z]")
-    names = F.concat_ws(
-        " ",
-        F.substring_index(value, " ", 1),
-        F.array_join(F.zip_with(name_words(value), found, lambda w, s: _cased(s, w)), " "),
+    rest = _name_rest(value)
+    new = F.zip_with(
+        F.regexp_extract_all(rest, F.lit(TOKEN), F.lit(0)), found, lambda w, s: _cased(F.coalesce(s, w), w)
+    )
+    between = F.split(rest, TOKEN, -1)
+    names = F.concat(
+        F.regexp_extract(value, f"^{_TITLES}", 0),
+        F.array_join(F.zip_with(between, F.concat(new, F.array(F.lit(""))), lambda b, n: F.concat(b, n)), ""),
     )
+    short = F.array_join(F.transform(F.split(first, ":"), lambda g: F.regexp_replace(g, "^0{1,3}", "")), ":")
     plain, number = _dialled(value), F.substring_index(first, ":", -1)
     # without its country code a number has the last digits only
     last = F.substr(number, F.length(number) - F.length(_digits(plain)) + 1, F.length(number))
     # digits after a card number stay
-    rest = F.substr(_digits(value), F.length(first) + 1, F.length(value))
+    after = F.substr(_digits(value), F.length(first) + 1, F.length(value))
     return (
         F.when(first.isNull(), value)
         .when(kind == "email", F.when(upper, F.upper(first)).otherwise(first))
         .when(kind == "ip", first)
+        .when(kind == "ip6", F.when(value.rlike("[A-F]"), F.upper(short)).otherwise(short))
+        .when(kind == "iban", _fill(value, first, "[0-9A-Z]"))
         .when(kind == "phone", F.replace(_fill(plain, last), F.lit("\x1f"), F.lit("(0)")))
         .when(kind == "name", names)
-        .when(kind == "card", _fill(value, F.concat(first, rest)))
+        .when(kind == "card", _fill(value, F.concat(first, after)))
         .otherwise(_fill(value, first))
     )
 
@@ -380,10 +480,11 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
     """``docs`` with a struct column ``out``: ``text`` and ``n_entities``."""
     body = F.col(text)
     parts = F.flatten(F.transform(matches(body), entities))
-    spread = docs.select(
-        F.md5(body.cast("binary")).alias("digest"), F.explode(parts).alias("e")
-    ).select("digest", "e.kind", "e.canon")
-    spread = stage(spread, "entities")
+    # the digest before the rows, so that no row carries the text; outer, as a plain
+    # explode adds a filter for which the text would be searched twice
+    found_in = docs.select(F.md5(body.cast("binary")).alias("digest"), parts.alias("parts"))
+    spread = found_in.select("digest", F.explode_outer("parts").alias("e")).where("e IS NOT NULL")
+    spread = stage(spread.select("digest", "e.kind", "e.canon"), "entities")
     table = surrogates(stage(spread.select("kind", "canon").distinct(), "distinct"), key)
     late = table.where("attempt > 0").select("kind", "canon", "surrogate")
     of_text = stage(

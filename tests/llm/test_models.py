@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -462,6 +464,102 @@ def test_numbers_in_all_forms(spark):
     assert last["n_entities"] == 1 and last["text"].endswith(" 123 is it") and last["text"][:19] != card[:19]
 
 
+WHOLE = {
+    "Met Mrs. Smith-Jones and Mr. O'Brien.": ["Smith", "Jones", "Brien"],
+    "Met Mr. de la Cruz, Herr von der Leyen today.": ["Cruz", "Leyen"],
+    "Ask Dr. Anna Weber or Prof. Dr. Meier-Vogt.": ["Anna", "Weber", "Meier", "Vogt"],
+    "So said Mr. John F. Kennedy\u2019s aide.": ["John", "Kennedy"],
+    "Host 2001:db8::ff00:42:8329 is 2001:0DB8:0:0:0:ff00:42:8329.": ["8329", "ff00"],
+    "Pay DE89 3704 0044 0532 0130 00 or GB29NWBK60161331926819.": ["3704", "NWBK"],
+    "SSN 123 45 6780, SSN: 987654321.": ["123 45", "987654321"],
+    "To jane@exämple.de and иван@пример.рф now": ["jane", "exämple", "иван", "пример"],
+}
+LEFT = ["std::vector a::b", "Pay DE89 3704 0044 0532 0130 01 now", "123 45 6789 items", "Mr. and Mrs. x", "12:30:45"]
+
+
+def test_whole_entities_are_replaced(spark):
+    texts = [*WHOLE, *LEFT]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {texts[r["doc_id"]]: r["r"] for r in pii.replace(df, "r", key="k").collect()}
+    for text, gone in WHOLE.items():
+        assert not [g for g in gone if g.lower() in got[text]["text"].lower()], got[text]["text"]
+    assert [got[t]["n_entities"] for t in WHOLE] == [2, 2, 2, 1, 2, 2, 2, 2]
+    for text in LEFT:
+        assert tuple(got[text]) == (text, 0)
+    names = got["Met Mr. de la Cruz, Herr von der Leyen today."]["text"]
+    assert re.fullmatch(r"Met Mr\. de la \w+, Herr von der \w+ today\.", names)
+    assert re.match(r"Met Mrs\. \w+-\w+ and Mr\. O'\w+\.", got[[*WHOLE][0]]["text"])
+    a, b = re.search(r"Host (\S+) is (\S+)\.$", got[[*WHOLE][4]]["text"]).groups()
+    assert a == b.lower() and len(a.split(":")) == 8 and a.startswith("2001:")
+    for iban in re.findall(r"(DE[\d ]{20,}|GB\w+)", got[[*WHOLE][5]]["text"]):
+        packed = iban.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1
+
+
+def test_a_text_with_very_many_entities(spark):
+    """Every entity is a row, but no row carries the text."""
+    n = 20_000
+    text = " ".join(f"user{i}@mail{i % 50}.org 10.{i // 250 % 250}.{i % 250}.7" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.perf_counter()
+    got = pii.replace(df, "r", key="k").collect()[0]["r"]
+    assert got["n_entities"] == 2 * n and time.perf_counter() - started < 120
+    mails = re.findall(r"[a-z]+\d+@[a-z]+\d+\.org", got["text"])
+    assert len(mails) == n and len(set(mails)) == n
+
+
+def plain_surrogate(kind, canon, attempt, key):
+    """What the mapping should give for digits, letters and names."""
+    h = hashlib.sha512("\x1f".join([key, kind, canon, str(attempt)]).encode()).hexdigest()
+    byte = lambda h, i: int(h[2 * (i % 64) : 2 * (i % 64) + 2], 16)
+    longer = str(attempt) if attempt >= pii.LONGER else ""
+
+    def like(value, h):
+        return "".join(
+            str(byte(h, i) % 10) if c in "0123456789" else chr(97 + byte(h, i) % 26) if c.isalpha() else c
+            for i, c in enumerate(value)
+        )
+
+    if kind == "email":
+        local, domain = canon.split("@")
+        name, _, top = domain.rpartition(".")
+        return like(local, h) + longer + "@" + like(name, hashlib.sha512(h.encode()).hexdigest()) + "." + top
+    if kind == "ssn":
+        return like(canon, h)
+    if kind == "ip":
+        return ".".join(str(1 + byte(h, i) % 254) for i in range(4))
+    script = kind.rsplit("_", 1)[1]
+    count = 3 + (attempt - pii.LONGER + 1 if attempt >= pii.LONGER else 0)
+    syllables, ends = pii.SYLLABLES[script], pii.ENDINGS[script]
+    end = ends[0] if kind.startswith("given_male") else ends[1] if kind.startswith("given_female") else ends[2]
+    return "".join(syllables[byte(h, i) % len(syllables)] for i in range(count)) + end
+
+
+def plain_surrogates(found, key):
+    table = {e: (0, plain_surrogate(*e, 0, key)) for e in found}
+    while True:
+        by_value = defaultdict(list)
+        for (kind, canon), (attempt, value) in table.items():
+            name = hashlib.sha256(f"{key}\x1f{canon}".encode()).hexdigest()
+            by_value[kind, value].append((attempt, name, canon))
+        again = {(k, c) for (k, v), own in by_value.items() for _, _, c in own if (k, v) in found or c != min(own)[2]}
+        if not again:
+            return table
+        for e in again:
+            table[e] = (table[e][0] + 1, plain_surrogate(*e, table[e][0] + 1, key))
+
+
+def test_surrogates_equal_a_plain_version(spark):
+    rnd = random.Random(5)
+    found = {("email", f"{c}@{d}.de") for c in "abcdefghij0123456789" for d in "xyz"}
+    found |= {("ssn", f"{rnd.randrange(10**9):09}") for _ in range(40)} | {("ip", f"1.2.3.{i}") for i in range(30)}
+    kinds = ["family_latin", "given_male_latin", "given_female_greek", "given_any_cyrillic"]
+    found |= {(rnd.choice(kinds), f"name{i}") for i in range(60)}
+    table = stage(spark.createDataFrame(sorted(found), "kind string, canon string"), "found")
+    got = {(r["kind"], r["canon"]): (r["attempt"], r["surrogate"]) for r in pii.surrogates(table, "k").collect()}
+    assert got == plain_surrogates(found, "k")
+
+
 # --- quality -------------------------------------------------------------------
 
 
