@@ -15,7 +15,8 @@ added to those before.
 Defined cases: a null or empty text has no words, no hits and is not contaminated; a
 null or empty item, or one without words, has no pattern; an item that occurs twice in
 the table counts once; repeated document rows give repeated rows; an empty benchmark
-leaves all documents clean.  Other columns of either table are not read.
+leaves all documents clean.  Other columns of either table are not read, and keep their
+values whatever they are called (only a column named ``out`` is replaced).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.text import alnum_words, per_text
+from pageloom.llm.text import alnum_words, per_text, unused
 from pageloom.plans.staging import stage
 
 #: UTF-8 bytes of benchmark words in one block (a task's tables take some 80 times that).
@@ -172,7 +173,7 @@ def with_hits(
 
     ``spans`` is the flat list of starts and ends (exclusive, in words) of the parts of
     the text that occur in the benchmark, ``items`` the ids of the items they come
-    from, sorted as strings.  ``out`` must not be a column of ``docs``.
+    from, sorted as strings.  A column of ``docs`` with the name ``out`` is replaced.
     """
     spark = docs.sparkSession
     pieces = stage(
@@ -204,7 +205,7 @@ def decontaminate(
 
     Contaminated: some word is hit and at least one word in twenty is.
     """
-    raw = f"{out}_raw"
+    raw = unused(docs, f"{out}_raw")
     found = with_hits(docs, benchmark, raw, text=text, **options)
     spans = F.col(f"`{raw}`.spans")
     evens = F.filter(spans, lambda _, i: i % 2 == 0)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pageloom.llm.text import SPACE_WORD
+from pageloom.llm.text import SPACE_WORD, unused
 from pageloom.plans.staging import stage
 
 WEIGHTS = (3, 1, 2)
@@ -312,7 +312,7 @@ def mix(
     ``place`` orders the documents of a shard.
     """
     h = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
-    m = f"{out}__"
+    m = unused(docs, f"{out}__", prefix=True)
     own = docs.withColumn(
         m,
         F.struct(

@@ -36,7 +36,8 @@ place with the first attempt; only texts that hold an entity with a later one ar
 up in a table, by the digest of the text.
 
 Defined cases: a null text stays null, an empty one empty; repeated rows and texts are
-replaced alike; an empty table gives an empty result.
+replaced alike; an empty table gives an empty result; other columns keep their values
+whatever they are called (only one named as the result is replaced).
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.text import unused
 from pageloom.plans.staging import stage
 
 # Forms of address, by gender.
@@ -478,7 +480,7 @@ def surrogates(found: DataFrame, key: str) -> DataFrame:
 
 def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``out``: ``text`` and ``n_entities``."""
-    body = F.col(text)
+    own, body = unused(docs, f"{out}__", prefix=True), F.col(text)
     parts = F.flatten(F.transform(matches(body), entities))
     # the digest before the rows, so that no row carries the text; outer, as a plain
     # explode adds a filter for which the text would be searched twice
@@ -497,9 +499,9 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
             ).alias("late")
         ),
         "late",
-    ).select(F.struct("*").alias(f"{out}__late"))
-    theirs = F.col(f"`{out}__late`")
-    m = f"{out}__m"  # used more than once, so it stays a column
+    ).select(F.struct("*").alias(f"{own}late"))
+    theirs = F.col(f"`{own}late`")
+    m = f"{own}m"  # used more than once, so it stays a column
     joined = docs.withColumn(m, matches(body)).join(
         of_text, F.md5(body.cast("binary")) == theirs["digest"], "left"
     )
@@ -523,7 +525,7 @@ def replace(docs: DataFrame, out: str, *, key: str, text: str = "text") -> DataF
     n = F.when(F.size(found) <= 0, F.size(found)).otherwise(F.size(F.filter(found, is_entity)))
     return joined.withColumn(
         out, F.struct(F.when(body.isNotNull(), rewritten).alias("text"), n.alias("n_entities"))
-    ).drop(f"{out}__late", m)
+    ).drop(f"{own}late", m)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

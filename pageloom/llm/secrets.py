@@ -14,7 +14,8 @@ the threshold to the end of the last one.
 
 **Allow list.**  Candidates are dropped that are one of: letters only; digits with
 ``+ / _ = -`` only; a UUID; words joined by ``- _ / +``, of letters or of digits; those
-that hold ``example``, ``placeholder`` or ``xxxx`` in any case.  The three patterns are
+that hold ``example``, ``placeholder`` or ``xxxxxxxx`` in any case, or ``xxxx`` with at most
+16 characters on either side (a long random run may hold four by chance).  The three patterns are
 not subject to it.
 
 Defined cases: a null text is an empty one, with no span; repeated rows give repeated
@@ -28,6 +29,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.text import unused
+
 ASSIGN = (
     r"((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
     r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -53,7 +56,8 @@ ALLOWED = (
     r"^[0-9+/_=-]+$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(?:[A-Za-z]+|[0-9]+)(?:[+/_-]+(?:[A-Za-z]+|[0-9]+))*$",
-    r"(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{4})",
+    r"(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Xx]{8})",
+    r"^.{0,16}[Xx]{4}.{0,16}$",
 )
 #: c * log2(c) in 2^-16 for counts up to the window.
 C_LOG_C = [0] + [round(65536 * c * math.log2(c)) for c in range(1, WINDOW + 1)]
@@ -217,7 +221,7 @@ def find_secrets(docs: DataFrame, out: str, *, text: str = "text", whole: bool =
     ``struct<start, kind, end>``; ``kind`` counts in that order from 0.  With ``whole``
     the spans are what must not stay: of an assignment the value, of a candidate all of it.
     """
-    t = f"{out}__"
+    t = unused(docs, f"{out}__", prefix=True)
     found = docs.withColumn(f"{t}t", F.coalesce(F.col(text), F.lit("")))
     for name, pattern, group in (
         ("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), ("entropy", RUN, 0)
@@ -313,14 +317,15 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     Each kind is a column of its own, so that no text is searched over and over.
     """
     last = F.array(F.lit(""))
-    columns, name = docs.columns, "__redacted"
-    docs = find_secrets(docs, "__s", text=text, whole=True)
+    columns, own = docs.columns, unused(docs, "__redact", prefix=True)
+    name, s, spans = f"{own}ed", f"{own}_s", f"{own}_spans"
+    docs = find_secrets(docs, s, text=text, whole=True)
     docs = docs.withColumn(
-        "__spans", F.array_sort(F.concat("__s.assign", "__s.access", "__s.hex", "__s.entropy"))
-    ).drop("__s")
-    held = F.size("__spans") > 0
+        spans, F.array_sort(F.concat(f"{s}.assign", f"{s}.access", f"{s}.hex", f"{s}.entropy"))
+    ).drop(s)
+    held = F.size(spans) > 0
     body = F.col(f"`{text}`")
-    docs = docs.withColumn(name, F.when(held, _without(body, F.col("__spans"))).otherwise(body))
+    docs = docs.withColumn(name, F.when(held, _without(body, F.col(spans))).otherwise(body))
 
     def value_of(m: Column, h: Column) -> Column:
         long = F.length(m) - F.length(h) >= 12
@@ -344,7 +349,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
             F.concat(new(body, pattern), last),
             lambda p, m: F.concat(p, m),
         )
-        name = f"__redacted{i}"
+        name = f"{own}ed{i}"
         docs = docs.withColumn(
             name, F.when(held & body.rlike(pattern), F.array_join(pieces, "")).otherwise(body)
         )

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.text import per_text, space_words
+from pageloom.llm.text import per_text, space_words, unused
 from pageloom.operators.components import components
 from pageloom.plans.staging import stage
 
@@ -337,10 +337,12 @@ def make_plan(distinct: DataFrame, distance: int) -> Plan:
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``(u, v)``: all pairs ``u < v`` of distinct fingerprints within the distance.
+    """``(u, v)``: all pairs ``u < v`` of distinct fingerprints within the distance (1 to 6).
 
     ``distinct`` is a staged table of distinct, non-null longs ``fp``.
     """
+    if not 1 <= distance <= 6:  # tables of 2^32 entries without partitions; keys number eight parts
+        raise ValueError("a distance of 1 to 6 bits")
     held = distinct.sparkSession.sparkContext.broadcast(make_plan(distinct, distance))
     key = ["part", "value", "sub"]
     filed = distinct.select("fp").mapInArrow(_file(held), KEYS).withColumnRenamed("fp", "filed")
@@ -401,7 +403,7 @@ def one_of_each(
     distance: int = DISTANCE,
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of its smallest id."""
-    fp, name = "__simhash_fp", "__simhash_id"
+    fp, name = (unused(docs, f"__simhash_{c}") for c in ("fp", "id"))
     own = docs.withColumn(fp, fingerprints(F.col(text), size))
     ids = stage(own.select(F.col(key).alias("id"), F.col(fp).alias("fp")), "simhash")
     # a name that is never null, so that join and duplicates need the same shuffle

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
@@ -51,6 +51,17 @@ def lower_az(text: Column) -> Column:
     return F.translate(text, _UPPER_AZ, _UPPER_AZ.lower())
 
 
+def unused(df: DataFrame, name: str, prefix: bool = False) -> str:
+    """``name`` with underscores added until no column of ``df`` has it.
+
+    With ``prefix`` no column begins with it either.  Case is ignored, as in Spark.
+    """
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) if prefix else c == name.lower() for c in taken):
+        name += "_"
+    return name
+
+
 def per_text(make: Callable[[], Callable], result: DataType) -> Callable[..., Column]:
     """A column function whose value for a row is ``make()(value, ...)``.
 

@@ -6,11 +6,23 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from test_models import plain_classes, plain_fingerprint, plain_secrets, plain_targets
 from test_texts import plain_hits
 
 import corpus_pipeline
-from pageloom.llm import toxicity
+from pageloom.llm import (
+    decontamination,
+    licenses,
+    mixing,
+    pii,
+    quality,
+    resampling,
+    secrets,
+    simhash,
+    toxicity,
+    winnowing,
+)
 from pageloom.llm.queries import ORACLE_SQL, QUERIES
 from pageloom.plans.staging import stage
 
@@ -107,5 +119,70 @@ def test_stages_on_an_empty_table(spark):
 
 
 def test_registered():
-    assert sorted({int(q[2:].split("_")[0]) for q in QUERIES}) == list(range(1, 11))
+    assert sorted({int(q[2:].split("_")[0]) for q in QUERIES}) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+#: Names of results and names used inside, as columns of the caller's.
+CLASHING = [
+    "size", "source_size", "target", "taken", "shards", "hits_raw", "__hits", "__tox", "__mix", "__mix__a",
+    "__s", "__spans", "__redacted", "__redact_s", "__simhash_fp", "__SIMHASH_ID", "n_words", "score", "r__m",
+    "r__late", "r__", "hits__raw", "c", "fp", "id", "late", "key", "place", "before", "row", "rank",
+]
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    wide = [F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in CLASHING]
+    return stage(docs.select("*", *wide), "crowded")
+
+
+def kept(rows, names):
+    """Every clashing column still has its own value."""
+    rows = rows.collect()
+    assert rows
+    for r in rows:
+        for c in names:
+            assert r[c] == f"{c}-{r['doc_id']}", c
+
+
+@pytest.mark.parametrize("name, step", corpus_pipeline.STAGES)
+def test_stages_keep_clashing_columns(spark, crowded, name, step):
+    out = step(spark, crowded, SF)
+    kept(out, CLASHING)
+    if name == "mixing":
+        assert {"size_", "source_size_", "target_", "taken_", "shards_"} <= set(out.columns)
+        assert out.where("taken_ > 0").count() > 0
+
+
+@pytest.mark.parametrize("n", [2, 4, 6, 7, 8, 10])
+def test_operators_keep_clashing_columns(spark, crowded, n):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    made = {
+        2: lambda: decontamination.decontaminate(crowded, benchmark),
+        4: lambda: pii.replace(crowded, "r", key="k"),
+        6: lambda: licenses.scan_licenses(crowded, "r"),
+        7: lambda: toxicity.score(crowded, toxicity.fit(crowded, labels), "r"),
+        8: lambda: secrets.find_secrets(crowded, "r"),
+        10: lambda: mixing.mix(crowded, "r"),
+    }
+    kept(made[n](), CLASHING)
+
+
+@pytest.mark.parametrize("n", [1, 3, 5, 11])
+def test_operators_by_id_with_clashing_columns(spark, crowded, n):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    plain = crowded.select("doc_id", "text", "source", "lang")
+    made = {
+        1: lambda d: quality.quality(d, labels),
+        3: lambda d: simhash.near_duplicates(d),
+        5: lambda d: winnowing.compare_with_next(d),
+        11: lambda d: resampling.resample(d, d),
+    }
+    rows = [sorted(map(repr, made[n](d).collect())) for d in (crowded, plain)]
+    if n == 1:  # sums of doubles
+        assert len(rows[0]) == len(rows[1])
+    else:
+        assert rows[0] == rows[1]
