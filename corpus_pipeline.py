@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.llm import decontamination, mixing, secrets, simhash, toxicity
+from pageloom.llm.text import unused
 from pageloom.plans.staging import stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold; learnt from the labelled ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels), "__tox")
-    return scored.where(F.col("__tox.score") < toxicity.THRESHOLD).drop("__tox")
+    own = unused(docs, "__tox")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), own)
+    return scored.where(F.col(f"{own}.score") < toxicity.THRESHOLD).drop(own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +30,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth occurs in the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.decontaminate(docs, benchmark, out="__hits")
-    return found.where(~F.col("__hits.contaminated")).drop("__hits")
+    own = unused(docs, "__hits")
+    found = decontamination.decontaminate(docs, benchmark, out=own)
+    return found.where(~F.col(f"{own}.contaminated")).drop(own)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,15 +49,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows and texts are those of the stage before.  Its reader applies the mix: documents
     with ``taken = 0`` are not part of it, of the others ``taken`` words are (more than
-    ``size``: the text again from its start), and ``shards`` says where they go.
+    ``size``: the text again from its start), and ``shards`` says where they go.  Columns
+    that are there before keep their names and values; a new one of the same name gets an
+    underscore behind its own.
     """
-    mixed = mixing.mix(docs, "__mix")
+    own = unused(docs, "__mix")
+    mixed = mixing.mix(docs, own)
     names = ("size", "source_size", "target", "taken")
-    kept = [c for c in mixed.columns if c not in (*names, "shards", "__mix")]
     return mixed.select(
-        *[F.col(f"`{c}`") for c in kept],
-        *[F.col(f"__mix.{n}").alias(n) for n in names],
-        F.transform(F.col("__mix.parts"), lambda p: p["shard"]).alias("shards"),
+        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"{own}.{n}").alias(unused(docs, n)) for n in names],
+        F.transform(F.col(f"{own}.parts"), lambda p: p["shard"]).alias(unused(docs, "shards")),
     )
 
 
