@@ -18,21 +18,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FALLBACK: dict[str, str] = {}
+#: For local sessions that name no folder.
+LOCAL_FOLDER = f"{tempfile.gettempdir()}/pageloom"
 _TABLES: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one of our own only if none is named."""
+    """The cluster's checkpoint folder; in local mode a fixed one if none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _FALLBACK:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        _FALLBACK[app] = tempfile.mkdtemp(prefix="pageloom-")
-    return _FALLBACK[app]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return LOCAL_FOLDER
 
 
 def scratch_root(spark: SparkSession) -> str:
