@@ -1,13 +1,14 @@
 """License scans with a positional index of rare words.
 
-The templates are short license phrases.  Document frequencies of their words are
-counted over all texts; the rarest word of a template is its *anchor*.  A text's places
-of anchor words are looked up in the postings ``anchor -> (template, offset)``, which
-gives a start for the template; the postings of the template's other words at the same
-start are intersected by relative position, and a match is kept if the words found carry
-enough of the template's inverse document frequency and the mandatory key phrase stands
-there word for word.  A base template is its own key phrase, so its places are exactly
-those where its words stand one after another.
+The templates are licence names, notices, identifier lines and passages of licence texts.
+Document frequencies of their words are counted over all texts.  Of a file, the places of
+all licence words are listed; beginning with the words of highest inverse document
+frequency, the templates are opened of which that word is the rarest of the mandatory key
+phrase.  The places of the key phrase's words, each moved back by its offset, are
+intersected, which leaves the starts where the whole phrase stands.  Of the template's
+other words those found at the same start count, and a match is kept if all words found
+carry enough of the template's weight.  A base template is its own key phrase, so its
+places are exactly those where its words stand one after another.
 
 Defined cases: a null or empty text has no words, no places and no labels; repeated rows
 give repeated rows; over an empty table all words are equally rare and ties go to the
@@ -51,33 +52,111 @@ BASE = (
     template("cc-by", "cc by", base=True),
     template("mit", "mit license", base=True),
 )
-#: Longer notices; the second phrase must stand there word for word.
+# Names, notices and passages of public licences, in words.  The second
+# phrase must stand there word for word; words that only lead in are left out.
 NOTICES = (
-    template("gpl-3.0", "gnu general public license version 3", "version 3"),
-    template("gpl-2.0", "gnu general public license version 2", "version 2"),
+    template("gpl-3.0", "gnu general public license version 3"),
+    template("gpl-3.0", "gnu gpl v3"),
+    template("gpl-3.0", "gnu gpl version 3"),
+    template("gpl-3.0", "gplv3"),
+    template(
+        "gpl-3.0",
+        "redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation either version 3 of the license or at your option any later version",
+        "gnu general public license as published by the free software foundation either version 3",
+    ),
+    template("gpl-2.0", "gnu general public license version 2"),
+    template("gpl-2.0", "gnu gpl v2"),
+    template("gpl-2.0", "gnu gpl version 2"),
+    template("gpl-2.0", "gplv2"),
+    template(
+        "gpl-2.0",
+        "redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation either version 2 of the license or at your option any later version",
+        "gnu general public license as published by the free software foundation either version 2",
+    ),
     template("lgpl", "gnu lesser general public license", "lesser general public license"),
     template("agpl", "gnu affero general public license", "affero general public license"),
-    template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2"),
-    template("cc-by-nc-4.0", "licensed under cc by nc 4 0", "by nc 4 0"),
-    template("cc-by-sa-4.0", "licensed under cc by sa 4 0", "by sa 4 0"),
-    template("cc-by-nd-4.0", "licensed under cc by nd 4 0", "by nd 4 0"),
-    template("cc-by-4.0", "licensed under cc by 4 0", "by 4 0"),
-    template("mit-notice", "released under the mit license", "the mit license"),
+    template("apache-2.0", "apache license version 2 0"),
+    template("apache-2.0", "apache license 2 0"),
+    template(
+        "apache-2.0",
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "http www apache org licenses license 2 0",
+        "www apache org licenses license 2 0",
+    ),
+    template("cc-by-nc-4.0", "cc by nc 4 0"),
+    template("cc-by-sa-4.0", "cc by sa 4 0"),
+    template("cc-by-nd-4.0", "cc by nd 4 0"),
+    template("cc-by-4.0", "cc by 4 0"),
+    template("cc-by-4.0", "creative commons attribution 4 0"),
+    template("cc-by-sa-4.0", "creative commons attribution sharealike 4 0"),
+    template("mit-notice", "under the mit license"),
     template(
         "mit-text",
         "permission is hereby granted free of charge to any person obtaining a copy of this software",
         "permission is hereby granted free of charge",
     ),
+    template(
+        "mit-text",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation "
+        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+        "permit persons to whom the software is furnished to do so subject to the following conditions",
+        "deal in the software without restriction",
+    ),
     template(
         "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted",
         "redistribution and use in source and binary forms",
     ),
+    template("bsd-3-clause", "bsd 3 clause"),
+    template(
+        "bsd-3-clause",
+        "may be used to endorse or promote products derived from this software without specific prior written permission",
+        "endorse or promote products derived from this software",
+    ),
+    template("bsd-2-clause", "bsd 2 clause"),
+    template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        "for any purpose with or without fee is hereby granted",
+    ),
     template("mozilla", "mozilla public license version 2 0", "mozilla public license"),
+    template("mozilla", "mozilla public license v 2 0", "mozilla public license"),
     template("eclipse", "eclipse public license v 2 0", "eclipse public license"),
     template("unlicense", "released into the public domain", "into the public domain"),
+    template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        "free and unencumbered software",
+    ),
     template("cc0", "creative commons zero v1 0 universal", "creative commons zero"),
+    template("cc0", "cc0 1 0 universal"),
     template("proprietary", "all rights reserved", "all rights reserved"),
+    *(
+        template(label, f"spdx license identifier {name}")
+        for label, name in (
+            ("mit", "mit"),
+            ("apache-2.0", "apache 2 0"),
+            ("gpl-3.0", "gpl 3 0"),
+            ("gpl-2.0", "gpl 2 0"),
+            ("lgpl", "lgpl"),
+            ("agpl", "agpl"),
+            ("bsd-3-clause", "bsd 3 clause"),
+            ("bsd-2-clause", "bsd 2 clause"),
+            ("mozilla", "mpl 2 0"),
+            ("eclipse", "epl 2 0"),
+            ("isc", "isc"),
+            ("unlicense", "unlicense"),
+            ("cc0", "cc0 1 0"),
+            ("cc-by-4.0", "cc by 4 0"),
+            ("cc-by-sa-4.0", "cc by sa 4 0"),
+            ("cc-by-nc-4.0", "cc by nc 4 0"),
+            ("cc-by-nd-4.0", "cc by nd 4 0"),
+        )
+    ),
 )
 #: Share of a template's inverse document frequency that must be found.
 ENOUGH = 0.8
@@ -128,46 +207,59 @@ def inverse_frequencies(
 
 
 class Index:
-    """Anchors and postings of the templates under given word weights."""
+    """Positional postings of the templates under given word weights."""
 
     def __init__(self, templates: tuple[Template, ...], idf: dict[bytes, float]):
-        self.templates = templates
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.words: list[list[tuple[int, bytes, float]]] = []
+        self.templates, self.idf = templates, idf
+        #: rarest word of the key phrase -> templates
+        self.opened: dict[bytes, list[int]] = defaultdict(list)
+        #: per template: the key's words, rarest first, and the others, with offset and weight
+        self.keys: list[list[tuple[int, bytes, float]]] = []
+        self.others: list[list[tuple[int, bytes, float]]] = []
         for i, t in enumerate(templates):
             words = [w.encode() for w in t.words]
-            inside = range(*t.key)  # the anchor must be a word that has to be there
-            anchor = min(inside, key=lambda j: (-idf[words[j]], words[j], j))
-            self.postings[words[anchor]].append((i, anchor))
             total = sum(idf[w] for w in words)
-            self.words.append([(j, w, idf[w] / total) for j, w in enumerate(words)])
-        self.marks = [b" " + w + b" " for w in self.postings]
+            rows = [(j, w, idf[w] / total) for j, w in enumerate(words)]
+            key = sorted(rows[slice(*t.key)], key=lambda r: (-idf[r[1]], r[1], r[0]))
+            self.opened[key[0][1]].append(i)
+            self.keys.append(key)
+            self.others.append([r for r in rows if not t.key[0] <= r[0] < t.key[1]])
+
+    def starts_of(self, i: int, places: dict[bytes, set[int]]) -> set[int]:
+        """Where the template's key phrase stands: the postings of its words, each moved
+        back by its offset, intersected from the rarest word on."""
+        out: set[int] | None = None
+        for j, w, _ in self.keys[i]:
+            here = places.get(w)
+            if not here:
+                return set()
+            out = {p - j for p in here} if out is None else {s for s in out if s + j in here}
+            if not out:
+                return out
+        return out or set()
 
     def scan(self, text: str | None) -> tuple:
         words = alnum_words(text)
-        n, starts, labels, base, best = len(words), set(), set(), set(), 0.0
+        places: dict[bytes, set[int]] = {}
         for at, word in enumerate(words):
-            for i, offset in self.postings.get(word, ()):
-                t, start = self.templates[i], at - offset
-                share = sum(
-                    x for j, w, x in self.words[i] if 0 <= start + j < n and words[start + j] == w
-                )
-                a, b = t.key
-                if (
-                    share < (ENOUGH if not t.base else 1 - 1e-9)
-                    or start + a < 0
-                    or any(
-                        start + j >= n or words[start + j] != w
-                        for j, w, _ in self.words[i][a:b]
-                    )
-                ):
-                    continue
-                labels.add(t.label)
-                best = max(best, min(share, 1.0))
-                if t.base:
-                    base.add(t.label)
-                    starts.add(start)
-        return n, sorted(starts), sorted(base), sorted(labels), best
+            if word in self.idf:
+                places.setdefault(word, set()).add(at)
+        starts, labels, base, best = set(), set(), set(), 0.0
+        # the file's licence words, highest inverse document frequency first
+        for word in sorted(places.keys() & self.opened.keys(), key=lambda w: (-self.idf[w], w)):
+            for i in self.opened[word]:
+                t = self.templates[i]
+                for start in self.starts_of(i, places):
+                    share = sum(x for _, _, x in self.keys[i])
+                    share += sum(x for j, w, x in self.others[i] if start + j in places.get(w, ()))
+                    if share < (ENOUGH if not t.base else 1 - 1e-9):
+                        continue
+                    labels.add(t.label)
+                    best = max(best, min(share, 1.0))
+                    if t.base:
+                        base.add(t.label)
+                        starts.add(start)
+        return len(words), sorted(starts), sorted(base), sorted(labels), best
 
 
 def scan_licenses(

@@ -193,6 +193,52 @@ def test_license_places(spark):
     assert licenses.scan_licenses(df.limit(0), "found").count() == 0
 
 
+LABELLED = {
+    "Apache License, Version 2.0": "apache,apache-2.0",
+    "Released CC BY 4.0.": "cc-by,cc-by-4.0",
+    "CC BY-NC 4.0 only": "cc-by,cc-by-nc-4.0",
+    "text (CC BY-SA 4.0)": "cc-by,cc-by-sa-4.0",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3.0",
+    "BSD 3-Clause License": "bsd-3-clause",
+    "// SPDX-License-Identifier: MIT": "mit",
+    "SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0",
+    "under GNU GPL v3": "gpl-3.0",
+    "the apache of licenses, version 2": "",
+}
+
+
+def plain_labels(words, templates, idf):
+    """Labels and best share of one text, by comparing every place."""
+    labels, best = set(), 0.0
+    for t in templates:
+        total = sum(idf[w.encode()] for w in t.words)
+        for start in range(-len(t.words), len(words)):
+            same = [0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(t.words)]
+            share = sum(idf[w.encode()] for w, x in zip(t.words, same, strict=True) if x) / total
+            if all(same[slice(*t.key)]) and share >= (1 - 1e-9 if t.base else licenses.ENOUGH):
+                labels.add(t.label)
+                best = max(best, share)
+    return sorted(labels), round(best, 9)
+
+
+def test_license_forms(spark):
+    rnd = random.Random(8)
+    filler = " ".join(rnd.choices(["lorem", "ipsum", "the", "of", "and", "version"], k=30))
+    texts = [*LABELLED, *(f"{filler} {t} {filler}" for t in LABELLED)]
+    every = [" ".join(t.words) for t in licenses.NOTICES]
+    texts += every + [" ".join(w for w in t.split() if rnd.random() > 0.1) for t in every]
+    texts += [" ".join(rnd.choice(words) if rnd.random() < 0.1 else w for w in words) for words in map(str.split, every)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = licenses.inverse_frequencies(df, licenses.BASE + licenses.NOTICES)
+    got = {r["doc_id"]: r["f"] for r in licenses.scan_licenses(df, "f").collect()}
+    for i, text in enumerate(texts):
+        labels, best = plain_labels(plain_words(text), licenses.BASE + licenses.NOTICES, idf)
+        assert got[i]["labels"] == labels and round(got[i]["score"], 9) == best, text
+    for i, expected in enumerate(LABELLED.values()):
+        assert ",".join(got[i]["labels"]) == expected and set(got[i + len(LABELLED)]["labels"]) >= set(got[i]["labels"])
+
+
 # --- HTML ----------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
