@@ -10,7 +10,11 @@ blocks, in an order that has nothing to do with the input's.  A source takes who
 passes over its blocks as far as its target goes, and in the last pass a prefix of the
 block order; the last block of that prefix is cut inside, within one document, so that
 the words taken are the target, rounded down.  Block sums need one small row per block,
-so a source with a third of all rows is 4096 groups, not one.
+so a source with a third of all rows is 4096 groups, not one.  A document finds its block's
+row by a join on the blocks; only in the cut blocks, one per source, are documents put in
+order, as narrow rows, to find the document where the cut lies.  So texts stay where they
+are read as long as the table of blocks is small enough for Spark to broadcast, and pass
+one shuffle else.
 
 **Shards.**  The taken blocks of all sources are split over the output shards by a
 binary tree.  A node hands its left half exactly its share of blocks; how many come from
@@ -24,8 +28,10 @@ All of it is DataFrame code.  The table of sources is one group (it is the recip
 mix); blocks and documents are not.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null source is a
-source of its own, the last one; null ids and repeated rows are documents like others
-(equal rows share a place in the order); with no words at all every target is 0.
+source of its own, the last one; null ids and repeated rows are documents like others;
+rows of equal id and size share a place in the order, and if the cut lies there, each gives
+the same words, so that less than one word for each of them is lacking at the target; with
+no words at all every target is 0.
 """
 
 from __future__ import annotations
@@ -232,8 +238,9 @@ def draws(sizes: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame
     """What the mix takes of every block of documents.
 
     ``sizes`` has one row per document: ``source, block, size``.  The result has one row
-    per block with words: ``source, block, source_size, target, draws``; a draw is
-    ``(copy, shard, upto)``, where ``upto`` are the words taken from the block's start.
+    per block with words: ``source, block, n, source_size, target, draws``; ``n`` are its
+    words, and a draw is ``(copy, shard, upto)``, where ``upto`` are the words taken from the
+    block's start: all of them but in one draw per source.
     """
     blocks = stage(sizes.groupBy("source", "block").agg(F.sum("size").alias("n")), "blocks")
     by_source = blocks.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -288,12 +295,40 @@ def draws(sizes: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame
     ).select(
         "a.source",
         "a.block",
+        "a.n",
         "a.source_size",
         "a.target",
         F.coalesce("b.draws", nothing).alias("draws"),
     )
 
 
+def cuts(sizes: DataFrame, found: DataFrame) -> DataFrame:
+    """Where the cut lies in the blocks that are taken in part: ``name, block, at, each``.
+
+    ``at`` is the place ``(h, size)`` of the rows that are cut, and ``each`` the words taken
+    of each of them; rows before them are taken whole, rows behind them not at all.  Rows
+    of equal place are one row before they are put in order.
+    """
+    partial = F.get(F.filter("draws", lambda d: d["upto"] < F.col("n")), F.lit(0))["upto"]
+    wanted = found.select("name", "block", partial.alias("upto")).where("upto IS NOT NULL")
+    places = (
+        sizes.where("size > 0")
+        .join(wanted, ["name", "block"])
+        .groupBy("name", "block", "upto", "h", "size")
+        .agg(F.count("*").alias("rows"))
+    )
+    inside = Window.partitionBy("name", "block").orderBy("h", "size")
+    ends = F.sum(F.col("size") * F.col("rows")).over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        places.withColumn("before", ends - F.col("size") * F.col("rows"))
+        .withColumn("left", F.col("upto") - F.col("before"))
+        .where("left > 0 AND left <= size * rows")
+        .select("name", "block", F.struct("h", "size").alias("at"), F.expr("left DIV rows").alias("each"))
+    )
+
+
 def mix(
     docs: DataFrame,
     out: str,
@@ -323,30 +358,23 @@ def mix(
             word_count(F.col(text)).alias("size"),
         ),
     )
-    sizes = own.select(f"`{m}`.source", f"`{m}`.block", f"`{m}`.size")
-    found = draws(sizes, shards, seed)
-    found = found.withColumn("name", _named(F.col("source")))
-    found = stage(found, "draws").select(F.struct("*").alias(f"{m}b"))
+    sizes = stage(own.select(f"`{m}`.*"), "sizes")
+    found = stage(draws(sizes, shards, seed).withColumn("name", _named(F.col("source"))), "draws")
+    found = found.join(cuts(sizes, found), ["name", "block"], "left")
+    found = stage(found, "cut-draws").select(F.struct("*").alias(f"{m}b"))
     mine, theirs = F.col(f"`{m}`"), F.col(f"`{m}b`")
-    # the window needs no shuffle beside the join's, as its keys are the join's
     joined = own.join(
         found, (mine["name"] == theirs["name"]) & (mine["block"] == theirs["block"])
     )
-    inside = (
-        Window.partitionBy(mine["name"], mine["block"])
-        .orderBy(mine["h"], mine["size"])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    joined = joined.withColumn(f"{m}a", F.sum(mine["size"]).over(inside) - mine["size"])
+    place, cut = F.struct(mine["h"].alias("h"), mine["size"].alias("size")), theirs["at"]
+    of_cut = F.when(place < cut, mine["size"]).when(place == cut, theirs["each"]).otherwise(0)
     parts = F.filter(
         F.transform(
             theirs["draws"],
             lambda d: F.struct(
                 d["copy"].alias("copy"),
                 d["shard"].alias("shard"),
-                F.greatest(F.lit(0), F.least(mine["size"], d["upto"] - F.col(f"`{m}a`")))
-                .cast("long")
-                .alias("words"),
+                F.when(d["upto"] >= theirs["n"], mine["size"]).otherwise(of_cut).alias("words"),
                 F.md5(
                     F.concat_ws("|", F.lit(seed), d["shard"], d["copy"], mine["h"]).cast("binary")
                 ).alias("place"),
@@ -365,7 +393,7 @@ def mix(
             taken.alias("taken"),
             F.col(f"`{m}p`").alias("parts"),
         ),
-    ).drop(m, f"{m}a", f"{m}b", f"{m}p")
+    ).drop(m, f"{m}b", f"{m}p")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
