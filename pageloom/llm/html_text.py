@@ -46,6 +46,9 @@ TEXT_ELEMENT = 1.2
 IN_ARTICLE = 3.0
 #: Times the share of characters inside links.
 LINKS = -5.0
+#: The same inside an article or main element, where lists of links are content unless the
+#: page has the same link in its navigation.
+LINKS_IN_ARTICLE = -1.5
 #: Inside an element that is not the article or not shown, under such a class name or
 #: role, and under one that describes the layout, or a wrapper.
 APART, NAMED, LAYOUT = -14.0, -8.0, -0.5
@@ -64,6 +67,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 NO_TEXT = {"head", "title", "button", "select", "option", "datalist", "object", "audio", "video", "canvas"}
 APART_ELEMENTS = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 ARTICLE_ELEMENTS = {"article", "main"}
+#: Words from which on a wrapper of one paragraph, in an article or not, can be the text.
+LONG_PARAGRAPH = (40, 100)
 CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -106,12 +111,14 @@ _SENTENCE = re.compile(r"[.!?…。！？][\"'»”’)]?(?:\s|$)|,\s")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "own", "against", "article", "silent", "chars", "clean", "texts", "words")
+    __slots__ = ("tag", "parent", "depth", "own", "against", "article", "inside", "silent", "chars", "clean", "texts", "words")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.article = tag in ARTICLE_ELEMENTS or bool(parent and parent.article)
+        #: In an element of that meaning, whatever class names say.
+        self.inside = tag in ARTICLE_ELEMENTS or bool(parent and parent.inside)
         self.silent = tag in NO_TEXT or bool(parent and parent.silent)
         #: What speaks against the text in this element, because of itself.
         self.own = APART if tag in APART_ELEMENTS or (tag == "header" and not self.article) else 0.0
@@ -158,10 +165,12 @@ def _names(attributes: str) -> set[str] | None:
 
 
 class Block:
-    __slots__ = ("text", "element", "linked")
+    __slots__ = ("text", "element", "linked", "repeated")
 
     def __init__(self, text: str, element: Element, linked: float):
         self.text, self.element, self.linked = text, element, linked
+        #: A link that the page's navigation has as well.
+        self.repeated = False
 
 
 def blocks(html: str | None) -> list[Block]:
@@ -237,6 +246,9 @@ def blocks(html: str | None) -> list[Block]:
         in_link = 0 if tag in ("li", "p", "div", "td") else in_link
     flush()
     _spare_wrappers(made, out)
+    around = {b.text for b in out if b.linked > 0.5 and (b.element.against <= NAMED or not b.element.article)}
+    for b in out:
+        b.repeated = b.linked > 0.5 and b.text in around
     return out
 
 
@@ -280,7 +292,7 @@ def _spare_wrappers(made: list[Element], found: list[Block]) -> None:
         if e.own <= NAMED:
             most = (
                 2 * e.chars > total > 4 * clean
-                and (e.texts > 1 or e.words >= 100)
+                and (e.texts > 1 or e.words >= LONG_PARAGRAPH[not e.inside])
                 and e.tag not in ("nav", "footer", "aside", "menu")
             )
             if id(e) in around or most:
@@ -297,7 +309,8 @@ def score(block: Block) -> float:
 def evidence(block: Block) -> float:
     """The score without what names and elements say against the block."""
     e, words = block.element, block.text.count(" ") + 1
-    z = BIAS + LENGTH * math.log1p(words) + LINKS * block.linked
+    links = LINKS_IN_ARTICLE if e.inside and not block.repeated else LINKS
+    z = BIAS + LENGTH * math.log1p(words) + links * block.linked
     if e.article:
         z += IN_ARTICLE
     if e.tag in TEXT_ELEMENTS:

@@ -325,6 +325,26 @@ def test_long_comments_do_not_become_the_article():
     assert html_text.main_text('<div class="cookie-notice">We use cookies. Accept all, please.</div>') == ""
 
 
+def test_lists_of_links_in_an_article_stay():
+    items = "".join(f"<li><a href=/{i}>Chapter number {i}</a></li>" for i in range(20))
+    want = "\n\n".join(["Reading list", *(f"Chapter number {i}" for i in range(20))])
+    nav = "<nav><ul><li><a href=/>Home page</a></li><li><a href=/n>News today</a></li></ul></nav>"
+    for tag in ("main", "article"):
+        page = f"<body>{nav}<{tag}><h1>Reading list</h1><ul>{items}</ul></{tag}></body>"
+        assert html_text.main_text(page) == want
+    # what the navigation has as well is no content, and neither are lists outside
+    again = '<ul><li><a href=/>Home page</a></li><li><a href=/n>News today</a></li></ul>'
+    assert html_text.main_text(f"<body>{nav}<main>{STORY}{again}</main></body>") == STORY_TEXT
+    assert html_text.main_text(f"<body>{nav}<main>{STORY}</main><ul>{items}</ul></body>") == STORY_TEXT
+
+
+def test_a_long_paragraph_in_a_form():
+    long = "It was said, and written down, that the form held all of the text. " * 4
+    page = "<body><main><h1>Title here</h1><form><p>{}</p><input></form></main></body>"
+    assert html_text.main_text(page.format(long)) == f"Title here\n\n{long.strip()}"
+    assert html_text.main_text(page.format("Your name, please.")) == "Title here"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "<script>x", "</p></div>", "a" * 10, "<a href='x"])
 def test_broken_pages(page):
     assert "<" not in html_text.main_text(page)
