@@ -14,7 +14,8 @@ linear scan (Ruzzo and Tompa, 1999) finds all maximal-scoring segments.
 **Calibration.**  Under the scores seen in clean training documents, the best segment of
 ``n`` tokens follows an extreme-value law (Karlin and Altschul, 1990): with ``lam`` the
 positive root of ``E[exp(lam * s)] = 1``, a score ``S`` has ``E = K n exp(-lam S)``
-chance segments.  A document's evidence is the sum of ``lam S - ln(K n)`` over its
+chance segments; ``K`` follows from the same histogram by their series over sums of
+tokens.  A document's evidence is the sum of ``lam S - ln(K n)`` over its
 significant segments, or that of its best segment if none is, and a logistic curve
 fitted on the histogram of all training documents turns it into a probability.  There,
 each document is scored with its own counts taken out.
@@ -231,8 +232,43 @@ def extreme_law(scores: dict[float, int]) -> Law:
     for _ in range(80):
         mid = (low + high) / 2
         low, high = (mid, high) if p @ np.exp(mid * s) < 1 else (low, mid)
-    # K is bounded by the chance that a token starts a segment
-    return Law(lam=high, k=float(max(p[s > 0].sum(), 1e-6)))
+    return Law(lam=high, k=lattice_constant(s, p, high))
+
+
+def lattice_constant(s: np.ndarray, p: np.ndarray, lam: float) -> float:
+    """``K`` for tokens of score ``s``, multiples of ``1 / STEPS``, with probability ``p``.
+
+    With ``S_k`` the sum of ``k`` tokens, ``d`` the span of the scores and
+    ``H = lam E[s exp(lam s)]``, it is ``lam d exp(-2 sigma) / (H (1 - exp(-lam d)))``, where
+    ``sigma`` sums ``(P(S_k >= 0) + E[exp(lam S_k); S_k < 0]) / k`` over all ``k``.  Under
+    the probabilities ``p exp(lam s)`` sums drift upwards, and both terms are chances that a
+    sum is on the wrong side of zero, which fall geometrically.
+    """
+    step = np.rint(s * STEPS).astype(int)
+    span = int(np.gcd.reduce(step))
+    step //= max(span, 1)
+    d = span / STEPS
+    low, width = int(step.min()), int(step.max() - step.min()) + 1
+    one = np.zeros(width)
+    np.add.at(one, step - low, p)
+    tilted = one * np.exp(lam * d * (np.arange(width) + low))
+    tilted /= tilted.sum()
+    mean = lam * d * float(tilted @ (np.arange(width) + low))  # H
+    sigma, below, above = 0.0, one, tilted
+    for k in range(1, 5000):
+        at = np.arange(len(below)) + k * low
+        term = (below[at >= 0].sum() + above[at < 0].sum()) / k
+        sigma += term
+        if term < 1e-7 or len(below) > 1 << 19:
+            break
+        below, above = (_convolve(x, y) for x, y in ((below, one), (above, tilted)))
+    return float(max(lam * d * math.exp(-2 * sigma) / (mean * -math.expm1(-lam * d)), 1e-6))
+
+
+def _convolve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = len(a) + len(b) - 1
+    size = 1 << (n - 1).bit_length()
+    return np.clip(np.fft.irfft(np.fft.rfft(a, size) * np.fft.rfft(b, size), size)[:n], 0, None)
 
 
 def logistic(clean: dict[float, int], toxic: dict[float, int]) -> tuple[float, float]:

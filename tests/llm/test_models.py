@@ -198,6 +198,20 @@ def test_toxicity_edge_cases(spark):
 def test_extreme_law():
     law = toxicity.extreme_law({-1.0: 90, 1.0: 10})
     assert 0.9 * math.exp(-law.lam) + 0.1 * math.exp(law.lam) == pytest.approx(1)
+    for p in (0.1, 0.3, 0.45):  # steps of one up or down have K in closed form
+        assert toxicity.extreme_law({-1.0: 1 - p, 1.0: p}).k == pytest.approx((1 - 2 * p) ** 2 / (1 - p), rel=1e-3)
+
+
+def test_best_segments_follow_the_law():
+    rnd = random.Random(3)
+    values = [round(rnd.gauss(-1, 1.2) * 16) / 16 for _ in range(200)]
+    law, n, best = toxicity.extreme_law(Counter(values)), 400, []
+    for _ in range(1500):
+        found = toxicity.segments(rnd.choices(values, k=n))
+        best.append(max((s for _, _, s in found), default=0.0))
+    for limit in (2, 3, 4):
+        want = 1 - math.exp(-law.k * n * math.exp(-law.lam * limit))
+        assert sum(s >= limit for s in best) / len(best) == pytest.approx(want, abs=0.05)
 
 
 # --- secrets -------------------------------------------------------------------
