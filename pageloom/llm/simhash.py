@@ -402,18 +402,28 @@ def one_of_each(
     size: int = SHINGLE,
     distance: int = DISTANCE,
 ) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of its smallest id."""
+    """``docs`` with one row of each group of near-duplicates: that of its smallest id.
+
+    Texts are fingerprinted once, into a narrow table.  Rows are found again by their id;
+    only those of ids that stand on texts of several fingerprints need theirs a second time.
+    """
     fp, name = (unused(docs, f"__simhash_{c}") for c in ("fp", "id"))
-    own = docs.withColumn(fp, fingerprints(F.col(text), size))
-    ids = stage(own.select(F.col(key).alias("id"), F.col(fp).alias("fp")), "simhash")
+    ids = docs.select(F.col(key).alias("id"), fingerprints(F.col(text), size).alias("fp"))
+    ids = stage(ids, "simhash")
     # a name that is never null, so that join and duplicates need the same shuffle
     named = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+    many = ids.groupBy(named(F.col("id")).alias(name)).agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+    many = stage(many.where("a <> b").select(name), "ids-of-many")
     kept = classes(ids, distance).select(
         named(F.col("id")).alias(name), F.col("fp_of_id").alias(fp)
     )
     kept = stage(kept.distinct(), "kept")
-    found = own.withColumn(name, named(F.col(key))).join(kept, [name, fp], "left_semi")
-    return found.dropDuplicates([name, fp]).drop(fp, name)
+    own = docs.withColumn(name, named(F.col(key)))
+    plain = kept.join(many, name, "left_anti").select(name)
+    first = own.join(plain, name, "left_semi").dropDuplicates([name])
+    rest = own.join(many, name, "left_semi").withColumn(fp, fingerprints(F.col(text), size))
+    rest = rest.join(kept, [name, fp], "left_semi").dropDuplicates([name, fp])
+    return first.unionByName(rest.drop(fp)).drop(name)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
