@@ -79,17 +79,27 @@ def sketch(pages: DataFrame, n: int, width: int = WIDTH) -> np.ndarray:
     """Two rows of sums; no n-gram occurs more often than either of its sums says."""
     gram = lambda i: F.xxhash64(F.slice("hashes", i, n))
     hashes = _hashed(pages, n).select(F.explode(F.transform(_starts(n), gram)).alias("gram"))
-    places = hashes.select(F.explode(F.array(*_buckets(F.col("gram"), width))).alias("place"))
+    return _sums(hashes.withColumn("times", F.lit(1)), width)
+
+
+def _sums(hashes: DataFrame, width: int) -> np.ndarray:
+    """The two rows of sums over hashed n-grams, ``(gram, times)``."""
+    places = hashes.select(F.explode(F.array(*_buckets(F.col("gram"), width))).alias("place"), "times")
     out = np.zeros(2 * width, np.int64)
-    for r in places.groupBy("place").count().toLocalIterator():  # at most 2 * width rows
-        out[r["place"]] = r["count"]
+    for r in places.groupBy("place").agg(F.sum("times").alias("n")).toLocalIterator():  # at most 2 * width rows
+        out[r["place"]] = r["n"]
     return out
 
 
+def _is_open(open_buckets: np.ndarray):
+    """Whether a place of the sketch is among the open ones."""
+    flags = F.split(F.lit(",".join("1" if x else "" for x in open_buckets)), ",")
+    return lambda place: F.get(flags, place.cast("int")) == "1"
+
+
 def _counted(pages: DataFrame, n: int, open_buckets: np.ndarray, width: int) -> DataFrame:
     """``(gram, n)`` of the n-grams of which both buckets are open."""
-    flags = F.split(F.lit(",".join("1" if x else "" for x in open_buckets)), ",")
-    is_open = lambda place: F.get(flags, place.cast("int")) == "1"
+    is_open = _is_open(open_buckets)
 
     def kept(i: Column) -> Column:
         first, second = _buckets(F.xxhash64(F.slice("hashes", i, n)), width)
@@ -103,14 +113,37 @@ def _counted(pages: DataFrame, n: int, open_buckets: np.ndarray, width: int) ->
 
 def most_frequent(pages: DataFrame, n: int, k: int = 5, width: int = WIDTH) -> DataFrame:
     """The rows of ``top_grams(gram_counts(pages, n), k)``."""
-    sums = sketch(pages, n, width)
+    return _top(sketch(pages, n, width), lambda open_: _counted(pages, n, open_, width), k, width)
+
+
+def most_frequent_compat(pages: DataFrame, k: int = 5, width: int = WIDTH) -> DataFrame:
+    """The rows of ``top_grams(gram_counts_compat(pages), k)``."""
+    words = pages.select(ascii_words(F.col("text")).alias("words"))
+    grams = words.select(F.size("words").alias("times"), ngrams_compat(F.col("words")).alias("grams"))
+    hashed = F.transform("grams", lambda g: F.xxhash64(g))
+
+    def counted(open_buckets: np.ndarray) -> DataFrame:
+        is_open = _is_open(open_buckets)
+
+        def kept(gram: Column) -> Column:
+            first, second = _buckets(F.xxhash64(gram), width)
+            return is_open(first) & is_open(second)
+
+        rows = grams.select("times", F.explode(F.filter("grams", kept)).alias("gram"))
+        return rows.groupBy("gram").agg(F.sum("times").alias("n"))
+
+    return _top(_sums(grams.select("times", F.explode(hashed).alias("gram")), width), counted, k, width)
+
+
+def _top(sums: np.ndarray, counted_of, k: int, width: int) -> DataFrame:
+    """The ``k`` most frequent, by a sketch and a count of the n-grams of open buckets."""
     least = np.sort(sums[:width])[-min(FULLEST, width)]
     first = sums >= max(int(least), 1)
     first[width:] = True
-    counted = stage(_counted(pages, n, first, width), "fullest-grams")
+    counted = stage(counted_of(first), "fullest-grams")
     best = counted.orderBy(F.desc("n")).limit(k).collect()
     bound = best[-1]["n"] if len(best) == k else 1
     needed = sums >= bound
     if (needed[:width] & ~first[:width]).any():
-        counted = stage(_counted(pages, n, needed, width), "open-grams")
+        counted = stage(counted_of(needed), "open-grams")
     return top_grams(counted, k)
