@@ -113,6 +113,27 @@ def test_token_weights_have_every_place(spark):
     assert [r["weight"] for r in got if r["word"] == "a"] == pytest.approx([2 * math.log(2)] * 2)
 
 
+def test_token_weights_of_a_repeated_page_and_no_token_shuffle(spark):
+    rows = [(1, "a b a"), (1, "a"), (2, "b\tc"), (3, None), (None, "a")]
+    df = spark.createDataFrame(rows, "page_id long, text string")
+    got = tfidf.token_weights(df, F.lit(1 << 20))
+    ln2, ln3 = math.log(6 / 3), math.log(6 / 2)
+    want = [(1, 0, "a", 3 * ln3), (1, 0, "a", 3 * ln3), (1, 1, "b", ln2), (1, 2, "a", 3 * ln3)]
+    want += [(2, 0, "b", ln2), (2, 1, "c", ln3)]
+    found = sorted((r["page_id"], r["pos"], r["word"], round(r["weight"], 9)) for r in got.collect())
+    assert found == [(*r[:3], round(r[3], 9)) for r in want]
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compat_grams_without_counting_all(spark):
+    texts = ["a b c d e f g h", "x b c d e f g", "x b c d ef g h", "a", None, "b c d e f g b c d e f g h"]
+    df = pages(spark, *texts)
+    counts = ngrams.gram_counts_compat(df)
+    for k, width in ((1, 2), (3, 4), (50, 1 << 16)):
+        want = [tuple(r) for r in ngrams.top_grams(counts, k).collect()]
+        assert [tuple(r) for r in ngrams.most_frequent_compat(df, k, width).collect()] == want
+
+
 def test_tied_weights_stay_in_the_page_top(spark):
     weights = spark.createDataFrame(
         [(1, f"w{i}", 1.0) for i in range(101)] + [(1, "low", 0.5)],
