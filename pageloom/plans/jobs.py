@@ -111,10 +111,9 @@ def kmeans_assignment(counts: tfidf.Counts, pages: DataFrame, k: int) -> DataFra
 def topics_of(pages: DataFrame, min_overlap: int, k: int) -> topics.TopicModel:
     """TF-IDF, k-means, topic words, memberships and the size band."""
     counts = tfidf.count_corpus(pages, ws_words)
-    return topics.build_topics(
+    return topics.topics_of_centroids(
         counts.tf,
-        tfidf.smoothed(counts),
-        kmeans_assignment(counts, pages, k),
+        topics.smoothed_centroids(counts, kmeans_assignment(counts, pages, k)),
         pages.select("page_id", "title"),
         min_overlap,
     )

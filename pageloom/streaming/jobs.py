@@ -93,11 +93,11 @@ def topic_batches(
         if log.committed(batch_id):
             return
         held = stage(batch, "batch")
-        counts = tfidf.count_corpus(held, ws_words)
-        model = topics.build_topics(
+        assignment = assign(held)
+        counts = tfidf.count_corpus(held, ws_words, beside=topics.clusters_of(assignment))
+        model = topics.topics_of_centroids(
             counts.tf,
-            tfidf.smoothed(counts),
-            assign(held),
+            topics.smoothed_centroids(counts, assignment),
             held.select("page_id", "title"),
             min_overlap,
             below=below,

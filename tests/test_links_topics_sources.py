@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pageloom.operators import clustering, pagerank, search, topics
+from pageloom.functions import text as tx
+from pageloom.operators import clustering, pagerank, search, tfidf, topics
 from pageloom.plans.staging import scratch_path
 from pageloom.sources import lines as ln
 from pageloom.sources import wiki_xml as wx
@@ -86,6 +87,26 @@ def test_topics_to_search(spark, rows):
         topics.page_topics(model.overlaps, 0)
 
 
+def test_smoothed_centroids_shuffle_no_row_per_page_and_word(spark):
+    texts = [(1, "a b b"), (2, "a c"), (2, "a"), (3, "d"), (4, None), (None, "a")]
+    pages = spark.createDataFrame(texts, "page_id long, text string")
+    placed = [(1, "x"), (1, "y"), (2, "x"), (2, "x"), (4, "y"), (None, "x"), (3, None)]
+    assignment = spark.createDataFrame(placed, "page_id long, cluster string")
+    counts = tfidf.count_corpus(pages, tx.ws_words)
+    beside = tfidf.count_corpus(pages, tx.ws_words, beside=topics.clusters_of(assignment))
+    plain = topics.centroids(tfidf.smoothed(counts), assignment).collect()
+    plain = {(r["cluster"], r["word"]): pytest.approx(r["weight"]) for r in plain}
+    assert len(plain) == 5
+    for c in (counts, beside):
+        got = topics.smoothed_centroids(c, assignment).collect()
+        assert {(r["cluster"], r["word"]): r["weight"] for r in got} == plain
+    many = spark.range(400).selectExpr("id page_id", "repeat('a b c d e ', 5) text")
+    assigned = many.selectExpr("page_id", "page_id % 2 cluster")
+    staged = tfidf.count_corpus(many, tx.ws_words, beside=topics.clusters_of(assigned))
+    plan = topics.smoothed_centroids(staged, assigned)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(page_id" not in plan
+
+
 def test_lloyd_keeps_an_empty_cluster(spark):
     rng = np.random.default_rng(0)
     data = np.concatenate([rng.normal(0, 0.1, (20, 3)), rng.normal(5, 0.1, (20, 3))])
