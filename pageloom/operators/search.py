@@ -31,6 +31,9 @@ def labelled(spark: SparkSession, view: str = VIEW) -> DataFrame:
 
 #: Folders of a stored table; a topic is in one of them.
 BUCKETS = 64
+#: Rows that one task sorts when a table is stored; they compress too well for their
+#: shuffled bytes to tell.
+ROWS_PER_RANGE = 1 << 21
 
 
 def bucket_of(topic: Column, buckets: int = BUCKETS) -> Column:
@@ -42,11 +45,14 @@ def store(pairs: DataFrame, path: str, buckets: int = BUCKETS, files: int | None
 
     A topic's rows are in one folder, by its hash; files hold ranges of topic and title
     in order, with Parquet's page indexes and a Bloom filter of the topics.  Ranges are
-    cut by rows, so a topic that holds a third of them spans several files.
+    cut by rows, so a topic that holds a third of them spans several files; without
+    ``files`` there are as many as keep what a task sorts bounded.
     """
+    if files is None:
+        files = -(-pairs.count() // ROWS_PER_RANGE) or 1
     rows = pairs.select("topic", "title").withColumn("bucket", bucket_of(F.col("topic"), buckets))
     order = ("bucket", "topic", "title")
-    ranged = rows.repartitionByRange(*([files] if files else []), *order)
+    ranged = rows.repartitionByRange(files, *order)
     (
         ranged.sortWithinPartitions(*order)
         .write.partitionBy("bucket")
@@ -76,4 +82,5 @@ def stored_matches(asked: DataFrame, table: DataFrame, buckets: int = BUCKETS) -
     named = asked.select("topic", bucket_of(F.col("topic"), buckets).alias("bucket"))
     needed = [r["bucket"] for r in named.select("bucket").distinct().collect()]
     some = table.where(F.col("bucket").isin([b for b in needed if b is not None]))
-    return named.join(some, ["bucket", "topic"]).select("topic", "title")
+    # a sort-merge join holds one key's rows of its right side, so that is the asked topics
+    return some.join(named, ["bucket", "topic"]).select("topic", "title")

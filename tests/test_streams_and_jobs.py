@@ -194,3 +194,15 @@ def test_topic_jobs(spark):
     assert weights.count() == 16
     top = jobs.matrix_job(spark, folder, scratch_path(spark, "m"), k=2)
     assert {"page_id", "word", "weight", "rank", "cluster"} == set(top.columns)
+
+
+def test_a_stored_table_is_cut_by_its_rows(spark, monkeypatch):
+    pairs = spark.range(1000).selectExpr("concat('t', id % 3) topic", "cast(id as string) title")
+    monkeypatch.setattr(search, "ROWS_PER_RANGE", 50)
+    path = scratch_path(spark, "cut")
+    search.store(pairs, path)
+    table = search.stored(spark, path)
+    assert len(table.inputFiles()) >= 15
+    assert sorted(map(tuple, table.select("topic", "title").collect())) == sorted(map(tuple, pairs.collect()))
+    asked = spark.createDataFrame([("t1",), ("none",)], "topic string")
+    assert search.stored_matches(asked, table).count() == 333
