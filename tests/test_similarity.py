@@ -213,3 +213,16 @@ def test_a_large_group_of_near_copies_takes_one_row_each(spark):
     assert found.leaders.count() + found.listed.count() < 1000
     links = cover.links(found).collect()
     assert {root for v, root in closure([tuple(r) for r in links]) if v < 2000} == {0}
+
+
+def test_tiles_follow_the_size_of_the_vectors(spark):
+    """Few blocks or many, the distances are the same; few send each vector less often."""
+    terms = spark.range(60).selectExpr("id rep", "explode(sequence(id % 5, 6)) word", "1.0D + id weight")
+    ends = spark.range(60).selectExpr("id x", "explode(sequence(0L, id - 1)) y").where("x > 0")
+    pairs = ends.selectExpr("x", "y", "1.0D norm_x", "1.0D norm_y")
+    by_words = similarity.taken_off(pairs, terms, "euclid", contents_per_block=1, words_per_block=20)
+    one = similarity.taken_off(pairs, terms, "euclid", contents_per_block=1, words_per_block=1 << 22)
+    whole = similarity.taken_off(pairs, terms, "euclid")
+    want = {(x, y): 2.0 * (1 + x) * (1 + y) * (7 - max(x % 5, y % 5)) for x in range(60) for y in range(x)}
+    for got in (by_words, one, whole):
+        assert {(r["x"], r["y"]): r["off"] for r in got.collect()} == want
