@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from pageloom.operators import cover, page_graph, similarity
@@ -226,3 +227,50 @@ def test_tiles_follow_the_size_of_the_vectors(spark):
     want = {(x, y): 2.0 * (1 + x) * (1 + y) * (7 - max(x % 5, y % 5)) for x in range(60) for y in range(x)}
     for got in (by_words, one, whole):
         assert {(r["x"], r["y"]): r["off"] for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("metric", similarity.METRICS)
+@pytest.mark.parametrize("per_meeting", [0.0, 1e9])
+@pytest.mark.parametrize("diagonal", [True, False])
+def test_a_tile_finds_its_pairs_by_meetings_or_products(monkeypatch, metric, per_meeting, diagonal):
+    rnd = random.Random(6)
+    monkeypatch.setattr(similarity, "PER_MEETING", per_meeting)
+    monkeypatch.setattr(similarity, "MEETINGS", 40)
+    monkeypatch.setattr(similarity, "COMMON", 4)
+    monkeypatch.setattr(similarity, "LEFT_CONTENTS", 7)
+    monkeypatch.setattr(similarity, "RIGHT_CONTENTS", 5)
+    pages = [{w: rnd.choice([0.1, 0.3, 0.7]) for w in rnd.sample(range(30), rnd.randrange(1, 12))} for _ in range(60)]
+    block = [0 if diagonal else i % 2 for i in range(60)]
+    tile = pa.table({
+        "a": [0] * 60, "b": [0 if diagonal else 1] * 60, "block": block, "rep": [*range(100, 160)],
+        "norm_sq": [sum(x * x for x in p.values()) for p in pages],
+        "words": [sorted(p) for p in pages], "weights": [[p[w] for w in sorted(p)] for p in pages],
+    })
+    want = {}
+    for i, j in itertools.combinations(range(60), 2):
+        x, y = pages[i], pages[j]
+        if metric == "euclid":
+            sq = sum((x.get(w, 0) - y.get(w, 0)) ** 2 for w in x.keys() | y.keys())
+        else:
+            sq = sum((x.get(w) or y.get(w)) ** 2 for w in x.keys() ^ y.keys())
+        heavy = sum(v * v for v in [*x.values(), *y.values()]) > (0.9 + 5e-7) ** 2
+        if (diagonal or block[i] != block[j]) and heavy and sq <= (0.9 + 5e-7) ** 2:
+            want[100 + i, 100 + j] = pytest.approx(sq, abs=1e-9)
+    got = similarity._search(metric, 0.9, None, False)(tile).to_pylist()
+    assert {tuple(sorted((r["x"], r["y"]))): r["dist_sq"] for r in got} == want and len(got) == len(want) > 5
+
+
+def test_the_search_makes_no_row_per_meeting(spark):
+    """Vectors are all that is shuffled: no join of words, pairs or candidates."""
+    vectors = similarity.build_vectors(as_pages(spark, corpus(5)))
+    plan = similarity.found_pairs(vectors, 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CoGroup" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_connecting_pairs_take_a_row_per_content(spark):
+    """300 near copies are 44,850 pairs, but 299 rows connect them."""
+    pages = [{**{f"w{j:02}": 0.5 for j in range(12)}, f"x{i}": 0.02} for i in range(300)]
+    vectors = vectors_of(spark, *pages)
+    assert similarity.found_pairs(vectors, 0.4).count() == 300 * 299 // 2
+    rows = similarity.connecting_pairs(vectors, 0.4).collect()
+    assert len(rows) == 299 and {r for _, r in closure([tuple(r) for r in rows])} == {0}
