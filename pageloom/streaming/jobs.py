@@ -81,11 +81,13 @@ def topic_batches(
     min_overlap: int,
     show: bool = False,
     below: int | None = topics.SIZE_BELOW,
+    cluster: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The topic job on each batch: tables ``catalog`` and ``pairs``, which appear together.
 
     The batch is read once.  Without ``below`` topics may be of any size, and the
-    catalogue counts their titles instead of listing them.
+    catalogue counts their titles instead of listing them.  If ``assign`` takes a page's
+    cluster from its own row, ``cluster`` may name that column, and no text is shuffled.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -94,7 +96,11 @@ def topic_batches(
             return
         held = stage(batch, "batch")
         assignment = assign(held)
-        counts = tfidf.count_corpus(held, ws_words, beside=topics.clusters_of(assignment))
+        if cluster is None:
+            counts = tfidf.count_corpus(held, ws_words, beside=topics.clusters_of(assignment))
+        else:
+            named = topics.with_clusters(held, F.col(cluster))
+            counts = tfidf.count_corpus(named, ws_words, also=("clusters",))
         model = topics.topics_of_centroids(
             counts.tf,
             topics.smoothed_centroids(counts, assignment),

@@ -200,3 +200,29 @@ def test_malformed_page_line_gives_nulls(spark):
     lines = spark.createDataFrame([("<page><id>1</id>",), (PAGE.format(t="T", i=4, x="x"),)], "value string")
     got = wx.parse_page_lines(lines).collect()
     assert [r["page_id"] for r in got][1] == 4 and got[0]["title"] is None
+
+
+def test_clusters_on_the_row_are_those_of_the_assignment(spark, monkeypatch):
+    monkeypatch.setattr(topics, "HELD_ROWS", 3)
+    texts = [(1, "a b b", "x"), (2, "a c", "y"), (2, "a", "x"), (3, "d", None), (4, None, "y"), (None, "a", "x"), (5, "", "x")]
+    pages = spark.createDataFrame(texts, "page_id long, text string, section string")
+    assignment = pages.selectExpr("page_id", "section cluster")
+    named = topics.with_clusters(pages, F.col("section"))
+    want = {r["page_id"]: r["clusters"] for r in topics.clusters_of(assignment).collect() if r["page_id"]}
+    assert all(r["clusters"] == want.get(r["page_id"]) for r in named.collect()) and named.count() == 7
+    old = tfidf.count_corpus(pages, tx.ws_words, beside=topics.clusters_of(assignment))
+    new = tfidf.count_corpus(named, tx.ws_words, also=("clusters",))
+    plain = {tuple(r) for r in topics.smoothed_centroids(old, assignment).collect()}
+    assert {tuple(r) for r in topics.smoothed_centroids(new, assignment).collect()} == plain and len(plain) == 5
+
+
+def test_centroids_shuffle_no_text_and_their_sums_once(spark):
+    pages = spark.range(400).selectExpr("id page_id", "repeat('a b c d e ', 5) text", "'s' || id % 3 section")
+    named = topics.with_clusters(pages, F.col("section"))
+    counts = tfidf.count_corpus(named, tx.ws_words, also=("clusters",))
+    assert "Exchange" not in named._jdf.queryExecution().executedPlan().toString()
+    centres = topics.smoothed_centroids(counts, pages.selectExpr("page_id", "section cluster"))
+    plan = centres._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "MapInArrow" in plan
+    got = {(r["cluster"], r["word"]): r["weight"] for r in centres.collect()}
+    assert len(got) == 15 and got["s0", "a"] == pytest.approx(0.0)
