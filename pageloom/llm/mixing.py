@@ -12,9 +12,9 @@ block order; the last block of that prefix is cut inside, within one document, s
 the words taken are the target, rounded down.  Block sums need one small row per block,
 so a source with a third of all rows is 4096 groups, not one.  A document finds its block's
 row by a join on the blocks; only in the cut blocks, one per source, are documents put in
-order, as narrow rows, to find the document where the cut lies.  So texts stay where they
-are read as long as the table of blocks is small enough for Spark to broadcast, and pass
-one shuffle else.
+order, as narrow rows, to find the document where the cut lies.  The table of blocks
+does not grow with the documents of a source: up to ``FEW_BLOCKS`` rows are broadcast, so
+texts stay where they are read, and only with more sources may they pass one shuffle.
 
 **Shards.**  The taken blocks of all sources are split over the output shards by a
 binary tree.  A node hands its left half exactly its share of blocks; how many come from
@@ -51,6 +51,8 @@ SHARDS = 16
 SEED = "mix"
 #: Hex digits of the hash that name a block: 16^3 blocks per source.
 DIGITS = 3
+#: Blocks that are broadcast to the texts: those of 64 sources, about 60 MB of memory.
+FEW_BLOCKS = 1 << 18
 
 
 def _named(source: Column) -> Column:
@@ -361,7 +363,10 @@ def mix(
     sizes = stage(own.select(f"`{m}`.*"), "sizes")
     found = stage(draws(sizes, shards, seed).withColumn("name", _named(F.col("source"))), "draws")
     found = found.join(cuts(sizes, found), ["name", "block"], "left")
-    found = stage(found, "cut-draws").select(F.struct("*").alias(f"{m}b"))
+    found = stage(found.drop("source"), "cut-draws")
+    few = found.limit(FEW_BLOCKS + 1).count() <= FEW_BLOCKS
+    found = found.select(F.struct("*").alias(f"{m}b"))
+    found = F.broadcast(found) if few else found
     mine, theirs = F.col(f"`{m}`"), F.col(f"`{m}b`")
     joined = own.join(
         found, (mine["name"] == theirs["name"]) & (mine["block"] == theirs["block"])

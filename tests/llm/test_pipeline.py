@@ -186,3 +186,21 @@ def test_operators_by_id_with_clashing_columns(spark, crowded, n):
         assert len(rows[0]) == len(rows[1])
     else:
         assert rows[0] == rows[1]
+
+
+def test_the_mix_shuffles_no_text_of_few_sources(spark, monkeypatch):
+    from pageloom.llm import mixing
+
+    docs = spark.range(300).selectExpr("id doc_id", "'s' || id % 4 source", "repeat('a b ', 1 + int(id % 9)) text")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = mixing.mix(docs, "m")
+        assert "SortMergeJoin" not in plan(few) and "Exchange hashpartitioning" not in plan(few)
+        monkeypatch.setattr(mixing, "FEW_BLOCKS", 1)
+        many = mixing.mix(docs, "m")
+        assert "SortMergeJoin" in plan(many)
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
