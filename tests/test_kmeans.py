@@ -69,6 +69,46 @@ def test_sparse_kmeans(spark, monkeypatch, unit, k, common):
     assert all(mine[key] == pytest.approx(theirs[key]) for key in mine)
 
 
+def test_a_round_moves_packets_and_no_pages(spark, monkeypatch):
+    staged, plans, k, seeds = {}, [], 6, (1, 2)
+    plain_stage = sk.stage
+
+    def counted(df, name):
+        if name == "kmeans-round":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = plain_stage(df, name)
+        staged.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(sk, "stage", counted)
+    rnd = random.Random(3)
+    rows = [(p, rnd.randrange(5000), rnd.uniform(0.1, 3)) for p in range(80) for _ in range(100)]
+    weights = spark.createDataFrame(rows, "page_id long, word int, weight double")
+    sk.sparse_kmeans(weights, k, 2, seeds, pages_per_part=20)
+    parts = 4
+    # a packet for each part and block, and the size of each slot, not a row per slot and word
+    assert max(staged["kmeans-round"][:-1]) <= parts * (parts + k * len(seeds))
+    # neither the pages nor the words that a part wants are shuffled
+    exchanges = plans[-1].count("Exchange hashpartitioning")
+    assert exchanges == 2, plans[-1]
+
+
+def test_parts_grow_before_there_are_more(spark, monkeypatch):
+    monkeypatch.setattr(sk, "LEAST_PARTS", 3)
+    monkeypatch.setattr(sk, "ENTRIES_PER_PART", 25)
+    buckets = []
+    plain_stage = sk.stage_bucketed
+    monkeypatch.setattr(sk, "stage_bucketed", lambda df, name, n, key: buckets.append(n) or plain_stage(df, name, n, key))
+    weights = spark.createDataFrame([(p, w, 1.0 + p) for p in range(20) for w in range(p, p + 5)], "page_id long, word int, weight double")
+    few = sk.sparse_kmeans(weights, 3, 2, pages_per_part=100)[0].collect()
+    many = sk.sparse_kmeans(weights, 3, 2, pages_per_part=1)[0].collect()
+    assert buckets[::2] == [4, 4] and sorted(few) == sorted(many)
+    monkeypatch.setattr(sk, "ENTRIES_PER_PART", 1 << 21)
+    assert sorted(sk.sparse_kmeans(weights, 3, 2, pages_per_part=1)[0].collect()) == sorted(few)
+    assert buckets[-2] == 3
+
+
 def test_kmeans_of_nothing(spark):
     weights = spark.createDataFrame([], "page_id long, word int, weight double")
     got, centres = sk.sparse_kmeans(weights, 3, 2)
