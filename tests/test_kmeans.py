@@ -99,14 +99,23 @@ def test_parts_grow_before_there_are_more(spark, monkeypatch):
     monkeypatch.setattr(sk, "ENTRIES_PER_PART", 25)
     buckets = []
     plain_stage = sk.stage_bucketed
-    monkeypatch.setattr(sk, "stage_bucketed", lambda df, name, n, key: buckets.append(n) or plain_stage(df, name, n, key))
-    weights = spark.createDataFrame([(p, w, 1.0 + p) for p in range(20) for w in range(p, p + 5)], "page_id long, word int, weight double")
+
+    def noted(df, name, n, key):
+        buckets.append(n)
+        return plain_stage(df, name, n, key)
+
+    monkeypatch.setattr(sk, "stage_bucketed", noted)
+    rows = [(p, w, 1.0 + p) for p in range(20) for w in range(p, p + 5)]
+    weights = spark.createDataFrame(rows, "page_id long, word int, weight double")
     few = sk.sparse_kmeans(weights, 3, 2, pages_per_part=100)[0].collect()
     many = sk.sparse_kmeans(weights, 3, 2, pages_per_part=1)[0].collect()
     assert buckets[::2] == [4, 4] and sorted(few) == sorted(many)
     monkeypatch.setattr(sk, "ENTRIES_PER_PART", 1 << 21)
     assert sorted(sk.sparse_kmeans(weights, 3, 2, pages_per_part=1)[0].collect()) == sorted(few)
     assert buckets[-2] == 3
+    ids = spark.createDataFrame([(p,) for p in range(20)] * 2, "page_id long")
+    assert sk.sparse_kmeans(weights, 3, 1, pages=ids, pages_per_part=20)[0].count() == 40
+    assert buckets[-2] == 1  # a page that comes twice is one
 
 
 def test_kmeans_of_nothing(spark):
