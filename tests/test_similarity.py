@@ -274,3 +274,30 @@ def test_connecting_pairs_take_a_row_per_content(spark):
     assert similarity.found_pairs(vectors, 0.4).count() == 300 * 299 // 2
     rows = similarity.connecting_pairs(vectors, 0.4).collect()
     assert len(rows) == 299 and {r for _, r in closure([tuple(r) for r in rows])} == {0}
+
+
+def test_a_vector_is_shuffled_once_however_many_blocks(spark):
+    """Blocks are rows of their own, which every tile reads; no copy per tile is written."""
+    vectors = similarity.build_vectors(as_pages(spark, corpus(5)))
+    plan = similarity.found_pairs(vectors, 0.3, pages_per_split=3)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "explode" not in plan and "Generate" not in plan
+
+
+def test_a_block_is_a_row_that_gives_its_contents_back():
+    blocks = [
+        pa.table({
+            "block": [b] * 3, "rep": [b * 10 + i for i in range(3)], "norm_sq": [1.0, 2.0, b + 0.5],
+            "words": [[1, 5], [b], [7, 8, 9]], "weights": [[0.5, 0.1], [2.0], [1.0, b + 0.0, 3.0]],
+        })
+        for b in range(3)
+    ]
+    row = [similarity._as_row(t).to_pylist()[0] for t in blocks]
+    tiles = [(a, b) for a in range(3) for b in range(a, 3)]
+    batch = pa.RecordBatch.from_pylist(
+        [{"a": a, "left": row[a]["vectors"], "b": b, "right": row[b]["vectors"]} for a, b in tiles]
+    )
+    got = list(similarity._in_tiles(lambda t: t.combine_chunks())([batch]))
+    for (a, b), tile in zip(tiles, got, strict=True):
+        sides = blocks[a].to_pylist() + (blocks[b].to_pylist() if a != b else [])
+        assert [{k: r[k] for k in blocks[a].column_names} for r in tile.to_pylist()] == sides
+        assert set(tile["a"].to_pylist()) == {a} and set(tile["b"].to_pylist()) == {b}
