@@ -301,3 +301,51 @@ def test_a_block_is_a_row_that_gives_its_contents_back():
         sides = blocks[a].to_pylist() + (blocks[b].to_pylist() if a != b else [])
         assert [{k: r[k] for k in blocks[a].column_names} for r in tile.to_pylist()] == sides
         assert set(tile["a"].to_pylist()) == {a} and set(tile["b"].to_pylist()) == {b}
+
+
+@pytest.mark.parametrize("metric", similarity.METRICS)
+@pytest.mark.parametrize("seed,threshold", [(1, 0.1), (2, 0.3), (3, 0.9)])
+def test_every_pair_is_listed_with_copies_and_light_pairs(spark, monkeypatch, metric, seed, threshold):
+    """Copies in one row and in several, light pages, and pages whose words weigh nothing."""
+    monkeypatch.setattr(similarity, "PAGES_PER_ROW", 2)
+    texts = corpus(seed) + ["ba be"] * 5
+    texts = [f"everywhere {t}" if t else "everywhere everywhere" for t in texts] + ["everywhere"] * 3
+    vectors = similarity.build_vectors(as_pages(spark, texts))
+    expected = brute(texts, threshold, metric)
+    pairs = similarity.found_pairs(vectors, threshold, metric, pages_per_split=9, every=True).collect()
+    got = {(r["page_a"], r["page_b"]): r["dist"] for r in pairs}
+    assert len(got) == len(pairs) and set(got) == set(expected)
+    assert got == {p: pytest.approx(d, abs=2e-6) for p, d in expected.items()}
+    n = len(texts)
+    assert {(a, b) for a, b in itertools.combinations(range(n - 3, n), 2)} <= set(got)
+
+
+def test_neighbours_of_every_pair_are_pages(spark, rows):
+    texts = corpus(3)
+    vectors = similarity.build_vectors(as_pages(spark, texts))
+    got = similarity.neighbours(similarity.found_pairs(vectors, 0.9, every=True))
+    both = {(*p, d) for (a, b), d in brute(texts, 0.9, "euclid").items() for p in ((a, b), (b, a))}
+    assert rows(got, "page_id", "similar_id") == {p[:2] for p in both} and got.count() == len(both)
+
+
+@pytest.mark.parametrize("connecting", [False, True])
+def test_a_tile_in_small_portions_finds_the_same(monkeypatch, connecting):
+    """Runs, portions and hubs that are compared with all: 300 contents that share most words."""
+    rnd = random.Random(8)
+    pages = [{w: rnd.choice([0.05, 0.1, 0.2]) for w in rnd.sample(range(60), rnd.randrange(1, 50))} for _ in range(300)]
+    tile = pa.table({
+        "a": [0] * 300, "b": [1] * 300, "block": [0] * 150 + [1] * 150, "rep": [*range(300)],
+        "norm_sq": [sum(x * x for x in p.values()) for p in pages],
+        "words": [sorted(p) for p in pages], "weights": [[p[w] for w in sorted(p)] for p in pages],
+    })
+    monkeypatch.setattr(similarity, "PER_PRODUCT", 1e9)
+    whole = similarity._search("euclid", 0.55, None, connecting)(tile).to_pydict()
+    for name, n in (("MEETINGS", 30), ("ENTRIES", 40), ("COMPARED", 20), ("CONNECTED", 10), ("LONG", 20), ("PER_MEETING", 1e6)):
+        monkeypatch.setattr(similarity, name, n)
+    if not connecting:
+        monkeypatch.setattr(similarity, "KNOWN_WORDS", 3)
+    some = list(similarity._parts("euclid", 0.55, None, connecting)(tile))
+    assert connecting or len(some) > 10
+    some = pa.concat_tables(some).to_pydict()
+    pairs = [{tuple(sorted(p)) for p in zip(t["x"], t["y"], strict=True)} for t in (whole, some)]
+    assert pairs[0] == pairs[1] and len(some["x"]) == len(pairs[1]) > 100
