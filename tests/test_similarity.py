@@ -349,3 +349,37 @@ def test_a_tile_in_small_portions_finds_the_same(monkeypatch, connecting):
     some = pa.concat_tables(some).to_pydict()
     pairs = [{tuple(sorted(p)) for p in zip(t["x"], t["y"], strict=True)} for t in (whole, some)]
     assert pairs[0] == pairs[1] and len(some["x"]) == len(pairs[1]) > 100
+
+
+def test_a_long_block_is_several_rows_and_each_goes_on_once(spark, monkeypatch):
+    """Rows of the product are many, but the vectors of a block's row are on one of a tile's."""
+    monkeypatch.setattr(similarity, "WORDS_PER_ROW", 4)
+    block = pa.table({
+        "block": [3] * 6, "rep": [*range(6)], "norm_sq": [1.0] * 6,
+        "words": [[1, 5, 6], [2], [7, 8, 1 << 20], [], [1], [2, 3, 4, 5, 6, 7, 8, 9]], "weights": [[0.5] * n for n in (3, 1, 3, 0, 1, 8)],
+    })
+    rows = similarity._as_row(block).to_pylist()
+    assert len(rows) > 2 and [r["piece"] for r in rows] == [*range(len(rows))] and {r["block"] for r in rows} == {3}
+    product = [
+        {"a": 3, "left": x["vectors"] if y["piece"] == 0 else None, "b": 4, "right": y["vectors"] if x["piece"] == 0 else None}
+        for x in rows for y in rows
+    ]
+    batches = [pa.RecordBatch.from_pylist(product[:5]), pa.RecordBatch.from_pylist(product[5:])]
+    tile = list(similarity._in_tiles(lambda t: t.combine_chunks())(batches))
+    assert len(tile) == 1 and tile[0]["rep"].to_pylist() == [*range(6)] * 2
+    assert tile[0]["words"].to_pylist() == block["words"].to_pylist() * 2
+
+
+def test_pairs_of_blocks_of_several_rows(spark, monkeypatch):
+    texts = corpus(2)
+    expected = brute(texts, 0.9, "euclid")
+    real = similarity._as_row
+
+    def small(table):
+        similarity.WORDS_PER_ROW = 8
+        return real(table)
+
+    monkeypatch.setattr(similarity, "_as_row", small)
+    vectors = similarity.build_vectors(as_pages(spark, texts))
+    pairs = similarity.found_pairs(vectors, 0.9, pages_per_split=20, every=True)
+    assert {(r["page_a"], r["page_b"]) for r in pairs.collect()} == set(expected)
