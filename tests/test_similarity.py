@@ -323,7 +323,8 @@ def test_every_pair_is_listed_with_copies_and_light_pairs(spark, monkeypatch, me
 def test_neighbours_of_every_pair_are_pages(spark, rows):
     texts = corpus(3)
     vectors = similarity.build_vectors(as_pages(spark, texts))
-    got = similarity.neighbours(similarity.found_pairs(vectors, 0.9, every=True))
+    own = vectors.copies.selectExpr("page_id", "page_id rep")
+    got = similarity.neighbours(similarity.found_pairs(vectors, 0.9, every=True), own)
     both = {(*p, d) for (a, b), d in brute(texts, 0.9, "euclid").items() for p in ((a, b), (b, a))}
     assert rows(got, "page_id", "similar_id") == {p[:2] for p in both} and got.count() == len(both)
 
